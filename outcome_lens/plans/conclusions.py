@@ -39,7 +39,7 @@ def strongest(coefs: DataFrame) -> DataFrame:
 
 
 def equality_verdict(summary: DataFrame) -> DataFrame:
-    """``identical``, or which kinds of mismatch there are, from a comparison summary."""
+    """A comparison summary with ``verdict``: identical, or which kinds of mismatch there are."""
     parts = F.format_string(
         "types %d, nulls %d, values %d", "type_mismatch", F.coalesce("null_mismatch", F.lit(-1)), F.coalesce("value_mismatch", F.lit(-1))
     )
@@ -48,7 +48,7 @@ def equality_verdict(summary: DataFrame) -> DataFrame:
         .when(~F.col("columns_match") | ~F.col("rows_match"), F.lit("not comparable"))
         .otherwise(F.concat(F.lit("mismatches: "), parts))
     )
-    return summary.select("identical", text.alias("verdict"))
+    return summary.withColumn("verdict", text)
 
 
 def _fact(fact: str, item: Column, value: Column, low=None, high=None, verdict=None) -> list[Column]:
