@@ -1,6 +1,6 @@
 """Which operator runs on which test table."""
 
-from bindings import loading, profiles, quality, scores, tests_of_difference
+from bindings import loading, models, profiles, quality, scores, tests_of_difference
 from bindings.registry import BINDINGS
 
-__all__ = ["BINDINGS", "loading", "profiles", "quality", "scores", "tests_of_difference"]
+__all__ = ["BINDINGS", "loading", "models", "profiles", "quality", "scores", "tests_of_difference"]

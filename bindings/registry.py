@@ -12,6 +12,11 @@ from pyspark.sql import types as T
 DIGITS = 6
 
 
+def nudge(digits: int) -> float:
+    """Moves exact rounding ties, such as 1027/16000 at 6 digits, to the same side in both engines."""
+    return 3.1 * 10.0 ** -(digits + 4)
+
+
 class Binding(NamedTuple):
     run: Callable[[SparkSession, str], DataFrame]
     sql: str | None
@@ -53,7 +58,7 @@ def tidy(df: DataFrame, digits: int = DIGITS) -> DataFrame:
         ):
             columns.append(F.col(f.name).cast("long").alias(f.name))
         elif isinstance(f.dataType, T.FractionalType):
-            columns.append((F.round(F.col(f.name).cast("double"), digits) + F.lit(0.0)).alias(f.name))
+            columns.append((F.round(F.col(f.name).cast("double") + F.lit(nudge(digits)), digits) + F.lit(0.0)).alias(f.name))
         else:
             columns.append(F.col(f.name))
     return df.select(*columns)
@@ -62,5 +67,8 @@ def tidy(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 def tidy_sql(sql: str, doubles: Sequence[str], digits: int = DIGITS) -> str:
     if not doubles:
         return sql
-    rounded = ", ".join(f"round(CAST({c} AS DOUBLE), {digits}) + CAST(0 AS DOUBLE) AS {c}" for c in doubles)
+    rounded = ", ".join(
+        f"round(CAST({c} AS DOUBLE) + CAST({nudge(digits)!r} AS DOUBLE), {digits}) + CAST(0 AS DOUBLE) AS {c}"
+        for c in doubles
+    )
     return f"SELECT * REPLACE ({rounded}) FROM ({sql}) AS result"

@@ -53,16 +53,14 @@ def t1_welch_t_by_segment(t: Tables):
     return tested.select("l_returnflag", *WELCH_SHOWN)
 
 
-@bind(
-    welch_sql(
-        "n_chars", "quality", "1", "0",
-        "(SELECT n_chars, CAST(quality AS VARCHAR) AS quality FROM documents JOIN labels USING (doc_id))",
-    ),
-    WELCH_DOUBLES,
-    digits=5,
-)
+GRADED = "(SELECT n_chars, CAST(quality AS VARCHAR) AS quality FROM documents JOIN labels USING (doc_id))"
+NO_INTERVAL = [c for c in WELCH_DOUBLES if not c.startswith("ci_")]
+
+
+@bind(f"SELECT * EXCLUDE (ci_low, ci_high) FROM ({welch_sql('n_chars', 'quality', '1', '0', GRADED)})", NO_INTERVAL)
 def t2_cohens_d(t: Tables):
-    return welch_t(t.documents.join(t.labels, "doc_id"), "n_chars", "quality", 1, 0).select(*WELCH_SHOWN)
+    tested = welch_t(t.documents.join(t.labels, "doc_id"), "n_chars", "quality", 1, 0)
+    return tested.select(*[c for c in WELCH_SHOWN if not c.startswith("ci_")])
 
 
 def chi_sql(a: str, b: str, table: str, by: str = "") -> str:
