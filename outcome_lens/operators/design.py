@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -13,12 +15,12 @@ from pyspark.ml.feature import (
     VectorAssembler,
     VectorSlicer,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from outcome_lens.contract import AnalysisError, Outcome
-from outcome_lens.functions.columns import number, require
+from outcome_lens.functions.columns import number, require, to_rows
 from outcome_lens.operators.levels import level_counts
 
 # Columns a model may have: its normal equations are a square matrix of this size on the driver.
@@ -85,6 +87,60 @@ def display_name(feature: str, level: str | None) -> str:
     return feature if level is None else f"{feature}_{level}"
 
 
+def _moments(df: DataFrame, numeric: Sequence[str], outcome: Outcome, by: Sequence[str] = ()) -> list[Row]:
+    """Rows, positives, and per number its count, mean and population variance, in one scan."""
+    return (
+        df.groupBy(*by)
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.coalesce(F.sum(outcome.flag()), F.lit(0)).alias("positives"),
+            *[F.count(number(df, n)).alias(f"n{i}") for i, n in enumerate(numeric)],
+            *[F.avg(number(df, n)).alias(f"mean{i}") for i, n in enumerate(numeric)],
+            *[F.var_pop(number(df, n)).alias(f"var{i}") for i, n in enumerate(numeric)],
+        )
+        .collect()
+    )
+
+
+def _level_rows(counts: DataFrame, limit: int) -> list[Row]:
+    found = counts.limit(limit + 1).collect()
+    if len(found) > limit:
+        raise AnalysisError(f"the categorical columns have more than {MAX_FEATURES} levels together")
+    return found
+
+
+def _combined(
+    moments: Sequence[Row], levels: Sequence[Row], numeric: Sequence[str], categorical: Sequence[str], outcome: Outcome
+) -> Design:
+    """A design from the facts of any number of disjoint parts of the training rows."""
+    means, scales = {}, {}
+    for i, name in enumerate(numeric):
+        parts = [(m[f"n{i}"], m[f"mean{i}"], m[f"var{i}"]) for m in moments if m[f"n{i}"]]
+        n = sum(p[0] for p in parts)
+        if n == 0:
+            raise AnalysisError(f"{name} has no value in the training rows")
+        mean = math.fsum(p[0] * p[1] for p in parts) / n
+        var = math.fsum(p[0] * (p[2] + (p[1] - mean) ** 2) for p in parts) / n
+        means[name], scales[name] = mean, math.sqrt(var) or 1.0  # a constant column is scaled by 1
+    counts: dict[str, Counter] = {c: Counter() for c in categorical}
+    for r in levels:
+        counts[r["column"]][r["level"]] += r["n"]
+    ordered = {}
+    for c, found in counts.items():
+        reference = min(found, key=lambda level: (-found[level], level), default=None)
+        ordered[c] = tuple((level, found[level]) for level in sorted(found, key=lambda v: (v != reference, v)))
+    return Design(
+        numeric=tuple(numeric),
+        categorical=tuple(categorical),
+        outcome=outcome,
+        rows=sum(m["rows"] for m in moments),
+        positives=sum(m["positives"] for m in moments),
+        means=means,
+        scales=scales,
+        levels=ordered,
+    )
+
+
 def fit_design(
     df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], outcome: Outcome
 ) -> Design:
@@ -92,25 +148,35 @@ def fit_design(
     require(df, *numeric, *categorical, outcome.column)
     if not [*numeric, *categorical]:
         raise AnalysisError("a model needs at least one feature")
-    size = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(outcome.flag()), F.lit(0)).alias("positives"))
-    facts = size.first()
-    if facts["rows"] == 0:
+    moments = _moments(df, numeric, outcome)
+    if not moments[0]["rows"]:
         raise AnalysisError("no training rows")
-    scales = {r["column"]: r for r in fit_scaler(df, numeric).collect()} if numeric else {}
-    levels: dict[str, list[tuple[str, int]]] = {c: [] for c in categorical}
+    levels = _level_rows(level_counts(df, categorical), MAX_FEATURES) if categorical else []
+    return _combined(moments, levels, numeric, categorical, outcome)
+
+
+def fit_fold_designs(
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], outcome: Outcome, fold: str, k: int
+) -> list[Design]:
+    """The design of each fold's training part, that is of all other folds, from two scans for all."""
+    require(df, *numeric, *categorical, outcome.column, fold)
+    moments = _moments(df, numeric, outcome, [fold])
+    levels: list[Row] = []
     if categorical:
-        for r in fit_encoder(df, categorical).orderBy("column", "slot").collect():
-            levels[r["column"]].append((r["level"], r["n"]))
-    return Design(
-        numeric=tuple(numeric),
-        categorical=tuple(categorical),
-        outcome=outcome,
-        rows=facts["rows"],
-        positives=facts["positives"],
-        means={n: r["mean"] for n, r in scales.items()},
-        scales={n: r["scale"] for n, r in scales.items()},
-        levels={c: tuple(v) for c, v in levels.items()},
-    )
+        counts = (
+            to_rows(df, categorical, keep=[fold])
+            .filter(F.col("level").isNotNull())
+            .groupBy(fold, "column", "level")
+            .agg(F.count(F.lit(1)).alias("n"))
+        )
+        levels = _level_rows(counts, MAX_FEATURES * k)
+    designs = []
+    for i in range(k):
+        others = [m for m in moments if m[fold] != i]
+        if not others:
+            raise AnalysisError(f"fold {i} holds every row")
+        designs.append(_combined(others, [r for r in levels if r[fold] != i], numeric, categorical, outcome))
+    return designs
 
 
 def _quoted(name: str) -> str:
