@@ -196,7 +196,7 @@ def m12_out_of_fold(t: Tables):
     return held.groupBy("fold", "l_quantity", "l_linestatus").agg(F.count(F.lit(1)).alias("n"), F.avg("score").alias("score"))
 
 
-def _metrics_sql(scored: str, threshold: str = "0.5") -> str:
+def metrics_sql(scored: str, threshold: str = "0.5") -> str:
     return f"""
     SELECT tn, fp, fn, tp, {METRIC_SQL}, roc_auc, average_precision FROM ({counts_sql(scored, threshold)}), ({auc_sql(scored)}), ({precision_sql(scored)})
     """
@@ -212,8 +212,8 @@ def _threshold_sql() -> str:
     test = f"({one.with_clause()} SELECT label, score FROM {_scored_sql(one, TEST_ROWS)})"
     return f"""
     WITH held AS MATERIALIZED {held}, tested AS MATERIALIZED {test}, best AS MATERIALIZED ({best_sql("held")})
-    SELECT 'default' AS kind, CAST(0.5 AS DOUBLE) AS threshold, * FROM ({_metrics_sql("tested")})
-    UNION ALL SELECT 'tuned', (SELECT threshold FROM best), * FROM ({_metrics_sql("tested", "(SELECT threshold FROM best)")})
+    SELECT 'default' AS kind, CAST(0.5 AS DOUBLE) AS threshold, * FROM ({metrics_sql("tested")})
+    UNION ALL SELECT 'tuned', (SELECT threshold FROM best), * FROM ({metrics_sql("tested", "(SELECT threshold FROM best)")})
     """
 
 
@@ -314,7 +314,7 @@ def _fit_score_sql() -> str:
     WITH tested AS MATERIALIZED {test}
     SELECT (SELECT count(*) FROM {LINES} WHERE {TRAIN}) AS train_rows, (SELECT count(*) FROM tested) AS test_rows,
            (SELECT avg(y) FROM {LINES} WHERE {TRAIN}) AS train_positive_rate, (SELECT avg(label) FROM tested) AS test_positive_rate, *
-    FROM ({_metrics_sql("tested")})
+    FROM ({metrics_sql("tested")})
     """
 
 
@@ -341,7 +341,7 @@ def _strategy_sql() -> str:
     scored = f"({fit.with_clause()} SELECT g, label, score FROM {_scored_sql(fit, test)})"
     sizes = f"(SELECT g, count(*) AS train_rows FROM ({rows}) GROUP BY g)"
     each = " UNION ALL ".join(
-        f"SELECT '{g}' AS strategy, (SELECT train_rows FROM {sizes} WHERE g = '{g}') AS train_rows, * FROM ({_metrics_sql(f'''(SELECT * FROM tested WHERE g = '{g}')''')})"
+        f"SELECT '{g}' AS strategy, (SELECT train_rows FROM {sizes} WHERE g = '{g}') AS train_rows, * FROM ({metrics_sql(f'''(SELECT * FROM tested WHERE g = '{g}')''')})"
         for g in ("drop", "unknown")
     )
     return f"WITH tested AS MATERIALIZED {scored} SELECT *, tn + fp + fn + tp AS test_rows FROM ({each})"
@@ -400,7 +400,7 @@ def _sensitivity_sql() -> str:
     )
     scored = f"(SELECT label, score FROM {_scored_sql(fit, TEST_ROWS)})"
     return f"""{fit.with_clause()}
-    SELECT 'l_returnflag' AS excluded, name, reference, coef, se, exp(coef) AS odds_ratio, accuracy, f1 FROM ({rows}), ({_metrics_sql(scored)})
+    SELECT 'l_returnflag' AS excluded, name, reference, coef, se, exp(coef) AS odds_ratio, accuracy, f1 FROM ({rows}), ({metrics_sql(scored)})
     """
 
 

@@ -8,6 +8,7 @@ from bindings.registry import Tables, bind
 from outcome_lens.contract import Outcome
 from outcome_lens.operators.hypothesis import chi_square, welch_t
 from outcome_lens.operators.rates import outcome_rate
+from outcome_lens.plans.conclusions import conclusions
 
 
 def welch_sql(value: str, group: str, a: str, b: str, table: str, by: str = "") -> str:
@@ -111,3 +112,39 @@ def t4_cramers_v_with_empty_cell(t: Tables):
 def t5_rate_by_factor(t: Tables):
     rates = outcome_rate(t.orders, ["o_orderpriority"], Outcome("o_orderstatus", "F"))
     return rates.filter(F.col("kind") == "level").select("level", "n", "ratio")
+
+
+def facts_sql(welch: str, chi: str, rates: str) -> str:
+    """The conclusions that need no model, from the SQL of the tests."""
+    return f"""
+    SELECT 'independence' AS fact, '' AS item, cramers_v AS value, 0.0 AS low, 0.0 AS high,
+           CASE WHEN significant = 1 THEN 'dependent' ELSE 'independence not rejected' END AS verdict FROM ({chi})
+    UNION ALL SELECT 'mean difference', '', diff, ci_low, ci_high, CASE WHEN significant = 1 THEN 'different' ELSE 'no difference shown' END FROM ({welch})
+    UNION ALL SELECT 'effect size', '', cohens_d, 0, 0, effect FROM ({welch})
+    UNION ALL SELECT 'outcome rate', item, ratio, 0, 0, '' FROM ({rates})
+    """
+
+
+def shown(facts):
+    return facts.select(
+        "fact", "item", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("value", "low", "high")], F.coalesce("verdict", F.lit("")).alias("verdict")
+    )
+
+
+@bind(
+    facts_sql(
+        welch_sql("l_extendedprice", "l_linestatus", "O", "F", "lineitem"),
+        chi_sql("l_returnflag", "l_linenumber", "lineitem"),
+        """SELECT 'l_returnflag=' || l_returnflag AS item, avg(CASE WHEN l_linestatus = 'O' THEN 1.0 ELSE 0.0 END) AS ratio FROM lineitem GROUP BY l_returnflag""",
+    ),
+    ["value", "low", "high"],
+    digits=5,
+)
+def m21_conclusions(t: Tables):
+    return shown(
+        conclusions(
+            chi_square=chi_square(t.lineitem, "l_returnflag", "l_linenumber"),
+            welch=welch_t(t.lineitem, "l_extendedprice", "l_linestatus", "O", "F"),
+            rates=outcome_rate(t.lineitem, ["l_returnflag"], Outcome("l_linestatus", "O")),
+        )
+    )

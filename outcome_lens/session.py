@@ -61,3 +61,10 @@ def durable(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder, so that later jobs and retries read the same rows."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: later steps read only the columns they need."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

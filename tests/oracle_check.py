@@ -71,8 +71,11 @@ def main(names: list[str]) -> int:
         if names and not any(n in name for n in names):
             continue
         began = time.time()
+        spent = 0.0
         try:
             df = run(spark, folder)
+            df.collect()
+            spent = time.time() - began
             if name in sql:
                 problem = difference(df, con, sql[name])
             else:
@@ -81,7 +84,7 @@ def main(names: list[str]) -> int:
             problem = f"{type(error).__name__}: {str(error)[:1500]}"
         bad += problem is not None
         kind = "sql " if name in sql else "rows"
-        print(f"{'ok  ' if problem is None else 'FAIL'} {kind} {name} {time.time() - began:.1f}s {problem or ''}", flush=True)
+        print(f"{'ok  ' if problem is None else 'FAIL'} {kind} {name} {spent:.1f}s {problem or ''}", flush=True)
     print(f"{bad} failed")
     return bad
 
