@@ -16,7 +16,7 @@ from outcome_lens.contract import (
 from outcome_lens.operators.compare import compare_multisets
 from outcome_lens.operators.logistic import hash_fold
 from outcome_lens.plans.outcome_report import ReportSpec, outcome_report
-from outcome_lens.session import get_session
+from outcome_lens.session import get_session, stored
 from outcome_lens.sources import normalise, parsing, read_contract, read_raw, write_results
 
 
@@ -43,7 +43,8 @@ def run(train_path: str, test_path: str, result_path: str, run_id: str = "latest
     splits, results = {}, {}
     for split, path in (("train", train_path), ("test", test_path)):
         with parsing(path):
-            splits[split] = read_contract(spark, path, CENSUS)
+            # parsed once: every later step reads columns of the stored table
+            splits[split] = stored(read_contract(spark, path, CENSUS), split)
             both = compare_multisets(splits[split], normalise(read_raw(spark, path, CENSUS), CENSUS))
             write_results({f"reader_difference_{split}": both}, result_path, run_id)
     results.update(outcome_report(splits["train"], splits["test"], census_spec(), f"{result_path}/model"))

@@ -46,28 +46,23 @@ def missingness_impact(df: DataFrame, outcome: Outcome) -> DataFrame:
         F.count(F.lit(1)).alias("total"),
         F.sum("_gone").alias("removed"),
         F.sum("_positive").alias("_positive"),
-        F.sum(F.col("_positive") * (1 - F.col("_gone"))).alias("_kept_positive"),
+        F.sum(F.col("_positive") * (1 - F.col("_gone"))).alias("_kept"),
     )
-    per_group = groups.filter(F.col("group").isNotNull()).select(
-        F.lit("group").alias("kind"),
-        "group",
-        "total",
-        "removed",
-        ratio(F.col("removed"), F.col("total")).alias("drop_rate"),
-        F.lit(None).cast("double").alias("rate_before"),
-        F.lit(None).cast("double").alias("rate_after"),
+    # the overall row adds up the groups; it exists for an empty table too
+    sums = groups.groupingSets([[F.col("group")], []], F.col("group")).agg(
+        F.grouping("group").alias("_all"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "removed", "_positive", "_kept")],
     )
-    sums = groups.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in groups.columns if c != "group"])
-    overall = sums.select(
-        F.lit("overall").alias("kind"),
-        F.lit(None).cast("string").alias("group"),
+    is_all = F.col("_all") == 1
+    return sums.filter(is_all | F.col("group").isNotNull()).select(
+        F.when(is_all, "overall").otherwise("group").alias("kind"),
+        "group",
         "total",
         "removed",
         ratio(F.col("removed"), F.col("total")).alias("drop_rate"),
-        ratio(F.col("_positive"), F.col("total")).alias("rate_before"),
-        ratio(F.col("_kept_positive"), F.col("total") - F.col("removed")).alias("rate_after"),
+        F.when(is_all, ratio(F.col("_positive"), F.col("total"))).alias("rate_before"),
+        F.when(is_all, ratio(F.col("_kept"), F.col("total") - F.col("removed"))).alias("rate_after"),
     )
-    return per_group.unionByName(overall)
 
 
 def fill_unknown(df: DataFrame, categorical: Sequence[str]) -> DataFrame:

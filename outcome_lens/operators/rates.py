@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from outcome_lens.contract import Outcome, col
 from outcome_lens.functions.columns import ratio, require, same_keys, to_rows
 from outcome_lens.functions.ordering import running_totals
+from outcome_lens.session import durable
 
 FOLD_ABOVE = 20  # levels a panel may have before its rare levels are folded
 FOLD_KEEP = 14
@@ -36,25 +37,24 @@ def outcome_rate(
     if order_by:
         sums.append(F.min("_position").alias("position"))
     levels = to_rows(base, names, keep).groupBy("column", "level").agg(*sums)
-    extra = ["position"] if order_by else []
-    per_level = levels.filter(F.col("level").isNotNull()).select(
-        F.lit("level").alias("kind"), "column", "level", "positives", "n", ratio(F.col("positives"), F.col("n")).alias("ratio"), *extra
-    )
-    # every column splits the same rows, so the levels of one column add up to the whole table
-    overall = (
-        levels.filter(F.col("column") == names[0])
-        .agg(F.sum("positives").alias("positives"), F.sum("n").alias("n"))
-        .select(
-            F.lit("overall").alias("kind"),
-            F.lit(None).cast("string").alias("column"),
-            F.lit(None).cast("string").alias("level"),
-            F.coalesce("positives", F.lit(0)).alias("positives"),
-            F.coalesce("n", F.lit(0)).alias("n"),
-            ratio(F.col("positives"), F.col("n")).alias("ratio"),
-            *[F.lit(None).cast("double").alias(e) for e in extra],
-        )
+    # the totals come from the level rows, not from a second read; every column splits the same rows,
+    # so the levels of any one column add up to the whole table
+    again = [F.sum("positives").alias("positives"), F.sum("n").alias("n")]
+    if order_by:
+        again.append(F.min("position").alias("position"))
+    both = levels.groupingSets(
+        [[F.col("column"), F.col("level")], [F.col("column")]], F.col("column"), F.col("level")
+    ).agg(F.grouping("level").alias("_total"), *again)
+    is_total = F.col("_total") == 1
+    return both.filter(F.when(is_total, F.col("column") == names[0]).otherwise(F.col("level").isNotNull())).select(
+        F.when(is_total, "overall").otherwise("level").alias("kind"),
+        F.when(~is_total, F.col("column")).alias("column"),
+        "level",
+        "positives",
+        "n",
+        ratio(F.col("positives"), F.col("n")).alias("ratio"),
+        *([F.when(~is_total, F.col("position")).alias("position")] if order_by else []),
     )
-    return per_level.unionByName(overall)
 
 
 def rank_levels(rates: DataFrame) -> DataFrame:
@@ -69,7 +69,8 @@ def fold_rare(rates: DataFrame, above: int = FOLD_ABOVE, keep: int = FOLD_KEEP)
     Rows ``(column, level, folded, positives, n, ratio)``; the merged row is named ``other K``, K the
     number of levels in it, and its rate is that of all their rows.
     """
-    levels = rates.filter("kind = 'level'") if "kind" in rates.columns else rates
+    # one row per level, read by three steps: written once, so the table behind it is not read again
+    levels = durable(rates.filter("kind = 'level'") if "kind" in rates.columns else rates)
     largest = W.partitionBy("column").orderBy(F.col("n").desc(), F.col("level").asc())
     totals = levels.groupBy("column").agg(
         F.count(F.lit(1)).alias("_levels"), F.sum("positives").alias("_positives"), F.sum("n").alias("_n")

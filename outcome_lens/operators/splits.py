@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from outcome_lens.contract import AnalysisError, col
 from outcome_lens.functions.columns import require, same_keys, to_rows
 from outcome_lens.functions.sizes import hold_if_small
+from outcome_lens.session import durable
 
 
 def _side_counts(train: DataFrame, test: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -50,7 +51,8 @@ def unseen_levels(train: DataFrame, test: DataFrame, categorical: Sequence[str])
     names = [n for n in categorical if n in train.columns and n in test.columns]
     if not names:
         raise AnalysisError("none of the categorical columns is in both splits")
-    levels = _side_counts(to_rows(train, names), to_rows(test, names), ["column", "level"])
+    # written once: both splits are read for it, and two steps read it
+    levels = durable(_side_counts(to_rows(train, names), to_rows(test, names), ["column", "level"]))
     new = levels.filter("train_rows = 0")
     per_column = levels.groupBy("column").agg(
         F.sum("test_rows").alias("test_rows"),
