@@ -48,7 +48,7 @@ def missingness_impact(df: DataFrame, outcome: Outcome) -> DataFrame:
         F.sum("_positive").alias("_positive"),
         F.sum(F.col("_positive") * (1 - F.col("_gone"))).alias("_kept"),
     )
-    # the overall row adds up the groups; it exists for an empty table too
+    # the overall row adds up the groups, so the table is read once
     sums = groups.groupingSets([[F.col("group")], []], F.col("group")).agg(
         F.grouping("group").alias("_all"),
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "removed", "_positive", "_kept")],

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -108,7 +109,7 @@ def parsing(path: str) -> Iterator[None]:
     """Wrap the action on a scan: a file that does not parse is reported as the domain error."""
     try:
         yield
-    except PySparkException as error:
+    except (PySparkException, Py4JJavaError) as error:
         text = str(error)
         if any(sign in text for sign in ("FAILED_READ_FILE", "MALFORMED", "CAST_INVALID_INPUT")):
             raise AnalysisError(f"cannot parse {path}: {text.splitlines()[0]}") from error
