@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from outcome_lens.contract import AnalysisError, col
-from outcome_lens.functions.columns import number, numeric_columns, require, same_keys, to_rows
+from outcome_lens.functions.columns import number, numeric_columns, ratio, require, same_keys, to_rows
 from outcome_lens.functions.quantiles import quantiles
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -97,21 +97,28 @@ def correlation(df: DataFrame, names: Sequence[str] | None = None, triangle: str
     pairs = [(i, j) for i in range(len(names)) for j in range(i if triangle == "lower" else i + 1)]
     if not pairs:
         raise AnalysisError("a correlation needs at least two columns")
-    one = df.agg(
-        *[
-            F.struct(F.corr(x[i], x[j]).alias("r"), F.count(F.when(x[i].isNotNull() & x[j].isNotNull(), 1)).alias("n")).alias(f"_{i}_{j}")
-            for i, j in pairs
-        ]
-    )
+    def pair(i: int, j: int) -> Column:
+        both = x[i].isNotNull() & x[j].isNotNull()
+        return F.struct(
+            F.covar_pop(x[i], x[j]).alias("joint"),
+            F.stddev_pop(F.when(both, x[i])).alias("own"),
+            F.stddev_pop(F.when(both, x[j])).alias("other"),
+            F.count(F.when(both, 1)).alias("n"),
+        )
+
+    one = df.agg(*[pair(i, j).alias(f"_{i}_{j}") for i, j in pairs])
     entries = []
     for i, j in pairs:
+        found = f"_{i}_{j}"
+        # not the built-in corr: it divides by zero, an error in ANSI mode, where a column is constant
+        r = ratio(F.col(f"{found}.joint"), F.col(f"{found}.own") * F.col(f"{found}.other"))
         for a, b in {(i, j), (j, i)} if triangle == "full" else {(i, j)}:
             entries.append(
                 F.struct(
                     F.lit(names[a]).alias("a"),
                     F.lit(names[b]).alias("b"),
-                    F.when(~F.isnan(F.col(f"_{i}_{j}.r")), F.col(f"_{i}_{j}.r")).alias("r"),
-                    F.col(f"_{i}_{j}.n").alias("n"),
+                    r.alias("r"),
+                    F.col(f"{found}.n").alias("n"),
                 )
             )
     return one.select(F.explode(F.array(*entries)).alias("_e")).select("_e.*")
