@@ -1,6 +1,7 @@
 """Scores of a classifier on labelled rows: metrics at a threshold, curves over all of them.
 
-Every function takes a frame with a 0/1 ``label`` and a ``score`` column; no model is needed.
+Every function takes a frame with a 0/1 ``label`` and a ``score`` column; no model is needed. A row
+may stand for several equal ones: ``weight`` names the column with their number.
 """
 
 from __future__ import annotations
@@ -8,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from outcome_lens.contract import AnalysisError, col
+from outcome_lens.contract import col
 from outcome_lens.functions.columns import ratio, require
 from outcome_lens.functions.ordering import running_totals
 from outcome_lens.functions.sizes import SMALL_ROWS
@@ -16,18 +17,30 @@ from outcome_lens.functions.sizes import SMALL_ROWS
 DEFAULT_THRESHOLD = 0.5
 
 
+def _copies(weight: str | None) -> Column:
+    return F.lit(1).cast("long") if weight is None else col(weight).cast("long")
+
+
 def confusion(
-    scored: DataFrame, threshold: float = DEFAULT_THRESHOLD, label: str = "label", score: str = "score"
+    scored: DataFrame,
+    threshold: float = DEFAULT_THRESHOLD,
+    label: str = "label",
+    score: str = "score",
+    weight: str | None = None,
 ) -> DataFrame:
     """One row ``(tn, fp, fn, tp)``; a score at the threshold is predicted positive."""
     require(scored, label, score)
     hit = col(score) >= F.lit(float(threshold))
     real = col(label) == 1
+
+    def rows(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, _copies(weight))), F.lit(0))
+
     return scored.agg(
-        F.count_if(~real & ~hit).alias("tn"),
-        F.count_if(~real & hit).alias("fp"),
-        F.count_if(real & ~hit).alias("fn"),
-        F.count_if(real & hit).alias("tp"),
+        rows(~real & ~hit).alias("tn"),
+        rows(~real & hit).alias("fp"),
+        rows(real & ~hit).alias("fn"),
+        rows(real & hit).alias("tp"),
     )
 
 
@@ -43,19 +56,23 @@ def metric_columns() -> list[Column]:
 
 
 def classification_metrics(
-    scored: DataFrame, threshold: float = DEFAULT_THRESHOLD, label: str = "label", score: str = "score"
+    scored: DataFrame,
+    threshold: float = DEFAULT_THRESHOLD,
+    label: str = "label",
+    score: str = "score",
+    weight: str | None = None,
 ) -> DataFrame:
-    counts = confusion(scored, threshold, label, score)
+    counts = confusion(scored, threshold, label, score, weight)
     return counts.select(F.lit(float(threshold)).alias("threshold"), "*", *metric_columns())
 
 
-def _by_score(scored: DataFrame, label: str, score: str, small_rows: int) -> DataFrame:
+def _by_score(scored: DataFrame, label: str, score: str, small_rows: int, weight: str | None) -> DataFrame:
     """Per distinct score its rows, and the rows at or above it."""
     require(scored, label, score)
     counts = (
         scored.filter(col(score).isNotNull() & col(label).isNotNull())
         .groupBy(col(score).cast("double").alias("score"))
-        .agg(F.sum(col(label).cast("long")).alias("pos"), F.count(F.lit(1)).alias("n"))
+        .agg(F.sum(col(label).cast("long") * _copies(weight)).alias("pos"), F.sum(_copies(weight)).alias("n"))
     )
     return running_totals(
         counts, [], [F.col("score").desc()], {"tp": F.col("pos"), "_above": F.col("n")}, small_rows
@@ -69,10 +86,14 @@ def _totals(by_score: DataFrame) -> Column:
 
 
 def pr_curve(
-    scored: DataFrame, label: str = "label", score: str = "score", small_rows: int = SMALL_ROWS
+    scored: DataFrame,
+    label: str = "label",
+    score: str = "score",
+    small_rows: int = SMALL_ROWS,
+    weight: str | None = None,
 ) -> DataFrame:
     """Rows ``(threshold, tp, fp, precision, recall, f1)``, one per distinct score."""
-    by_score = _by_score(scored, label, score, small_rows)
+    by_score = _by_score(scored, label, score, small_rows, weight)
     positives = _totals(by_score)["pos"]
     return by_score.select(
         F.col("score").alias("threshold"), "tp", "fp", (positives - F.col("tp")).alias("fn")
@@ -87,14 +108,18 @@ def pr_curve(
 
 
 def ranking_metrics(
-    scored: DataFrame, label: str = "label", score: str = "score", small_rows: int = SMALL_ROWS
+    scored: DataFrame,
+    label: str = "label",
+    score: str = "score",
+    small_rows: int = SMALL_ROWS,
+    weight: str | None = None,
 ) -> DataFrame:
     """One row ``(positives, negatives, roc_auc, average_precision)``; equal scores are exact ties.
 
     ROC-AUC is the share of (positive, negative) pairs in the right order, ties counting half; it is
     NULL when there is only one class. Average precision is the step sum over the curve.
     """
-    by_score = _by_score(scored, label, score, small_rows)
+    by_score = _by_score(scored, label, score, small_rows, weight)
     total = _totals(by_score)
     pos, neg = total["pos"].cast("double"), (total["n"] - total["pos"]).cast("double")
     own_neg = (F.col("n") - F.col("pos")).cast("double")
@@ -125,10 +150,14 @@ def average_precision(scored: DataFrame, label: str = "label", score: str = "sco
 
 
 def best_f1_threshold(
-    scored: DataFrame, label: str = "label", score: str = "score", small_rows: int = SMALL_ROWS
+    scored: DataFrame,
+    label: str = "label",
+    score: str = "score",
+    small_rows: int = SMALL_ROWS,
+    weight: str | None = None,
 ) -> DataFrame:
     """One row ``(threshold, f1)``: the score with the largest F1, the lowest of a tie; 0.5 without rows."""
-    curve = pr_curve(scored, label, score, small_rows)
+    curve = pr_curve(scored, label, score, small_rows, weight)
     best = curve.agg(F.min(F.struct((-F.col("f1")).alias("minus"), "threshold")).alias("_best"))
     return best.select(
         F.coalesce("_best.threshold", F.lit(DEFAULT_THRESHOLD)).alias("threshold"),
@@ -137,15 +166,18 @@ def best_f1_threshold(
 
 
 def compare_thresholds(
-    out_of_fold: DataFrame, test: DataFrame, label: str = "label", score: str = "score"
+    out_of_fold: DataFrame,
+    test: DataFrame,
+    label: str = "label",
+    score: str = "score",
+    weight: str | None = None,
 ) -> DataFrame:
     """Two rows: all metrics on ``test`` at 0.5, and at the threshold that is best out of fold."""
-    row = best_f1_threshold(out_of_fold, label, score).first()
-    if row is None:
-        raise AnalysisError("no out-of-fold scores")
-    ranks = ranking_metrics(test, label, score).first()
+    row = best_f1_threshold(out_of_fold, label, score, weight=weight).first()
+    ranks = ranking_metrics(test, label, score, weight=weight).first()
+
     def at(kind: str, threshold: float) -> DataFrame:
-        return classification_metrics(test, threshold, label, score).select(
+        return classification_metrics(test, threshold, label, score, weight).select(
             F.lit(kind).alias("kind"),
             "*",
             F.lit(ranks["roc_auc"]).cast("double").alias("roc_auc"),

@@ -19,13 +19,14 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from outcome_lens.contract import AnalysisError, Outcome
+from outcome_lens.contract import AnalysisError, Outcome, col
 from outcome_lens.functions.columns import number, require, to_rows
 from outcome_lens.operators.levels import level_counts
 
 # Columns a model may have: its normal equations are a square matrix of this size on the driver.
 MAX_FEATURES = 2000
 NUMERIC_CONTRAST = "1 SD"
+GROUPING_PAYS = 20  # rows per combination from which equal rows are counted together
 
 
 def fit_scaler(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
@@ -68,6 +69,7 @@ class Design:
     outcome: Outcome
     rows: int
     positives: int
+    distinct: int  # about how many different combinations of features and label the rows hold
     means: dict[str, float]
     scales: dict[str, float]
     levels: dict[str, tuple[tuple[str, int], ...]]  # reference first, then by name
@@ -87,12 +89,16 @@ def display_name(feature: str, level: str | None) -> str:
     return feature if level is None else f"{feature}_{level}"
 
 
-def _moments(df: DataFrame, numeric: Sequence[str], outcome: Outcome, by: Sequence[str] = ()) -> list[Row]:
+def _moments(
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], outcome: Outcome, by: Sequence[str] = ()
+) -> list[Row]:
     """Rows, positives, and per number its count, mean and population variance, in one scan."""
+    combination = F.xxhash64(*[col(n) for n in [*numeric, *categorical]], outcome.flag())
     return (
         df.groupBy(*by)
         .agg(
             F.count(F.lit(1)).alias("rows"),
+            F.approx_count_distinct(combination).alias("distinct"),
             F.coalesce(F.sum(outcome.flag()), F.lit(0)).alias("positives"),
             *[F.count(number(df, n)).alias(f"n{i}") for i, n in enumerate(numeric)],
             *[F.avg(number(df, n)).alias(f"mean{i}") for i, n in enumerate(numeric)],
@@ -135,6 +141,7 @@ def _combined(
         outcome=outcome,
         rows=sum(m["rows"] for m in moments),
         positives=sum(m["positives"] for m in moments),
+        distinct=sum(m["distinct"] for m in moments),
         means=means,
         scales=scales,
         levels=ordered,
@@ -148,7 +155,7 @@ def fit_design(
     require(df, *numeric, *categorical, outcome.column)
     if not [*numeric, *categorical]:
         raise AnalysisError("a model needs at least one feature")
-    moments = _moments(df, numeric, outcome)
+    moments = _moments(df, numeric, categorical, outcome)
     if not moments[0]["rows"]:
         raise AnalysisError("no training rows")
     levels = _level_rows(level_counts(df, categorical), MAX_FEATURES) if categorical else []
@@ -160,7 +167,7 @@ def fit_fold_designs(
 ) -> list[Design]:
     """The design of each fold's training part, that is of all other folds, from two scans for all."""
     require(df, *numeric, *categorical, outcome.column, fold)
-    moments = _moments(df, numeric, outcome, [fold])
+    moments = _moments(df, numeric, categorical, outcome, [fold])
     levels: list[Row] = []
     if categorical:
         counts = (
@@ -231,6 +238,24 @@ def without_internal(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("__")])
 
 
+def model_rows(df: DataFrame, design: Design, keep: Sequence[str] = ()) -> DataFrame:
+    """What a model reads of ``df``: its columns, ``_label``, and ``_rows``, the copies a row stands for.
+
+    The loss of equal rows is that of one row times their number, so they are counted together where
+    that shrinks the table far enough to pay for the shuffle. Every pass of a solver, and every
+    score, is then over the combinations and not over the rows. The result is the same either way.
+    """
+    names = list(dict.fromkeys([*design.numeric, *design.categorical, *keep]))
+    rows = df.select(*[col(n) for n in names], design.outcome.flag().alias("_label"))
+    if not grouping_pays(design):
+        return rows.withColumn("_rows", F.lit(1).cast("long"))
+    return rows.groupBy(*[col(n) for n in names], "_label").agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def grouping_pays(design: Design) -> bool:
+    return design.distinct * GROUPING_PAYS <= design.rows
+
+
 def design_metadata(df: DataFrame, design: Design) -> DataFrame:
     """Rows ``(slot, feature, level, name, contrast, is_dropped)``; dropped rows are the references."""
     rows = [
