@@ -46,7 +46,9 @@ def _lines(t: Tables):
 
 def report(t: Tables):
     lines = _lines(t)
-    return outcome_report(lines.filter("l_orderkey % 3 <> 0"), lines.filter("l_orderkey % 3 = 0"), spec())
+    return outcome_report(
+        lines.filter("l_orderkey % 3 <> 0"), lines.filter("l_orderkey % 3 = 0"), spec(), tables=["facts"]
+    )
 
 
 TRAIN = f"(SELECT DISTINCT * FROM {LINES} WHERE l_orderkey % 3 <> 0 AND status IS NOT NULL)"
@@ -124,4 +126,4 @@ def _report_sql() -> str:
 
 @bind(_report_sql(), ["value", "low", "high"], digits=4)
 def flagship_outcome_report(t: Tables):
-    return shown(report(t)["conclusions"])
+    return shown(report(t)["facts"])

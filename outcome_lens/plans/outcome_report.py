@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import cache, partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,11 +54,16 @@ class ReportSpec:
 
 
 def outcome_report(
-    train: DataFrame, test: DataFrame, spec: ReportSpec, model_path: str | None = None
+    train: DataFrame,
+    test: DataFrame,
+    spec: ReportSpec,
+    model_path: str | None = None,
+    tables: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Every result table by name. The cleaned splits are stored once, and all steps read them.
+    """Result tables by name: all of them, or the chosen ``tables`` and only the work these need.
 
-    With ``model_path`` the model is saved there, and must predict the same after loading.
+    The cleaned splits are stored once, and every step reads them. With ``model_path`` the model is
+    saved there, and must predict the same after loading.
     """
     outcome = spec.outcome
     numeric = list(spec.described_numeric or spec.numeric)
@@ -66,57 +72,98 @@ def outcome_report(
         raise AnalysisError("the factor and the excluded column must be model features")
     model = (list(spec.numeric), list(spec.categorical), outcome)
 
-    train_clean = stored(clean(train), "train")
-    test_clean = stored(clean(test), "test")
-    train_unknown = stored(clean(train, UNKNOWN, categorical), "train-unknown")
-
-    found: dict[str, DataFrame] = {
-        "cleaning": cleaning_summary({"train": train, "test": test}, outcome),
-        "describe": describe_numeric(train_clean, numeric),
-        "describe_all": describe_all(train_clean),
-        "correlation": correlation(train_clean, numeric),
-        "shapes": shape_profile(train_clean, numeric),
-        "box": box_stats(train_clean, spec.compared, outcome.column),
-        "rates": outcome_rate(train_clean, categorical, outcome),
-        "crosstab": crosstab(train_clean, spec.factor, outcome.column),
-        "chi_square": chi_square(train_clean, spec.factor, outcome.column),
-        "welch": welch_t(train_clean, spec.compared, outcome.column, outcome.positive, spec.negative),
-        "overlap": split_overlap(train_clean, test_clean),
-        "unseen": unseen_levels(train_clean, test_clean, categorical),
-    }
-    found["folded_rates"] = fold_rare(found["rates"])
+    kept = stored(clean(train), "train")
+    held = stored(clean(test), "test")
+    build: dict[str, Callable[[], DataFrame]] = {}
+
+    def table(step: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
+        """Register a step under its name; it runs at most once."""
+        build[step.__name__] = cache(step)
+        return build[step.__name__]
+
+    @cache
+    def fit():
+        return fit_score(kept, held, *model)
+
+    @cache
+    def coefs() -> DataFrame:
+        return coefficient_stats(fit()[0], kept)
+
+    build["cleaning"] = lambda: cleaning_summary({"train": train, "test": test}, outcome)
+    build["describe"] = lambda: describe_numeric(kept, numeric)
+    build["describe_all"] = lambda: describe_all(kept)
+    build["correlation"] = lambda: correlation(kept, numeric)
+    build["shapes"] = lambda: shape_profile(kept, numeric)
+    build["box"] = lambda: box_stats(kept, spec.compared, outcome.column)
+    build["rates"] = lambda: outcome_rate(kept, categorical, outcome)
+    build["folded_rates"] = lambda: fold_rare(outcome_rate(kept, categorical, outcome))
+    build["crosstab"] = lambda: crosstab(kept, spec.factor, outcome.column)
+    build["overlap"] = lambda: split_overlap(kept, held)
+    build["unseen"] = lambda: unseen_levels(kept, held, categorical)
     for name, cap in spec.caps.items():
-        found[f"topcode_{name}"] = topcode_profile(train_clean, name, cap, outcome)
+        build[f"topcode_{name}"] = partial(topcode_profile, kept, name, cap, outcome)
     for name, companion in spec.companions.items():
-        found[f"rates_{name}"] = outcome_rate(train_clean, [name], outcome, order_by=companion)
+        build[f"rates_{name}"] = partial(outcome_rate, kept, [name], outcome, order_by=companion)
     if spec.excluded in spec.categorical and spec.excluded != spec.factor:
-        found["purity"] = level_purity(train_clean, spec.factor, spec.excluded, spec.pure_levels)
-
-    fitted, metrics = fit_score(train_clean, test_clean, *model)
-    coefs = coefficient_stats(fitted, train_clean)
-    names = list(spec.categorical)
-    found["metrics"] = metrics
-    found["coefficients"] = annotate_coefficients(
-        coefs, level_counts(train_clean, names), reference_levels(train_clean, names), fitted.design.rows
-    )
-    found["strongest_coefficients"] = top_bottom(found["coefficients"], "coef", PLACES, ["name"])
-    found["thresholds"] = threshold_analysis(fitted, train_clean, test_clean, spec.fold, spec.folds)
-    # the model of the drop strategy is the one fitted above: only the other is fitted here
-    found["strategies"] = metrics.select(F.lit(DROP).alias("strategy"), "*").unionByName(
-        compare_strategies({UNKNOWN: train_unknown}, test_clean, *model)
-    )
-    found["strategy_verdict"] = strategy_verdict(found["strategies"])
-    found["sensitivity"] = sensitivity(train_clean, test_clean, *model, excluded=spec.excluded, focus=spec.factor)
+        build["purity"] = lambda: level_purity(kept, spec.factor, spec.excluded, spec.pure_levels)
+
+    @table
+    def chi_square_test():
+        return chi_square(kept, spec.factor, outcome.column)
+
+    @table
+    def welch_test():
+        return welch_t(kept, spec.compared, outcome.column, outcome.positive, spec.negative)
+
+    @table
+    def metrics():
+        return fit()[1]
+
+    @table
+    def coefficients():
+        names = list(spec.categorical)
+        return annotate_coefficients(coefs(), level_counts(kept, names), reference_levels(kept, names), fit()[0].design.rows)
+
+    @table
+    def strongest_coefficients():
+        return top_bottom(coefficients(), "coef", PLACES, ["name"])
+
+    @table
+    def thresholds():
+        return threshold_analysis(fit()[0], kept, held, spec.fold, spec.folds)
+
+    @table
+    def strategies():
+        # the model of the drop strategy is fitted already: only the other one is fitted here
+        unknown = stored(clean(train, UNKNOWN, categorical), "train-unknown")
+        other = compare_strategies({UNKNOWN: unknown}, held, *model)
+        return metrics().select(F.lit(DROP).alias("strategy"), "*").unionByName(other)
+
+    @table
+    def strategy_choice():
+        return strategy_verdict(strategies())
+
+    @table
+    def sensitivity_refit():
+        return sensitivity(kept, held, *model, excluded=spec.excluded, focus=spec.factor)
+
     if model_path is not None:
-        found["saved_model"] = save_and_verify(fitted.model, test_clean, model_path)
-    found["conclusions"] = conclusions(
-        chi_square=found["chi_square"],
-        welch=found["welch"],
-        rates=outcome_rate(train_clean, [spec.factor], outcome),
-        coefs=coefs,
-        focus=spec.factor,
-        sensitivity=found["sensitivity"],
-        thresholds=found["thresholds"],
-        strategies=found["strategies"],
-    )
-    return found
+        build["saved_model"] = lambda: save_and_verify(fit()[0].model, held, model_path)
+
+    @table
+    def facts():
+        return conclusions(
+            chi_square=chi_square_test(),
+            welch=welch_test(),
+            rates=outcome_rate(kept, [spec.factor], outcome),
+            coefs=coefs(),
+            focus=spec.factor,
+            sensitivity=sensitivity_refit(),
+            thresholds=thresholds(),
+            strategies=strategies(),
+        )
+
+    unknown_names = set(tables or ()) - set(build)
+    if unknown_names:
+        raise AnalysisError(f"no result table named {', '.join(sorted(unknown_names))}")
+    return {name: build[name]() for name in (build if tables is None else tables)}

@@ -209,7 +209,7 @@ def test_one_class_and_empty_input_are_refused(buyers):
 
 def test_whole_census_report(people):
     found = outcome_report(people, people, census_spec())
-    facts = {(r["fact"], r["item"]): r for r in found["conclusions"].collect()}
+    facts = {(r["fact"], r["item"]): r for r in found["facts"].collect()}
     assert facts["mean difference", ""]["verdict"] == "different"
     assert facts["mean difference", ""]["value"] == pytest.approx(15.0)
     assert found["overlap"].first()["test_rows_hit"] == 60
@@ -218,6 +218,26 @@ def test_whole_census_report(people):
     assert found["rates_education"].filter("kind = 'level'").count() == 2
 
 
+def test_report_builds_only_what_is_asked_for(people):
+    assert set(outcome_report(people, people, census_spec(), tables=["overlap"])) == {"overlap"}
+    with pytest.raises(AnalysisError, match="no result table"):
+        outcome_report(people, people, census_spec(), tables=["absent"])
+
+
+def test_counting_equal_rows_changes_no_result(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [(i, int(n), str(g), "y" if rng.random() < 0.2 + 0.1 * n else "n") for i, (n, g) in enumerate(zip(rng.integers(0, 4, 800), rng.choice(["a", "b"], 800), strict=True))]
+    df = spark.createDataFrame(rows, "id long, n int, g string, bought string")
+    found = []
+    for pays in (1, 10**9):  # always group, never group
+        monkeypatch.setattr("outcome_lens.operators.design.GROUPING_PAYS", pays)
+        fitted, metrics = fit_score(df, df, ["n"], ["g"], BOUGHT)
+        se = [r["se"] for r in coefficient_stats(fitted, df).collect()]
+        tuned = [tuple(r)[1:] for r in threshold_analysis(fitted, df, df, F.col("id") % 5).orderBy("kind").collect()]
+        found.append([*fitted.coefficients, *se, *metrics.first(), *tuned[0], *tuned[1]])
+    assert found[0] == pytest.approx(found[1], rel=1e-5, abs=1e-6)
+
+
 def test_job_writes_its_results(spark, people, tmp_path):
     def file(name, dotted):
         lines = [", ".join(str(v) for v in r) + ("." if dotted else "") for r in people.collect()]
@@ -229,7 +249,7 @@ def test_job_writes_its_results(spark, people, tmp_path):
     assert main([file("train", False), file("test", True), out, "r1"]) == 0
     assert read_results(spark, out, "reader_difference_test", "r1").count() == 0
     assert read_results(spark, out, "saved_model", "r1").first()["mismatches"] == 0
-    assert read_results(spark, out, "conclusions", "r1").count() > 5
+    assert read_results(spark, out, "facts", "r1").count() > 5
     assert main([str(tmp_path / "absent"), str(tmp_path / "absent"), out]) == 1
     assert main([]) == 2
 

@@ -107,6 +107,13 @@ def test_results_do_not_depend_on_partitions(spark, tied):
     assert few["roc_auc"] == pytest.approx(many["roc_auc"], rel=1e-13)
 
 
+def test_weights_stand_for_copies(spark, tied):
+    df = frame(spark, *tied)
+    counted = df.groupBy("label", "score").agg(F.count("*").alias("w"))
+    for metric in (ranking_metrics, confusion, best_f1_threshold):
+        assert list(metric(df).first()) == pytest.approx(list(metric(counted, weight="w").first()), rel=1e-12)
+
+
 def test_threshold_rows_share_the_ranking(spark, tied):
     df = frame(spark, *tied)
     rows = {r["kind"]: r for r in compare_thresholds(df, df).collect()}
