@@ -24,3 +24,8 @@ def hold_if_small(df: DataFrame, rows: int = SMALL_ROWS) -> tuple[DataFrame, boo
     if len(found) > rows:
         return df, False
     return df.sparkSession.createDataFrame(found, df.schema), True
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """A result of a fixed few rows, computed now: whatever uses it later does not run its plan again."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from outcome_lens.contract import col
 from outcome_lens.functions.columns import ratio, require
 from outcome_lens.functions.ordering import running_totals
-from outcome_lens.functions.sizes import SMALL_ROWS
+from outcome_lens.functions.sizes import SMALL_ROWS, settled
 
 DEFAULT_THRESHOLD = 0.5
 
@@ -184,4 +184,4 @@ def compare_thresholds(
             F.lit(ranks["average_precision"]).cast("double").alias("average_precision"),
         )
 
-    return at("default", DEFAULT_THRESHOLD).unionByName(at("tuned", row["threshold"]))
+    return settled(at("default", DEFAULT_THRESHOLD).unionByName(at("tuned", row["threshold"])))

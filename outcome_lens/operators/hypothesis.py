@@ -79,7 +79,7 @@ def welch_t(
         row = stats.first()
         if row["n_a"] == 0 or row["n_b"] == 0:
             raise AnalysisError(f"an empty group: {a} has {row['n_a']} rows, {b} has {row['n_b']}")
-        stats = df.sparkSession.createDataFrame([row], stats.schema)
+        stats = df.sparkSession.createDataFrame([row], stats.schema)  # as ``settled``, after the check
     half = t_critical(F.col("dof"), alpha) * F.col("se")
     tested = stats.select(
         "*", half.alias("_half"), t_p(F.col("t"), F.col("dof")).alias("_p"), t_log10_p(F.col("t"), F.col("dof")).alias("_log10_p")
