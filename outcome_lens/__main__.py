@@ -1,4 +1,4 @@
-"""`spark-submit`-able job: the report of the census income table from its two files.
+"""The job that reports on the census income table from its two files.
 
     python -m outcome_lens TRAIN_CSV TEST_CSV RESULT_FOLDER [RUN_ID]
 """
