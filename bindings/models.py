@@ -227,7 +227,7 @@ def m13_threshold_analysis(t: Tables):
 def _gram_sql() -> str:
     """Per-row averages of Z'WZ; the two dummy columns add up to that of the level in the model."""
     fit = NewtonSql(ONE_MODEL, NUMERIC, STATUS)
-    rows = f"(SELECT m, p, x0 AS z0, x1 AS z1, x2 + x3 AS z2 FROM {fit._weighted(fit.beta)})"
+    rows = f"(SELECT m, p, x0 AS z0, x1 AS z1, x2 + x3 AS z2 FROM {fit.weighted(fit.beta)})"
     pairs = " UNION ALL ".join(
         f"SELECT CAST({i} AS BIGINT) AS i, CAST({j} AS BIGINT) AS j, sum(m * p * (1 - p) * z{i} * z{j}) / sum(m) AS value FROM {rows}"
         for i in range(3)

@@ -66,7 +66,7 @@ class NewtonSql:
         zeros = ", ".join(f"CAST(0 AS DOUBLE) AS b{i}" for i in range(self.width))
         self.parts.append(f"b0 AS MATERIALIZED (SELECT g, {zeros} FROM sc)")
 
-    def _weighted(self, beta: str) -> str:
+    def weighted(self, beta: str) -> str:
         eta = " + ".join(f"b{i} * x{i}" for i in range(self.width))
         return f"(SELECT *, 1.0 / (1.0 + exp(-({eta}))) AS p FROM x JOIN {beta} USING (g))"
 
@@ -97,7 +97,7 @@ class NewtonSql:
                 cells.append(f"{self.gram(f'b{k}', i, j)} + {self.penalty[i] if i == j else 0.0} AS a{i}_{j}")
             cells.append(f"sum(m * (y - p) * x{i}) - {self.penalty[i]} * b{i} AS a{i}_{w}")
         bs = ", ".join(f"b{i}" for i in range(w))
-        self.parts.append(f"h{k} AS MATERIALIZED (SELECT g, {bs}, {', '.join(cells)} FROM {self._weighted(f'b{k}')} GROUP BY g, {bs})")
+        self.parts.append(f"h{k} AS MATERIALIZED (SELECT g, {bs}, {', '.join(cells)} FROM {self.weighted(f'b{k}')} GROUP BY g, {bs})")
         solved = self._solve(f"h{k}", 1)
         new = ", ".join(f"b{i} + a{i}_{w} AS b{i}" for i in range(w))
         self.parts.append(f"b{k + 1} AS MATERIALIZED (SELECT g, {new} FROM {solved})")
@@ -111,7 +111,7 @@ class NewtonSql:
                 cells.append(f"{self.gram(self.beta, i, j)} + {self.penalty[i] if i == j else 0.0} AS a{i}_{j}")
             cells += [f"CAST({int(i == j)} AS DOUBLE) AS a{i}_{w + j}" for j in range(w)]
         bs = ", ".join(f"b{i}" for i in range(w))
-        self.parts.append(f"inv AS MATERIALIZED (SELECT g, {bs}, {', '.join(cells)} FROM {self._weighted(self.beta)} GROUP BY g, {bs})")
+        self.parts.append(f"inv AS MATERIALIZED (SELECT g, {bs}, {', '.join(cells)} FROM {self.weighted(self.beta)} GROUP BY g, {bs})")
         return self._solve("inv", w)
 
     def with_clause(self) -> str:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from outcome_lens.contract import col
 from outcome_lens.functions.columns import number, require, same_keys
 from outcome_lens.functions.ordering import running_totals
-from outcome_lens.functions.sizes import SMALL_ROWS, fits, hold_if_small
+from outcome_lens.functions.sizes import fits, hold_if_small
 
 ACCURACY = 10_000
 
@@ -146,4 +146,4 @@ def positions_of(probs: Sequence[float]) -> Column:
     return F.array(*[F.lit(p) for p in probs])
 
 
-__all__ = ["ACCURACY", "SMALL_ROWS", "quantiles"]
+__all__ = ["ACCURACY", "quantiles"]

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from outcome_lens.contract import CENSUS, AnalysisError, Outcome
+from outcome_lens.contract import CENSUS, AnalysisError
 from outcome_lens.operators.caveats import level_purity, topcode_profile
 from outcome_lens.operators.compare import compare_frames, compare_multisets, comparison_summary
 from outcome_lens.operators.quality import (
