@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +33,23 @@ FILE_SCHEMA = "doc_id long, part int, before long, n_tokens int, ids array<int>"
 CACHED_PIECES = 1_000_000  # distinct pieces a worker keeps the ids of, about 200 bytes each
 ROWS_PER_BATCH = 500
 PIECE = re.compile(r" ?\S+|\s+(?!\S)|\s+")
+# Letters, then marks: two pre-tokens whatever the words are.
+PLAIN = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?|*%&#$]*)")
+WHITE = re.compile(r"\s")
 SPACE_AFTER_SPACE = re.compile(r"\s ")
 
 
+def shown_bytes() -> dict[int, str]:
+    """The character by which a byte-level vocabulary shows each byte: visible Latin-1 characters show
+    themselves, and the other bytes, in order, the characters from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return {byte: chr(byte if byte in visible else next(others)) for byte in range(256)}
+
+
+SHOWN_BYTES = shown_bytes()
+
+
 class KnownPieces(dict):
     """Bytes of the ids of pieces of text; a piece that is asked for the first time is encoded."""
 
@@ -44,10 +59,22 @@ class KnownPieces(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.newline = np.array(self.tokenizer.encode("\n", add_special_tokens=False).ids, "<u4").tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        self[piece] = found = np.array(ids, "<u4").tobytes()
+        plain = PLAIN.fullmatch(piece)
+        lines = piece.split("\n")
+        if len(lines) > 1 and all(lines) and not WHITE.search("".join(lines).lstrip(" ")):
+            found = self.newline.join(map(self.__getitem__, lines))  # a line break before a word is a pre-token
+        elif plain is None:
+            found = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+        elif plain[2]:
+            found = self[plain[1]] + self[plain[2]]
+        else:
+            # one pre-token of letters: the library's model can be asked without its pre-tokenizer
+            shown = piece.encode().decode("latin-1").translate(SHOWN_BYTES)
+            found = array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
+        self[piece] = found
         return found
 
 
