@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 # Words of the contamination and near-duplicate rules, over text with A-Z lower-cased.
 WORD = "[^\x00-\x2f\x3a-\x60\x7b-\x7f]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-ASCII_LOWER = dict(zip(map(ord, UPPER), LOWER, strict=True))
 
 
 def whole_text(name: str = "text") -> Column:
@@ -27,5 +26,5 @@ def texts(docs: DataFrame) -> DataFrame:
 
 
 def words_of(text: str, pattern) -> list[str]:
-    """``pattern``'s words of one text with A-Z lower-cased."""
-    return pattern.findall(text.lower() if text.isascii() else text.translate(ASCII_LOWER))
+    """``pattern``'s words of one text with A-Z lower-cased; other letters keep their case."""
+    return pattern.findall(text.encode().lower().decode())

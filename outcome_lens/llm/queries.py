@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from outcome_lens.llm import token_ids
+from outcome_lens.llm import contamination, main_text, mixing, token_ids, toxicity, url_rules, warc
 from outcome_lens.session import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,8 +29,44 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.toxicity(docs, toxicity.learn(docs, table(spark, folder, "labels")))
+
+
+@query
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query
 def op5_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "token-ids")
     token_ids.write_token_ids(table(spark, folder, "documents"), path, byte_bpe())
     return token_ids.document_positions(spark, path)
+
+
+@query
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixture(table(spark, folder, "documents"))
+
+
+@query
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_path(spark, "warc")
+    warc.write_archives(table(spark, folder, "pages"), path)
+    return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return url_rules.judged(table(spark, folder, "pages"))
+
+
+@query
+def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text.main_texts(table(spark, folder, "pages"))
+
+
+SQL["op9_url_filters"] = url_rules.judged_sql()
