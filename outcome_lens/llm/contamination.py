@@ -181,7 +181,7 @@ def _search(shared, window: int):
             row = {**had, "n_words": len(words), "longest": max(longest, had["longest"])}
             if spans:
                 spans = merged([*spans, *((s["first"], s["last"]) for s in had["spans"])])
-                places = [m.span() for m in WORDS.finditer(one)]
+                places = [m.span() for m in WORDS.finditer(one.encode().lower().decode())]
                 row["spans"] = [{"first": a, "last": b} for a, b in spans]
                 row["cuts"] = [{"first": places[a][0], "last": places[b - 1][1]} for a, b in spans]
                 row["items"] = sorted({*had["items"], *found} - {None})

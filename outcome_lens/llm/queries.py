@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from outcome_lens.llm import contamination, main_text, mixing, token_ids, toxicity, url_rules, warc
+from outcome_lens.llm import contamination, main_text, mixing, near_duplicates, token_ids, toxicity, url_rules, warc
 from outcome_lens.session import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,11 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(docs, toxicity.learn(docs, table(spark, folder, "labels")))
 
 
+@query
+def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, folder, "documents"))
+
+
 @query
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
