@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from outcome_lens.llm import contamination, main_text, mixing, near_duplicates, token_ids, toxicity, url_rules, warc
+from outcome_lens.llm import contamination, main_text, mixing, near_duplicates, personal_data, token_ids, toxicity, url_rules, warc
 from outcome_lens.session import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,11 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query
+def op1_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data.personal_data(table(spark, folder, "documents"))
+
+
 @query
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
