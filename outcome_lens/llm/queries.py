@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from outcome_lens.llm import contamination, main_text, mixing, near_duplicates, personal_data, token_ids, toxicity, url_rules, warc
+from outcome_lens.llm import contamination, main_text, mixing, near_duplicates, perplexity, personal_data, token_ids, toxicity, url_rules, warc
 from outcome_lens.session import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,11 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixture(table(spark, folder, "documents"))
 
 
+@query
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return perplexity.quality(table(spark, folder, "documents"))
+
+
 @query
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "warc")

@@ -21,14 +21,14 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(raw: list[bytes], in_word: np.ndarray = IN_WORD) -> tuple[np.ndarray, np.ndarray]:
     """A hash of every word of the texts in order, and how many words each text has.
 
-    A word's hash is a polynomial over its bytes, from running sums over all bytes.
+    ``in_word`` tells which bytes belong to words; a line break must not. A word's hash is a
+    polynomial over its bytes, from running sums over all bytes.
     """
-    raw = [t.encode().lower() for t in texts]
     data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
-    inside = IN_WORD[data]
+    inside = in_word[data]
     edge = np.flatnonzero(np.diff(np.concatenate([[False], inside]).astype(np.int8)))
     starts, ends = edge[::2], edge[1::2]
     powers = np.empty(len(data), np.uint64)
@@ -49,7 +49,7 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def shingles(texts: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of ``size`` words, and the index of the text of each; a shorter text that has
     words is one run."""
-    words, counts = word_hashes(texts)
+    words, counts = word_hashes([t.encode().lower() for t in texts])
     firsts = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)
     runs = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
     owner = np.repeat(np.arange(len(texts)), runs)
