@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bindings.registry import Tables, bind
-from outcome_lens.contract import Field, Outcome, SourceContract
+from outcome_lens.contract import AnalysisError, Field, Outcome, SourceContract
 from outcome_lens.operators.rates import outcome_rate
 from outcome_lens.session import new_path
-from outcome_lens.sources import normalise, read_contract, read_raw, read_results, write_results
+from outcome_lens.sources import normalise, parsing, read_contract, read_raw, read_results, write_results
 
 ORDER_LINES = SourceContract(
     fields=(
@@ -55,6 +55,28 @@ def _shown(df):
     )
 
 
+@bind(
+    """
+    SELECT 'good' AS file, count(*) AS "rows", '' AS failed FROM orders
+    UNION ALL SELECT 'malformed', 0, 'cannot parse' FROM region WHERE r_regionkey = 0
+    UNION ALL SELECT 'absent', 0, 'no data file' FROM region WHERE r_regionkey = 0
+    """
+)
+def s3_domain_error(t: Tables):
+    """One row a file: its rows, or the domain error that reading it ends in."""
+    bad = new_path(t.spark, "malformed-csv")
+    t.orders.select(F.concat_ws(", ", "o_orderstatus", "o_custkey", "o_orderpriority", "o_totalprice", "o_orderstatus").alias("value")).write.text(bad)
+    rows = []
+    for file, path in (("good", _order_file(t)), ("malformed", bad), ("absent", new_path(t.spark, "absent-csv"))):
+        try:
+            with parsing(path):
+                found = read_contract(t.spark, path, ORDER_LINES).agg(*[F.count(F.lit(1)).alias("n"), F.count("order_key"), F.count("total")]).first()
+            rows.append((file, found["n"], ""))
+        except AnalysisError as error:
+            rows.append((file, 0, next((k for k in ("cannot parse", "no data file") if k in str(error)), str(error))))
+    return t.spark.createDataFrame(rows, "file string, rows long, failed string")
+
+
 @bind(ORDER_ROWS_SQL, ["total"])
 def s1_read_contract(t: Tables):
     return _shown(read_contract(t.spark, _order_file(t), ORDER_LINES))
@@ -115,5 +137,5 @@ def s5_write_results(t: Tables):
     path = new_path(t.spark, "results")
     rates = outcome_rate(t.lineitem, ["l_linestatus"], Outcome("l_returnflag", "R"))
     write_results({"rates": rates}, path, "first")
-    write_results({"rates": rates.limit(1)}, path, "second")
+    write_results({"rates": rates.withColumn("n", F.lit(0).cast("long"))}, path, "second")
     return read_results(t.spark, path, "rates", "first").filter("kind = 'level'").select("run_id", "level", "n", "positives")

@@ -39,6 +39,8 @@ STATUS = {"l_linestatus": ["F", "O"]}
 # whether quantity times discount is high: an outcome that quantity predicts, though not fully
 LINES = "(SELECT *, CAST(l_quantity * l_discount > 1.2 AS INT) AS y FROM lineitem)"
 TRAIN, TEST = "l_orderkey % 3 <> 0", "l_orderkey % 3 = 0"
+WHOLE_MODEL = f"SELECT 1 AS g, y, l_quantity, l_linestatus FROM {LINES}"
+WHOLE_FOLDS = f"SELECT f.range AS g, y, l_quantity, l_linestatus FROM {LINES}, range(5) f WHERE l_orderkey % 5 <> f.range"
 ONE_MODEL = f"SELECT 1 AS g, y, l_quantity, l_linestatus FROM {LINES} WHERE {TRAIN}"
 FOLD_MODELS = f"SELECT f.range AS g, y, l_quantity, l_linestatus FROM {LINES}, range(5) f WHERE {TRAIN} AND l_orderkey % 5 <> f.range"
 
@@ -116,7 +118,7 @@ def m3_design_metadata(t: Tables):
 
 
 def _fit_sql() -> str:
-    fit = NewtonSql(ONE_MODEL, NUMERIC, STATUS)
+    fit = NewtonSql(WHOLE_MODEL, NUMERIC, STATUS)
     dummies = " UNION ALL ".join(
         f"SELECT 'l_linestatus_{v}', b{i + 2} FROM {fit.beta} JOIN facts USING (g) WHERE ref0 <> '{v}'" for i, (_, v) in enumerate(fit.dummies)
     )
@@ -125,8 +127,7 @@ def _fit_sql() -> str:
 
 @bind(_fit_sql(), ["coef"], digits=4)
 def m4_fit_logistic(t: Tables):
-    train, _ = _split(t)
-    fitted = fit_logistic(train, NUMERIC, CATEGORICAL, COSTLY)
+    fitted = fit_logistic(_lines(t), NUMERIC, CATEGORICAL, COSTLY)
     names = [f if level is None else f"{f}_{level}" for f, level in fitted.design.features]
     rows = [("intercept", fitted.intercept), *zip(names, fitted.coefficients, strict=True)]
     return t.spark.createDataFrame(rows, "name string, coef double")
@@ -154,6 +155,22 @@ def m5_score(t: Tables):
     )
 
 
+@bind(
+    """
+    SELECT count(*) AS n, count(DISTINCT l_orderkey * 10 + l_linenumber) AS keys, CAST(sum(l_orderkey) AS DOUBLE) AS kept,
+           CAST(sum(CAST(l_quantity * l_discount > 1.2 AS INT)) AS BIGINT) AS labels FROM lineitem
+    """,
+    ["kept"],
+)
+def m5_score_keeps_columns(t: Tables):
+    """A column that looks internal, and one with a dot, go through scoring."""
+    lines = _lines(t).withColumn("__key", F.col("l_orderkey") * 10 + F.col("l_linenumber")).withColumn("key.part", F.col("l_orderkey").cast("double"))
+    scored = score(fit_logistic(lines, NUMERIC, CATEGORICAL, COSTLY).model, lines, COSTLY)
+    return scored.filter("score between 0 and 1").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("__key").alias("keys"), F.sum("`key.part`").alias("kept"), F.sum("label").alias("labels")
+    )
+
+
 @bind(
     f"""
     SELECT l_orderkey % 5 AS fold, count(*) AS n, CAST(sum(y) AS BIGINT) AS positives, avg(y) AS positive_rate
@@ -178,24 +195,31 @@ def m12_stratified_folds(t: Tables):
     return fold_balance(numbered, building, F.col("fold")).drop("positive_rate")
 
 
-def _fold_scores(fit: NewtonSql) -> str:
-    rows = f"(SELECT l_orderkey % 5 AS g, y AS label, l_quantity, l_linestatus FROM {LINES} WHERE {TRAIN})"
+def _fold_scores(fit: NewtonSql, condition: str = "TRUE") -> str:
+    rows = f"(SELECT l_orderkey % 5 AS g, y AS label, l_quantity, l_linestatus FROM {LINES} WHERE {condition})"
     return _scored_sql(fit, rows)
 
 
 def _fold_sql() -> str:
-    fit = NewtonSql(FOLD_MODELS, NUMERIC, STATUS)
+    fit = NewtonSql(WHOLE_FOLDS, NUMERIC, STATUS)
     return f"""{fit.with_clause()} SELECT g AS fold, l_quantity, l_linestatus, count(*) AS n, avg(score) AS score
         FROM {_fold_scores(fit)} GROUP BY 1, 2, 3"""
 
 
 @bind(_fold_sql(), ["l_quantity", "score"], digits=4)
 def m12_out_of_fold(t: Tables):
-    train, _ = _split(t)
-    held = out_of_fold(train, NUMERIC, CATEGORICAL, COSTLY, F.col("l_orderkey") % 5)
+    held = out_of_fold(_lines(t), NUMERIC, CATEGORICAL, COSTLY, F.col("l_orderkey") % 5)
     return held.groupBy("fold", "l_quantity", "l_linestatus").agg(F.count(F.lit(1)).alias("n"), F.avg("score").alias("score"))
 
 
+@bind("SELECT count(*) AS n, count(DISTINCT l_orderkey) AS keys FROM lineitem")
+def m12_out_of_fold_negative_keys(t: Tables):
+    """Keys on both sides of zero: folds are taken with a positive remainder, and no row is lost."""
+    shifted = _lines(t).withColumn("l_orderkey", F.col("l_orderkey") - 7000)
+    held = out_of_fold(shifted, NUMERIC, CATEGORICAL, COSTLY, F.pmod("l_orderkey", F.lit(5)))
+    return held.filter("score between 0 and 1").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("l_orderkey").alias("keys"))
+
+
 def metrics_sql(scored: str, threshold: str = "0.5") -> str:
     return f"""
     SELECT tn, fp, fn, tp, {METRIC_SQL}, roc_auc, average_precision FROM ({counts_sql(scored, threshold)}), ({auc_sql(scored)}), ({precision_sql(scored)})
@@ -208,7 +232,7 @@ ALL_METRICS = [*METRICS, "roc_auc", "average_precision"]
 def _threshold_sql() -> str:
     folds = NewtonSql(FOLD_MODELS, NUMERIC, STATUS)
     one = NewtonSql(ONE_MODEL, NUMERIC, STATUS)
-    held = f"({folds.with_clause()} SELECT label, score FROM {_fold_scores(folds)})"
+    held = f"({folds.with_clause()} SELECT label, score FROM {_fold_scores(folds, TRAIN)})"
     test = f"({one.with_clause()} SELECT label, score FROM {_scored_sql(one, TEST_ROWS)})"
     return f"""
     WITH held AS MATERIALIZED {held}, tested AS MATERIALIZED {test}, best AS MATERIALIZED ({best_sql("held")})
@@ -226,7 +250,7 @@ def m13_threshold_analysis(t: Tables):
 
 def _gram_sql() -> str:
     """Per-row averages of Z'WZ; the two dummy columns add up to that of the level in the model."""
-    fit = NewtonSql(ONE_MODEL, NUMERIC, STATUS)
+    fit = NewtonSql(WHOLE_MODEL, NUMERIC, STATUS)
     rows = f"(SELECT m, p, x0 AS z0, x1 AS z1, x2 + x3 AS z2 FROM {fit.weighted(fit.beta)})"
     pairs = " UNION ALL ".join(
         f"SELECT CAST({i} AS BIGINT) AS i, CAST({j} AS BIGINT) AS j, sum(m * p * (1 - p) * z{i} * z{j}) / sum(m) AS value FROM {rows}"
@@ -238,13 +262,13 @@ def _gram_sql() -> str:
 
 @bind(_gram_sql(), ["value"], digits=5)
 def m14_gram_matrix(t: Tables):
-    train, _ = _split(t)
+    train = _lines(t)
     fitted = fit_logistic(train, NUMERIC, CATEGORICAL, COSTLY)
     return gram_matrix(fitted, train).select("i", "j", (F.col("value") / fitted.design.rows).alias("value"))
 
 
 def _coefficient_sql() -> str:
-    fit = NewtonSql(ONE_MODEL, NUMERIC, STATUS)
+    fit = NewtonSql(WHOLE_MODEL, NUMERIC, STATUS)
     inverse = fit.invert()
     w = fit.width
     named = [("l_quantity", 1, "TRUE")] + [(f"l_linestatus_{v}", i + 2, f"ref0 <> '{v}'") for i, (_, v) in enumerate(fit.dummies)]
@@ -261,7 +285,7 @@ COEFFICIENTS = ["coef", "se", "odds_ratio", "or_low", "or_high"]
 
 @bind(_coefficient_sql(), COEFFICIENTS, digits=4)
 def m14_coefficient_stats(t: Tables):
-    train, _ = _split(t)
+    train = _lines(t)
     fitted = fit_logistic(train, NUMERIC, CATEGORICAL, COSTLY)
     return coefficient_stats(fitted, train).select("name", *COEFFICIENTS)
 
@@ -416,8 +440,8 @@ def m20_strongest(t: Tables):
     return strongest(_log_odds(t))
 
 
-@bind(f"SELECT count(*) AS \"rows\", CAST(0 AS BIGINT) AS mismatches FROM lineitem WHERE {TEST}")
+@bind("SELECT count(*) AS \"rows\", CAST(0 AS BIGINT) AS mismatches FROM lineitem")
 def s4_save_and_verify(t: Tables):
-    train, test = _split(t)
-    fitted = fit_logistic(train, NUMERIC, CATEGORICAL, COSTLY)
-    return save_and_verify(fitted.model, test, new_path(t.spark, "model"))
+    lines = _lines(t)
+    fitted = fit_logistic(lines, NUMERIC, CATEGORICAL, COSTLY)
+    return save_and_verify(fitted.model, lines, new_path(t.spark, "model"))

@@ -213,7 +213,7 @@ def a9_fold_rare(t: Tables):
 
 @bind(
     """
-    WITH o AS (SELECT o_orderstatus AS a, o_orderpriority AS b FROM orders WHERE NOT (o_orderstatus = 'F' AND o_orderpriority = '2-HIGH')),
+    WITH o AS (SELECT o_orderstatus AS a, CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '2-HIGH' THEN '1-URGENT' ELSE o_orderpriority END AS b FROM orders),
          r AS (SELECT a, count(*) AS x FROM o GROUP BY a), c AS (SELECT b, count(*) AS y FROM o GROUP BY b)
     SELECT r.a, c.b, (SELECT count(*) FROM o WHERE o.a = r.a AND o.b = c.b) AS observed, x * y / (SELECT count(*) FROM o) AS expected
     FROM r, c
@@ -221,8 +221,33 @@ def a9_fold_rare(t: Tables):
     ["expected"],
 )
 def a10_crosstab(t: Tables):
-    some = t.orders.filter("not (o_orderstatus = 'F' and o_orderpriority = '2-HIGH')")
-    return crosstab(some, "o_orderstatus", "o_orderpriority")
+    raised = F.when((F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "2-HIGH"), "1-URGENT").otherwise(F.col("o_orderpriority"))
+    return crosstab(t.orders.withColumn("o_orderpriority", raised), "o_orderstatus", "o_orderpriority")
+
+
+@bind(
+    """
+    WITH o AS (SELECT CAST(o_custkey AS VARCHAR) AS a, CAST(o_orderkey AS VARCHAR) AS b FROM orders),
+         r AS (SELECT a, count(*) AS x FROM o GROUP BY a), c AS (SELECT b, count(*) AS y FROM o GROUP BY b)
+    SELECT a, b, count(*) AS observed, any_value(x) * any_value(y) / (SELECT count(*) FROM o) AS expected
+    FROM o JOIN r USING (a) JOIN c USING (b) GROUP BY a, b
+    """,
+    ["expected"],
+)
+def a10_crosstab_many_levels(t: Tables):
+    return crosstab(t.orders, "o_custkey", "o_orderkey", zero_cells=False)
+
+
+@bind(
+    """
+    SELECT o_orderstatus AS "group", o_orderkey - (SELECT min(o_orderkey) FROM orders) AS bin, count(*) AS n, count(*) / (sum(count(*)) OVER (PARTITION BY o_orderstatus)) AS density
+    FROM orders GROUP BY o_orderstatus, o_orderkey
+    """,
+    ["density"],
+)
+def a13_histogram_of_keys(t: Tables):
+    """A discrete histogram of a key lists the bins that occur."""
+    return histogram(t.orders, "o_orderkey", "o_orderstatus", scale="discrete").select("group", "bin", "n", "density")
 
 
 LEVELS = ["p_brand", "p_type", "p_size"]
@@ -283,7 +308,7 @@ def a13_histogram_log(t: Tables):
     ["lo", "hi", "density"],
 )
 def a13_histogram_discrete(t: Tables):
-    return histogram(t.lineitem, "l_quantity", "l_returnflag", scale="discrete")
+    return histogram(t.lineitem, "l_quantity", "l_returnflag", scale="discrete", empty_bins=True)
 
 
 def _shape_sql(x: str, table: str, label: str) -> str:

@@ -256,8 +256,8 @@ def q8_split_overlap(t: Tables):
 
 @bind(
     """
-    WITH m AS (SELECT *, strftime(o_orderdate, '%Y-%m') AS month, o_orderstatus || CAST(o_custkey % 7 AS VARCHAR) AS code FROM orders),
-         train AS (SELECT * FROM m WHERE o_orderdate < TIMESTAMP '1997-01-01' AND code <> 'F3'),
+    WITH m AS (SELECT *, strftime(o_orderdate, '%Y-%m') AS month, CASE WHEN o_orderdate >= TIMESTAMP '1997-06-01' AND o_custkey % 7 = 3 THEN 'new' ELSE o_orderstatus || CAST(o_custkey % 7 AS VARCHAR) END AS code FROM orders),
+         train AS (SELECT * FROM m WHERE o_orderdate < TIMESTAMP '1997-01-01' ),
          test AS (SELECT * FROM m WHERE o_orderdate >= TIMESTAMP '1996-12-01'),
          flags AS (SELECT month NOT IN (SELECT month FROM train) AS new_month, code NOT IN (SELECT code FROM train) AS new_code FROM test)
     SELECT 'month' AS "column", count(*) AS test_rows, count(*) FILTER (WHERE new_month) AS unseen_rows FROM flags
@@ -269,9 +269,11 @@ def q9_unseen_levels(t: Tables):
     m = t.orders.select(
         "o_orderdate",
         F.date_format("o_orderdate", "yyyy-MM").alias("month"),
-        F.concat("o_orderstatus", (F.col("o_custkey") % 7).cast("string")).alias("code"),
+        F.when(F.expr("o_orderdate >= timestamp '1997-06-01' and o_custkey % 7 = 3"), "new")
+        .otherwise(F.concat("o_orderstatus", (F.col("o_custkey") % 7).cast("string")))
+        .alias("code"),
     )
-    train = m.filter("o_orderdate < timestamp '1997-01-01' and code <> 'F3'")
+    train = m.filter("o_orderdate < timestamp '1997-01-01'")
     test = m.filter("o_orderdate >= timestamp '1996-12-01'")
     return unseen_levels(train, test, ["month", "code"]).withColumn("column", F.coalesce("column", F.lit("(any)")))
 

@@ -116,7 +116,7 @@ PRICES = "(SELECT CAST(l_quantity > 25 AS INT) AS label, l_extendedprice AS scor
 @bind(f"SELECT * EXCLUDE (p) FROM ({curve_sql(PRICES)})", ["threshold", "precision", "recall", "f1"])
 def m10_pr_curve_sliced(t: Tables):
     prices = t.lineitem.select((F.col("l_quantity") > 25).cast("int").alias("label"), F.col("l_extendedprice").alias("score"))
-    return pr_curve(prices, small_rows=5000)
+    return pr_curve(prices)
 
 
 @bind(best_sql(GRADES), ["threshold", "f1"])

@@ -13,10 +13,12 @@ from outcome_lens.contract import (
     CENSUS_NUMERIC_FEATURES,
     AnalysisError,
 )
+from outcome_lens.functions.sizes import settled
 from outcome_lens.operators.compare import compare_multisets
 from outcome_lens.operators.logistic import hash_fold
+from outcome_lens.plans.conclusions import reader_equality
 from outcome_lens.plans.outcome_report import ReportSpec, outcome_report
-from outcome_lens.session import get_session, stored
+from outcome_lens.session import get_session, stored, temporary_tables
 from outcome_lens.sources import normalise, parsing, read_contract, read_raw, write_results
 
 
@@ -40,15 +42,19 @@ def census_spec() -> ReportSpec:
 
 def run(train_path: str, test_path: str, result_path: str, run_id: str = "latest") -> None:
     spark = get_session("census report")
-    splits, results = {}, {}
-    for split, path in (("train", train_path), ("test", test_path)):
-        with parsing(path):
-            # parsed once: every later step reads columns of the stored table
-            splits[split] = stored(read_contract(spark, path, CENSUS), split)
-            both = compare_multisets(splits[split], normalise(read_raw(spark, path, CENSUS), CENSUS))
+    with temporary_tables(spark):
+        splits, equal = {}, []
+        for split, path in (("train", train_path), ("test", test_path)):
+            with parsing(path):
+                # parsed once: every later step reads columns of the stored table
+                splits[split] = stored(read_contract(spark, path, CENSUS), split)
+                again = stored(normalise(read_raw(spark, path, CENSUS), CENSUS), f"{split}-again")
+            both = compare_multisets(splits[split], again)
             write_results({f"reader_difference_{split}": both}, result_path, run_id)
-    results.update(outcome_report(splits["train"], splits["test"], census_spec(), f"{result_path}/model"))
-    write_results(results, result_path, run_id)
+            equal.append(settled(reader_equality(split, splits[split].count(), again.count(), both)))
+        readers = equal[0].unionByName(equal[1])
+        results = outcome_report(splits["train"], splits["test"], census_spec(), f"{result_path}/model", readers=readers)
+        write_results({"readers": readers, **results}, result_path, run_id)
 
 
 def main(arguments: list[str]) -> int:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -11,39 +10,22 @@ from pyspark.sql import functions as F
 
 from outcome_lens.contract import col
 from outcome_lens.functions.columns import same_keys
-from outcome_lens.functions.sizes import SMALL_ROWS
 from outcome_lens.session import durable
 
-MAX_SLICES = 20_000
-
 
 def running_totals(
-    df: DataFrame,
-    by: Sequence[str],
-    order: Sequence[Column],
-    totals: Mapping[str, Column],
-    small_rows: int = SMALL_ROWS,
+    df: DataFrame, by: Sequence[str], order: Sequence[Column], totals: Mapping[str, Column]
 ) -> DataFrame:
     """Add each total, summed from the first row of its group up to and including the row.
 
     ``(by, order)`` must be unique, as it is after a ``groupBy``; pre-aggregation is what keeps a
-    hot value from filling one slice. Small inputs take one window. Others are range-partitioned
-    into slices of equal size: totals run within a slice, and the sum of the slices before it is
+    hot value from filling one slice. Rows are range-partitioned into slices, as many as adaptive execution finds
+    the data need: totals run within a slice, and the sum of the slices before it is
     added. The slice number is written out before use, so a retried task cannot move a row.
     """
-    named = df.select("*", *[c.alias(f"_add_{t}") for t, c in totals.items()])
-    placed = durable(named)
-    rows = placed.count()
     group = [col(b) for b in by]
-    if rows <= small_rows:
-        window = W.partitionBy(*group).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-        done = placed.select("*", *[F.sum(f"_add_{t}").over(window).alias(t) for t in totals])
-        return done.drop(*[f"_add_{t}" for t in totals])
-
-    slices = min(MAX_SLICES, math.ceil(rows / small_rows))
-    sliced = durable(
-        placed.repartitionByRange(slices, *group, *order).withColumn("_slice", F.spark_partition_id())
-    )
+    named = df.select("*", *[c.alias(f"_add_{t}") for t, c in totals.items()])
+    sliced = durable(named.repartitionByRange(*group, *order).withColumn("_slice", F.spark_partition_id()))
     earlier = W.partitionBy(*group).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     before = (
         sliced.groupBy(*group, "_slice")

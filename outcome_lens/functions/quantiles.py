@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from outcome_lens.contract import col
 from outcome_lens.functions.columns import number, require, same_keys
 from outcome_lens.functions.ordering import running_totals
-from outcome_lens.functions.sizes import fits, hold_if_small
+from outcome_lens.session import durable
 
 ACCURACY = 10_000
 
@@ -23,12 +23,10 @@ def quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     exact: bool = True,
-    small_rows: int = 1_000_000,
 ) -> DataFrame:
     """Rows ``(*by, column, p, value)``; exact values interpolate linearly between neighbours.
 
-    Up to ``small_rows`` rows the built-in ``percentile`` is used: its value map is bounded by the
-    row count. Beyond that, cut points from a quantile sketch split each column into ranges, the
+    Cut points from a quantile sketch split each column into ranges, the
     ranges are counted, and only the rows in the few narrow ranges that hold a wanted rank are
     shuffled. The sketch decides how narrow those ranges are, never which value is returned.
     ``exact=False`` returns the sketch's own answer, a rank error of at most 1 in 10,000.
@@ -36,16 +34,11 @@ def quantiles(
     require(df, *names, *by)
     probs = [float(p) for p in probs]
     cells = df.select(*[col(b) for b in by], *[number(df, n).alias(f"_x{i}") for i, n in enumerate(names)])
-    if exact and not fits(cells, small_rows):
+    if exact:
         return _select(cells, list(names), probs, list(by))
     wanted = F.array(*[F.lit(p) for p in probs])
-    pick = (
-        (lambda c: F.percentile(c, wanted))
-        if exact
-        else (lambda c: F.percentile_approx(c, wanted, ACCURACY))
-    )
     wide = cells.groupBy(*[col(b) for b in by]).agg(
-        *[pick(F.col(f"_x{i}")).alias(f"_q{i}") for i in range(len(names))]
+        *[F.percentile_approx(F.col(f"_x{i}"), wanted, ACCURACY).alias(f"_q{i}") for i in range(len(names))]
     )
     entries = [
         F.struct(
@@ -70,7 +63,7 @@ def _select(cells: DataFrame, names: list[str], probs: list[float], by: list[str
     sketch = cells.groupBy(*group).agg(
         *[F.percentile_approx(f"_x{i}", positions, ACCURACY).alias(f"_cut{i}") for i in range(len(names))]
     )
-    sketch, _ = hold_if_small(sketch)
+    sketch = durable(sketch)  # made in one scan, and read by the steps below
     if by:
         joined = same_keys(cells, sketch, by)
         cuts = [[F.get(F.col(f"_cut{i}"), F.lit(g)) for g in range(len(grid))] for i in range(len(names))]
@@ -113,7 +106,7 @@ def _select(cells: DataFrame, names: list[str], probs: list[float], by: list[str
         .filter((F.col("_rank") < F.col("_until")) & (F.col("_rank") >= F.col("_until") - F.col("_rows")))
         .select(*[col(k) for k in key], "range", "p", "_at", "_rank", (F.col("_until") - F.col("_rows")).alias("_skip"))
     )
-    wanted, _ = hold_if_small(wanted)
+    wanted = durable(wanted)
 
     values = (
         same_keys(

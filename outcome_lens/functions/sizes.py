@@ -1,31 +1,17 @@
-"""Row-count checks that decide between a bounded plan and the general one."""
+"""Small results on the driver."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Rows that one task may sort, or one driver may hold for a broadcast, without strain.
-SMALL_ROWS = 100_000
+from outcome_lens.contract import AnalysisError
 
-
-def fits(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; reads no further than it must."""
-    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
-
-
-def hold_if_small(df: DataFrame, rows: int = SMALL_ROWS) -> tuple[DataFrame, bool]:
-    """``df`` as a local relation when it is proven small, else ``df`` itself.
-
-    Catalyst knows the exact size of a local relation and broadcasts it by its own threshold.
-    A larger ``df`` stays distributed, and joins to it shuffle.
-    """
-    found = df.limit(rows + 1).collect()
-    if len(found) > rows:
-        return df, False
-    return df.sparkSession.createDataFrame(found, df.schema), True
+MOST_SETTLED = 1_000  # rows of a result that is a table of metrics
 
 
 def settled(df: DataFrame) -> DataFrame:
     """A result of a fixed few rows, computed now: whatever uses it later does not run its plan again."""
-    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+    rows = df.limit(MOST_SETTLED + 1).collect()
+    if len(rows) > MOST_SETTLED:
+        raise AnalysisError(f"a result of more than {MOST_SETTLED} rows is no table of metrics")
+    return df.sparkSession.createDataFrame(rows, df.schema)

@@ -16,22 +16,40 @@ from pyspark.sql import functions as F
 
 TINY = 1e-300
 ROUNDING = 3e-16
-STEPS = 20_000
+STEPS = 20_000  # a series that has not converged by then gives no value
+LARGE = 10_000.0  # from here on the expansion for large shapes is exact to rounding
+# Taylor coefficients of the first two correction terms of that expansion, near the mean.
+NEAR_FIRST = (-1 / 3, 1 / 12, -2 / 135, 1 / 864, 1 / 2835)
+NEAR_SECOND = (-1 / 540, -1 / 288, 1 / 378, -77 / 77760)
 
 
 def log_gamma_tail(a: float, x: float) -> float:
     """log Q(a, x), the regularised upper incomplete gamma function."""
     if x <= 0:
         return 0.0
+    if a > LARGE:
+        return _log_gamma_tail_uniform(a, x)
     scale = a * math.log(x) - x - math.lgamma(a)
     if x < a + 1:
-        term = total = 1.0 / a
-        for k in range(1, STEPS):
-            term *= x / (a + k)
-            total += term
-            if term < total * ROUNDING:
-                break
-        return math.log1p(-min(1.0, math.exp(scale) * total)) if scale + math.log(total) < 0 else -math.inf
+        return _log_one_minus(scale + math.log(_gamma_series(a, x)))
+    return scale + math.log(_gamma_fraction(a, x))
+
+
+def _log_one_minus(log_part: float) -> float:
+    return math.log1p(-math.exp(log_part)) if log_part < 0 else -math.inf
+
+
+def _gamma_series(a: float, x: float) -> float:
+    term = total = 1.0 / a
+    for k in range(1, STEPS):
+        term *= x / (a + k)
+        total += term
+        if term < total * ROUNDING:
+            return total
+    return math.nan
+
+
+def _gamma_fraction(a: float, x: float) -> float:
     # modified Lentz evaluation of the continued fraction
     b = x + 1 - a
     c, d = 1 / TINY, 1 / b
@@ -45,8 +63,38 @@ def log_gamma_tail(a: float, x: float) -> float:
         c = c if abs(c) > TINY else TINY
         h *= c * d
         if abs(c * d - 1) < ROUNDING:
-            break
-    return scale + math.log(h)
+            return h
+    return math.nan
+
+
+def _log_erfcx(z: float) -> float:
+    """log of exp(z^2) erfc(z), for z >= 0."""
+    if z < 20:
+        return math.log(math.erfc(z)) + z * z
+    w = 1 / (2 * z * z)
+    return math.log1p(-w * (1 - 3 * w * (1 - 5 * w * (1 - 7 * w)))) - math.log(z) - 0.5 * math.log(math.pi)
+
+
+def _log_gamma_tail_uniform(a: float, x: float) -> float:
+    """log Q(a, x) by the uniform expansion for large ``a``: a normal tail and its correction, whose next term is of
+    the order of 1 / a^2."""
+    mu = (x - a) / a
+    if abs(mu) < 1e-3:
+        half_square = mu * mu * (1 / 2 - mu * (1 / 3 - mu * (1 / 4 - mu * (1 / 5 - mu / 6))))
+    else:
+        half_square = mu - math.log1p(mu)
+    eta = math.copysign(math.sqrt(2 * half_square), mu)
+    if abs(eta) < 0.03:
+        first = sum(c * eta**k for k, c in enumerate(NEAR_FIRST))
+        second = sum(c * eta**k for k, c in enumerate(NEAR_SECOND))
+    else:
+        first = 1 / mu - 1 / eta
+        second = 1 / eta**3 - 1 / mu**3 - 1 / mu**2 - 1 / (12 * mu)
+    correction = (first + second / a) / math.sqrt(2 * math.pi * a)
+    z = eta * math.sqrt(a / 2)
+    if z >= 0:
+        return -z * z + math.log(0.5 * math.exp(_log_erfcx(z)) + correction)
+    return math.log(min(1.0, 0.5 * math.erfc(z) + math.exp(-z * z) * correction))
 
 
 def log_beta_lower(a: float, b: float, x: float, y: float) -> float:
@@ -86,8 +134,8 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
             c = c if abs(c) > TINY else TINY
             h *= c * d
         if abs(c * d - 1) < ROUNDING:
-            break
-    return h
+            return h
+    return math.nan
 
 
 def log_chi2_tail(x: float, dof: float) -> float:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from outcome_lens.contract import col
 from outcome_lens.functions.columns import ratio, require
 from outcome_lens.functions.ordering import running_totals
-from outcome_lens.functions.sizes import SMALL_ROWS, settled
+from outcome_lens.functions.sizes import settled
 
 DEFAULT_THRESHOLD = 0.5
 
@@ -21,6 +21,14 @@ def _copies(weight: str | None) -> Column:
     return F.lit(1).cast("long") if weight is None else col(weight).cast("long")
 
 
+def checked(scored: DataFrame, label: str, score: str) -> tuple[Column, Column]:
+    """Score and label; a row without a label of 0 or 1, or without a score that is a number, stops the job."""
+    require(scored, label, score)
+    bad = col(score).isNull() | F.isnan(col(score).cast("double")) | col(label).isNull() | ~col(label).isin(0, 1)
+    message = F.lit("a row to be evaluated has a score that is no number, or a label other than 0 and 1")
+    return F.when(bad, F.raise_error(message).cast("double")).otherwise(col(score).cast("double")), col(label).cast("long")
+
+
 def confusion(
     scored: DataFrame,
     threshold: float = DEFAULT_THRESHOLD,
@@ -29,9 +37,9 @@ def confusion(
     weight: str | None = None,
 ) -> DataFrame:
     """One row ``(tn, fp, fn, tp)``; a score at the threshold is predicted positive."""
-    require(scored, label, score)
-    hit = col(score) >= F.lit(float(threshold))
-    real = col(label) == 1
+    number, truth = checked(scored, label, score)
+    hit = number >= F.lit(float(threshold))
+    real = truth == 1
 
     def rows(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, _copies(weight))), F.lit(0))
@@ -66,16 +74,14 @@ def classification_metrics(
     return counts.select(F.lit(float(threshold)).alias("threshold"), "*", *metric_columns())
 
 
-def _by_score(scored: DataFrame, label: str, score: str, small_rows: int, weight: str | None) -> DataFrame:
+def _by_score(scored: DataFrame, label: str, score: str, weight: str | None) -> DataFrame:
     """Per distinct score its rows, and the rows at or above it."""
-    require(scored, label, score)
-    counts = (
-        scored.filter(col(score).isNotNull() & col(label).isNotNull())
-        .groupBy(col(score).cast("double").alias("score"))
-        .agg(F.sum(col(label).cast("long") * _copies(weight)).alias("pos"), F.sum(_copies(weight)).alias("n"))
+    number, truth = checked(scored, label, score)
+    counts = scored.groupBy(number.alias("score")).agg(
+        F.sum(truth * _copies(weight)).alias("pos"), F.sum(_copies(weight)).alias("n")
     )
     return running_totals(
-        counts, [], [F.col("score").desc()], {"tp": F.col("pos"), "_above": F.col("n")}, small_rows
+        counts, [], [F.col("score").desc()], {"tp": F.col("pos"), "_above": F.col("n")}
     ).withColumn("fp", F.col("_above") - F.col("tp"))
 
 
@@ -89,11 +95,10 @@ def pr_curve(
     scored: DataFrame,
     label: str = "label",
     score: str = "score",
-    small_rows: int = SMALL_ROWS,
     weight: str | None = None,
 ) -> DataFrame:
     """Rows ``(threshold, tp, fp, precision, recall, f1)``, one per distinct score."""
-    by_score = _by_score(scored, label, score, small_rows, weight)
+    by_score = _by_score(scored, label, score, weight)
     positives = _totals(by_score)["pos"]
     return by_score.select(
         F.col("score").alias("threshold"), "tp", "fp", (positives - F.col("tp")).alias("fn")
@@ -111,7 +116,6 @@ def ranking_metrics(
     scored: DataFrame,
     label: str = "label",
     score: str = "score",
-    small_rows: int = SMALL_ROWS,
     weight: str | None = None,
 ) -> DataFrame:
     """One row ``(positives, negatives, roc_auc, average_precision)``; equal scores are exact ties.
@@ -119,7 +123,7 @@ def ranking_metrics(
     ROC-AUC is the share of (positive, negative) pairs in the right order, ties counting half; it is
     NULL when there is only one class. Average precision is the step sum over the curve.
     """
-    by_score = _by_score(scored, label, score, small_rows, weight)
+    by_score = _by_score(scored, label, score, weight)
     total = _totals(by_score)
     pos, neg = total["pos"].cast("double"), (total["n"] - total["pos"]).cast("double")
     own_neg = (F.col("n") - F.col("pos")).cast("double")
@@ -153,11 +157,10 @@ def best_f1_threshold(
     scored: DataFrame,
     label: str = "label",
     score: str = "score",
-    small_rows: int = SMALL_ROWS,
     weight: str | None = None,
 ) -> DataFrame:
     """One row ``(threshold, f1)``: the score with the largest F1, the lowest of a tie; 0.5 without rows."""
-    curve = pr_curve(scored, label, score, small_rows, weight)
+    curve = pr_curve(scored, label, score, weight)
     best = curve.agg(F.min(F.struct((-F.col("f1")).alias("minus"), "threshold")).alias("_best"))
     return best.select(
         F.coalesce("_best.threshold", F.lit(DEFAULT_THRESHOLD)).alias("threshold"),

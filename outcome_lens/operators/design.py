@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -168,6 +169,13 @@ def fit_fold_designs(
     """The design of each fold's training part, that is of all other folds, from two scans for all."""
     require(df, *numeric, *categorical, outcome.column, fold)
     moments = _moments(df, numeric, categorical, outcome, [fold])
+    found = {m[fold] for m in moments}
+    if found != set(range(k)):
+        strange = sorted((f for f in found if f is not None and not 0 <= f < k), key=str)[:5]
+        raise AnalysisError(
+            f"folds must be exactly 0 to {k - 1}: others {strange}, rows without a fold: {None in found}, "
+            f"folds without rows: {sorted(set(range(k)) - found)}"
+        )
     levels: list[Row] = []
     if categorical:
         counts = (
@@ -230,12 +238,21 @@ def design_stages(design: Design, sample: DataFrame) -> list:
 
 
 def encode(df: DataFrame, design: Design) -> DataFrame:
-    """``df`` with the sparse ``features`` vector added."""
-    return without_internal(PipelineModel(design_stages(design, df)).transform(df))
+    """``df`` with the sparse ``features`` vector added; a column of that name is an error."""
+    refuse_taken(df, ["features"])
+    done = PipelineModel(design_stages(design, df)).transform(df)
+    return done.select(*[col(c) for c in df.columns], "features")
+
+
+INTERNAL = re.compile("__[zcios][0-9]+", re.IGNORECASE)  # the columns of the stages above
 
 
-def without_internal(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith("__")])
+def refuse_taken(df: DataFrame, names: Sequence[str]) -> None:
+    """An error if ``df`` has a column that would be overwritten."""
+    made = {n.lower() for n in names}
+    taken = [c for c in df.columns if c.lower() in made or INTERNAL.fullmatch(c)]
+    if taken:
+        raise AnalysisError(f"columns {taken} have names of columns that are added here: rename them")
 
 
 def model_rows(df: DataFrame, design: Design, keep: Sequence[str] = ()) -> DataFrame:

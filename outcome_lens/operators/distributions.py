@@ -5,15 +5,16 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outcome_lens.contract import AnalysisError, col
 from outcome_lens.functions.columns import number, require, same_keys, to_rows
 from outcome_lens.functions.quantiles import quantiles
-from outcome_lens.functions.sizes import hold_if_small
+from outcome_lens.session import durable
 
 BINS = 36
+MOST_LISTED = 10_000  # bins a histogram may have for empty ones to be listed
 WHISKER = 1.5
 SKEW_ZERO_SHARE = 0.5
 DISCRETE_LEVELS = 20
@@ -21,12 +22,16 @@ CLIP_QUANTILE = 0.995
 CLIP_FACTOR = 1.5
 
 
-def histogram(df: DataFrame, name: str, group: str, bins: int = BINS, scale: str = "linear") -> DataFrame:
+def histogram(
+    df: DataFrame, name: str, group: str, bins: int = BINS, scale: str = "linear", empty_bins: bool | None = None
+) -> DataFrame:
     """Rows ``(group, bin, lo, hi, n, density)``; bins span the common range of all groups.
 
     The density of each group has area 1 on its own. ``log10`` drops values up to 0 and cuts equal
     widths of the logarithm (the density is per unit of it); ``discrete`` centres bins of width 1 on
-    whole numbers. Empty bins are listed; the last bin includes its upper edge.
+    whole numbers. The last bin includes its upper edge. Bins without values are listed if
+    ``empty_bins``, which is the default except for ``discrete`` bins, whose number the data decide; a range of over
+    ``MOST_LISTED`` bins is then an error.
     """
     if scale not in ("linear", "log10", "discrete"):
         raise AnalysisError(f"scale is linear, log10 or discrete, not {scale!r}")
@@ -41,31 +46,39 @@ def histogram(df: DataFrame, name: str, group: str, bins: int = BINS, scale: str
     low, high = edges["lo"], edges["hi"]
     if low is None:
         raise AnalysisError(f"{name} has no value to draw a histogram of")
+    listed = scale != "discrete" if empty_bins is None else empty_bins
     if scale == "discrete":
         low, bins, width = low - 0.5, int(round(high) - round(low)) + 1, 1.0
     else:
         if low == high:
             low, high = low - 0.5, high + 0.5
         width = (high - low) / bins
-    slot = F.least(F.floor((F.col("x") - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).cast("int")
-    counts = cells.groupBy("group", slot.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    # a group has at most one entry per bin here, so its bins fit one row
-    filled = counts.groupBy("group").agg(
-        F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_n"), F.sum("n").alias("_total")
-    ).select("group", "_n", "_total", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-
-    def edge(step):
-        at = F.lit(low) + step * F.lit(width)
-        return F.pow(F.lit(10.0), at) if scale == "log10" else at
-
-    n = F.coalesce(F.element_at("_n", F.col("bin")), F.lit(0))
+    if listed and bins > MOST_LISTED:
+        raise AnalysisError(f"{bins} bins are too many to list empty ones: leave them out")
+
+    def at(step: Column) -> Column:
+        return F.when(step == bins, F.lit(float(high))).otherwise(F.lit(low) + step * F.lit(width)) if scale != "discrete" else F.lit(low) + step * F.lit(width)
+
+    # a quotient may round across an edge: the edges themselves decide
+    near = F.least(F.greatest(F.floor((F.col("x") - F.lit(low)) / F.lit(width)), F.lit(0)), F.lit(bins - 1)).cast("long")
+    slot = near - (F.col("x") < at(near)).cast("long") + ((F.col("x") >= at(near + 1)) & (near + 1 < bins)).cast("long")
+    counts = cells.groupBy("group", slot.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    totals = counts.groupBy("group").agg(F.sum("n").alias("_total"))
+    if listed:
+        grid = totals.select("group", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+        counts = same_keys(grid, counts, ["group", "bin"], "left")
+    filled = same_keys(counts, totals, ["group"]).withColumn("n", F.coalesce("n", F.lit(0)))
+
+    def edge(step: Column) -> Column:
+        return F.pow(F.lit(10.0), F.lit(low) + step * F.lit(width)) if scale == "log10" else F.lit(low) + step * F.lit(width)
+
     return filled.select(
         "group",
         "bin",
         edge(F.col("bin")).alias("lo"),
         edge(F.col("bin") + 1).alias("hi"),
-        n.alias("n"),
-        (n / (F.col("_total") * F.lit(width))).alias("density"),
+        "n",
+        (F.col("n") / (F.col("_total") * F.lit(width))).alias("density"),
     )
 
 
@@ -137,7 +150,7 @@ def box_stats(df: DataFrame, name: str, group: str, exact: bool = True) -> DataF
         .groupBy("group")
         .agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(a) for a, p in probs.items()])
     )
-    boxes, _ = hold_if_small(boxes)  # few groups join by broadcast, so no group is moved to one task
+    boxes = durable(boxes)  # one row a group, of known size: adaptive execution decides how it joins
     reach = F.lit(WHISKER) * (F.col("q3") - F.col("q1"))
     inside = (F.col("x") >= F.col("q1") - reach) & (F.col("x") <= F.col("q3") + reach)
     ends = same_keys(cells, boxes, ["group"]).groupBy("group", "q1", "median", "q3").agg(

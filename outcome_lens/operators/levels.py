@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from outcome_lens.contract import col
+from outcome_lens.contract import AnalysisError, col
 from outcome_lens.functions.columns import require, same_keys, to_rows
 
+MOST_CELLS = 1_000_000  # pairs of levels that a full contingency table may have
+
 
 def level_counts(df: DataFrame, categorical: Sequence[str]) -> DataFrame:
     """Rows ``(column, level, n)``; a missing cell is no level."""
@@ -32,8 +34,11 @@ def reference_levels(df: DataFrame, categorical: Sequence[str]) -> DataFrame:
     )
 
 
-def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Rows ``(a, b, observed, expected)`` for every pair of levels, 0 where a pair does not occur."""
+def crosstab(df: DataFrame, a: str, b: str, zero_cells: bool = True) -> DataFrame:
+    """Rows ``(a, b, observed, expected)`` for the pairs of levels that occur, and with ``zero_cells`` for all pairs.
+
+    All pairs are as many as the product of the levels; over ``MOST_CELLS`` that is an error.
+    """
     require(df, a, b)
     pairs = (
         df.filter(col(a).isNotNull() & col(b).isNotNull())
@@ -42,18 +47,18 @@ def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
     )
     row_sums = pairs.groupBy("a").agg(F.sum("observed").alias("_row"))
     column_sums = pairs.groupBy("b").agg(F.sum("observed").alias("_column"))
-    # the table of all level pairs is the result itself, so each row lists the levels of b
-    listed = column_sums.agg(
-        F.struct(
-            F.array_sort(F.collect_list(F.struct("b", "_column"))).alias("levels"), F.sum("_column").alias("n")
-        ).alias("_all")
-    ).scalar()
-    cells = row_sums.select("a", "_row", listed["n"].alias("_n"), F.explode(listed["levels"]).alias("_cell"))
-    grid = cells.select(
+    total = pairs.agg(F.sum("observed").alias("n")).scalar()
+    if zero_cells:
+        levels = column_sums.limit(MOST_CELLS + 1).count()
+        if row_sums.limit(MOST_CELLS + 1).count() * levels > MOST_CELLS:
+            raise AnalysisError(f"{a} and {b} have more than {MOST_CELLS} pairs of levels: leave out those that do not occur")
+        listed = column_sums.agg(F.array_sort(F.collect_list("b")).alias("levels")).scalar()
+        grid = row_sums.select("a", F.explode(listed).alias("b"))
+        pairs = same_keys(grid, pairs, ["a", "b"], "left")
+    cells = same_keys(same_keys(pairs, row_sums, ["a"]), column_sums, ["b"])
+    return cells.select(
         "a",
-        F.col("_cell.b").alias("b"),
-        (F.col("_row").cast("double") * F.col("_cell._column") / F.col("_n")).alias("expected"),
-    )
-    return same_keys(grid, pairs, ["a", "b"], "left").select(
-        "a", "b", F.coalesce("observed", F.lit(0)).alias("observed"), "expected"
+        "b",
+        F.coalesce("observed", F.lit(0)).alias("observed"),
+        (F.col("_row").cast("double") * F.col("_column") / total).alias("expected"),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from outcome_lens.contract import AnalysisError, col
 from outcome_lens.functions.columns import require, same_keys, to_rows
-from outcome_lens.functions.sizes import hold_if_small
+from outcome_lens.session import durable
 from outcome_lens.session import durable
 
 
@@ -64,7 +64,7 @@ def unseen_levels(train: DataFrame, test: DataFrame, categorical: Sequence[str])
         .groupBy(*[f"_{i}" for i in range(len(names))])
         .agg(F.count(F.lit(1)).alias("_copies"))
     )
-    new, _ = hold_if_small(new.select("column", "level"))
+    new = durable(new.select("column", "level"))  # of known size: adaptive execution decides how it joins
     for i, n in enumerate(names):
         absent = new.filter(F.col("column") == n).select(F.col("level").alias(f"_{i}"), F.lit(1).alias(f"_new{i}"))
         combos = same_keys(combos, absent, [f"_{i}"], "left")

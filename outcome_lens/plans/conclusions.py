@@ -51,6 +51,22 @@ def equality_verdict(summary: DataFrame) -> DataFrame:
     return summary.withColumn("verdict", text)
 
 
+def reader_equality(split: str, left_rows: int, right_rows: int, difference: DataFrame) -> DataFrame:
+    """One row: whether two reads of a file gave the same rows. Different numbers of rows are an error.
+
+    ``difference`` holds the rows whose numbers of copies differ.
+    """
+    if left_rows != right_rows:
+        raise AnalysisError(f"{split}: one reader found {left_rows} rows and the other {right_rows}")
+    rows = difference.agg(F.coalesce(F.sum(F.abs(F.col("left_copies") - F.col("right_copies"))), F.lit(0)).alias("n"))
+    return rows.select(
+        F.lit(split).alias("split"),
+        F.lit(left_rows).cast("long").alias("rows"),
+        F.col("n").alias("differing_rows"),
+        F.when(F.col("n") == 0, "identical").otherwise("different").alias("verdict"),
+    )
+
+
 def _fact(fact: str, item: Column, value: Column, low=None, high=None, verdict=None) -> list[Column]:
     def real(c):
         return (F.lit(None) if c is None else c).cast("double")
@@ -74,6 +90,7 @@ def conclusions(
     sensitivity: DataFrame | None = None,
     thresholds: DataFrame | None = None,
     strategies: DataFrame | None = None,
+    readers: DataFrame | None = None,
 ) -> DataFrame:
     """Rows ``(fact, item, value, low, high, verdict)`` from the results of the steps before."""
     none = F.lit("")
@@ -113,6 +130,8 @@ def conclusions(
         parts.append(
             strategy_verdict(strategies).select(*_fact("strategy gap", none, F.col("gap"), verdict=F.col("verdict")))
         )
+    if readers is not None:
+        parts.append(readers.select(*_fact("readers", F.col("split"), F.col("differing_rows"), verdict=F.col("verdict"))))
     if not parts:
         raise AnalysisError("no result to conclude from")
     return reduce(DataFrame.unionByName, parts)

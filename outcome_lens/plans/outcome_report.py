@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from outcome_lens.contract import AnalysisError, Outcome
 from outcome_lens.operators.caveats import level_purity, topcode_profile
 from outcome_lens.operators.describe import correlation, describe_all, describe_numeric, top_bottom
-from outcome_lens.operators.distributions import box_stats, shape_profile
+from outcome_lens.operators.design import design_metadata, fit_scaler
+from outcome_lens.operators.distributions import box_stats, histogram, shape_profile
 from outcome_lens.operators.hypothesis import chi_square, welch_t
 from outcome_lens.operators.levels import crosstab, level_counts, reference_levels
 from outcome_lens.operators.logistic import (
@@ -24,7 +25,7 @@ from outcome_lens.operators.logistic import (
     threshold_analysis,
 )
 from outcome_lens.operators.quality import DROP, UNKNOWN, clean, cleaning_summary
-from outcome_lens.operators.rates import fold_rare, outcome_rate
+from outcome_lens.operators.rates import fold_rare, outcome_rate, rank_levels
 from outcome_lens.operators.splits import split_overlap, unseen_levels
 from outcome_lens.plans.conclusions import conclusions, strategy_verdict
 from outcome_lens.session import stored
@@ -59,11 +60,12 @@ def outcome_report(
     spec: ReportSpec,
     model_path: str | None = None,
     tables: Sequence[str] | None = None,
+    readers: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Result tables by name: all of them, or the chosen ``tables`` and only the work these need.
 
     The cleaned splits are stored once, and every step reads them. With ``model_path`` the model is
-    saved there, and must predict the same after loading.
+    saved there, and must predict the same after loading. ``readers`` holds ``reader_equality`` rows of the files.
     """
     outcome = spec.outcome
     numeric = list(spec.described_numeric or spec.numeric)
@@ -89,14 +91,23 @@ def outcome_report(
     def coefs() -> DataFrame:
         return coefficient_stats(fit()[0], kept)
 
+    @cache
+    def level_rates() -> DataFrame:
+        return stored(outcome_rate(kept, categorical, outcome), "level-rates")
+
     build["cleaning"] = lambda: cleaning_summary({"train": train, "test": test}, outcome)
     build["describe"] = lambda: describe_numeric(kept, numeric)
     build["describe_all"] = lambda: describe_all(kept)
     build["correlation"] = lambda: correlation(kept, numeric)
     build["shapes"] = lambda: shape_profile(kept, numeric)
     build["box"] = lambda: box_stats(kept, spec.compared, outcome.column)
-    build["rates"] = lambda: outcome_rate(kept, categorical, outcome)
-    build["folded_rates"] = lambda: fold_rare(outcome_rate(kept, categorical, outcome))
+    build["rates"] = lambda: level_rates()
+    build["folded_rates"] = lambda: fold_rare(level_rates())
+    build["ranked_rates"] = lambda: rank_levels(level_rates())
+    build["histogram"] = lambda: histogram(kept, spec.compared, outcome.column)
+    build["references"] = lambda: reference_levels(kept, list(spec.categorical))
+    build["scales"] = lambda: fit_scaler(kept, list(spec.numeric))
+    build["design"] = lambda: design_metadata(kept, fit()[0].design)
     build["crosstab"] = lambda: crosstab(kept, spec.factor, outcome.column)
     build["overlap"] = lambda: split_overlap(kept, held)
     build["unseen"] = lambda: unseen_levels(kept, held, categorical)
@@ -161,6 +172,7 @@ def outcome_report(
             sensitivity=sensitivity_refit(),
             thresholds=thresholds(),
             strategies=strategies(),
+            readers=readers,
         )
 
     unknown_names = set(tables or ()) - set(build)

@@ -5,19 +5,26 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from outcome_lens.contract import AnalysisError
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+# the first width of a shuffle, and the size that adaptive execution joins partitions to
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+}
 
 
 def get_session(app: str = "outcome_lens", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the operators were tuned under. ``conf`` overrides any of them.
 
-    Shuffle width is left to adaptive execution: it starts wide and coalesces, so one setting
-    serves small tables and large ones.
+    Adaptive execution only joins shuffle partitions, it never adds any: on a cluster every shuffle therefore starts
+    with the many partitions of ``CLUSTER_SETTINGS``, unless the cluster's own configuration says otherwise.
     """
     settings = {
         "spark.sql.adaptive.enabled": "true",
@@ -26,6 +33,7 @@ def get_session(app: str = "outcome_lens", master: str | None = None, **conf) ->
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.showConsoleProgress": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     settings.update({k: str(v) for k, v in conf.items()})
     builder = SparkSession.builder.appName(app)
@@ -33,7 +41,12 @@ def get_session(app: str = "outcome_lens", master: str | None = None, **conf) ->
         builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not spark.sparkContext.master.startswith("local["):
+        for key, value in CLUSTER_SETTINGS.items():
+            if spark.conf.get(key, None) is None:
+                spark.conf.set(key, value)
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -67,4 +80,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: later steps read only the columns they need."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
+    _stored.append(path)
     return df.sparkSession.read.parquet(path)
+
+
+_stored: list[str] = []  # tables of this driver that are still there
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that are stored inside are removed at the end: what is kept of them must have been written elsewhere."""
+    before = len(_stored)
+    try:
+        yield
+    finally:
+        for path in _stored[before:]:
+            location = spark._jvm.org.apache.hadoop.fs.Path(path)
+            location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+        del _stored[before:]

@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from outcome_lens.contract import AnalysisError
+from outcome_lens.contract import AnalysisError, col
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -33,7 +33,7 @@ def save_and_verify(model: PipelineModel, df: DataFrame, path: str) -> DataFrame
 
     def predicted(m: PipelineModel, rows: DataFrame, name: str) -> DataFrame:
         out = m.transform(rows)
-        return out.select(*[c for c in rows.columns], F.col("prediction").alias(name))
+        return out.select(*[col(c) for c in rows.columns], F.col("prediction").alias(name))
 
     both = predicted(again, predicted(model, df, "_kept"), "_loaded")
     result = both.agg(

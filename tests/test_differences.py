@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -23,16 +24,18 @@ def test_published_sex_income_table(spark):
     assert row["cramers_v"] == pytest.approx(0.217, abs=5e-4) and row["expected_min"] == pytest.approx(2434, abs=0.5)
 
 
-def test_associated_balanced_and_degenerate_tables(spark):
-    strong = chi_square(counts(spark, {("M", "h"): 80, ("M", "l"): 20, ("F", "h"): 10, ("F", "l"): 90}), "a", "b").first()
-    assert strong["chi2"] == pytest.approx(sum((o - e) ** 2 / e for o, e in ((80, 45), (20, 55), (10, 45), (90, 55))))
-    assert strong["significant"]
-    even = chi_square(counts(spark, {(a, b): 50 for a in "MF" for b in "hl"}), "a", "b").first()
-    assert even["chi2"] == pytest.approx(0) and even["cramers_v"] == pytest.approx(0) and not even["significant"]
+def test_drawn_proportional_and_degenerate_tables(spark):
+    drawn = np.random.default_rng(8).integers(3, 70, (3, 2))
+    row = chi_square(counts(spark, {(str(i), str(j)): int(n) for (i, j), n in np.ndenumerate(drawn)}), "a", "b").first()
+    expected = drawn.sum(1, keepdims=True) * drawn.sum(0) / drawn.sum()
+    assert row["chi2"] == pytest.approx(((drawn - expected) ** 2 / expected).sum()) and row["dof"] == 2
+    assert row["cramers_v"] == pytest.approx(math.sqrt(row["chi2"] / drawn.sum()))
+    even = chi_square(counts(spark, {("p", "u"): 6, ("p", "v"): 9, ("q", "u"): 14, ("q", "v"): 21}), "a", "b").first()
+    assert even["chi2"] == pytest.approx(0, abs=1e-12) and even["cramers_v"] == pytest.approx(0, abs=1e-6) and not even["significant"]
     with pytest.raises(AnalysisError):
-        chi_square(counts(spark, {("M", "h"): 3}), "a", "b")
+        chi_square(counts(spark, {("only", "one"): 7}), "a", "b")
     with pytest.raises(AnalysisError):
-        chi_square(counts(spark, {("M", "h"): 3}).limit(0), "a", "b")
+        chi_square(counts(spark, {("only", "one"): 7}).limit(0), "a", "b")
 
 
 def test_empty_cells_add_their_expected_count(spark):
@@ -102,3 +105,21 @@ def test_tails_against_known_values():
         assert tails.log_t_two_sided(2.0, dof) == pytest.approx(math.log(math.erfc(2 / math.sqrt(2))), rel=1e-6)
         assert tails.t_quantile_upper(0.025, dof) == pytest.approx(1.959963985, rel=1e-6)
     assert tails.log_chi2_tail(2000, 1) == pytest.approx(-1000 - 0.5 * math.log(math.pi * 1000), rel=1e-5)
+
+
+@pytest.mark.parametrize("dof", [1e4, 3e4, 1e6, 1e8, 1e9, 4e9, 1e13])
+def test_chi_square_tail_at_high_dof(dof):
+    """At the mean the tail is just below one half; far out it follows the cube-root normal approximation."""
+    third = math.sqrt(2 / (9 * dof))  # the median is near dof (1 - 2 / 9 dof)^3
+    at_mean = math.exp(tails.log_chi2_tail(dof, dof))
+    assert 0.5 - 0.6 * third < at_mean < 0.5
+    assert math.exp(tails.log_chi2_tail(dof * (1 - 2 / (9 * dof)) ** 3, dof)) == pytest.approx(0.5, abs=1e-5)
+    for z in (-3.0, 1.0, 4.0):
+        x = dof * (1 - 2 / (9 * dof) + z * third) ** 3
+        assert math.exp(tails.log_chi2_tail(x, dof)) == pytest.approx(0.5 * math.erfc(z / math.sqrt(2)), rel=2e-3)
+
+
+def test_chi_square_tail_is_smooth_where_the_method_changes():
+    for x in (18_000.0, 19_990.0, 20_000.0, 20_300.0, 24_000.0):
+        below, above = (tails.log_chi2_tail(x, d) for d in (2 * tails.LARGE, 2 * tails.LARGE + 1e-6))
+        assert below == pytest.approx(above, rel=1e-7, abs=1e-12)

@@ -3,10 +3,12 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from outcome_lens import session
 from outcome_lens.__main__ import census_spec, main
 from outcome_lens.contract import (
     CENSUS,
@@ -26,6 +28,7 @@ from outcome_lens.operators.logistic import (
     fold_balance,
     hash_fold,
     out_of_fold,
+    posterior_variance,
     score,
     sensitivity,
     stratified_folds,
@@ -125,11 +128,41 @@ def test_constant_columns_do_not_break_the_fit(people):
         assert sum(f == column for f, _ in fitted.design.features) == levels - 1
 
 
-def test_rare_levels_have_wider_intervals(people):
-    rare = people.withColumn("workclass", F.when(F.col("fnlwgt") == 100001, "Rare").otherwise(F.col("workclass")))
-    fitted = fit_logistic(rare, NUM, CAT, CENSUS.outcome)
-    se = {r["name"]: r["se"] for r in coefficient_stats(fitted, rare).collect()}
-    assert se["workclass_Rare"] > se[next(n for n in se if n.startswith("occupation_"))]
+def test_errors_grow_as_levels_get_rarer(spark):
+    rng = np.random.default_rng(17)
+    sizes = {"base": 900, "often": 260, "seldom": 60, "hardly": 12}
+    rows = [(level, float(rng.normal()), str(rng.choice(["y", "n"]))) for level, n in sizes.items() for _ in range(n)]
+    df = spark.createDataFrame(rows, "level string, x double, bought string")
+    fitted = fit_logistic(df, ["x"], ["level"], BOUGHT, c=1000.0)
+    se = {r["name"]: r["se"] for r in coefficient_stats(fitted, df).collect()}
+    assert se["level_often"] < se["level_seldom"] < se["level_hardly"]
+
+
+def test_model_columns_that_determine_each_other_are_refused():
+    gram = pd.DataFrame({"i": [0, 0, 1], "j": [0, 1, 1], "value": [4.0, 4.0, 4.0]})
+    frame = type("Gram", (), {"toPandas": lambda self: gram})()
+    with pytest.raises(AnalysisError, match="determine each other"):
+        posterior_variance(frame, 1, float("inf"))
+    assert posterior_variance(frame, 1, 0.5) == pytest.approx(np.linalg.inv([[4.0, 4.0], [4.0, 6.0]])[1, 1])
+
+
+def test_folds_must_be_the_ones_asked_for(spark, buyers):
+    shifted = buyers.withColumn("id", F.col("id") - 200)
+    with pytest.raises(AnalysisError, match="folds must be exactly"):
+        out_of_fold(shifted, ["age"], ["tier"], BOUGHT, F.col("id") % 4, k=4)
+    with pytest.raises(AnalysisError, match="without a fold: True"):
+        out_of_fold(buyers, ["age"], ["tier"], BOUGHT, F.when(F.col("id") > 3, F.col("id") % 4), k=4)
+    scored = out_of_fold(shifted, ["age"], ["tier"], BOUGHT, F.pmod("id", F.lit(4)), k=4)
+    assert scored.count() == 400
+
+
+def test_scoring_keeps_all_columns(buyers):
+    fitted = fit_logistic(buyers, ["age"], ["tier"], BOUGHT)
+    kept = score(fitted.model, buyers.withColumn("__key", F.col("id")).withColumn("a.b", F.lit(1)), BOUGHT)
+    assert kept.columns == [*buyers.columns, "__key", "a.b", "score", "label", "predicted"]
+    for name in ("score", "Label", "features", "probability", "__z0"):
+        with pytest.raises(AnalysisError, match="rename"):
+            score(fitted.model, buyers.withColumn(name, F.lit(1)), BOUGHT)
 
 
 def test_out_of_fold_scores_come_from_models_that_did_not_see_the_row(buyers):
@@ -146,13 +179,13 @@ def test_out_of_fold_scores_come_from_models_that_did_not_see_the_row(buyers):
     assert any(abs(again[i] - held[i]) > 1e-3 for i in held if i % 4 != 2)
 
 
-@pytest.mark.parametrize("small_rows", [20, 10**6])
-def test_stratified_folds_are_balanced_and_stable(buyers, small_rows):
-    done = stratified_folds(buyers, BOUGHT, ["id"], small_rows=small_rows)
+def test_stratified_folds_are_balanced_and_stable(buyers):
+    done = stratified_folds(buyers, BOUGHT, ["id"])
+    assert done.columns == [*buyers.columns, "fold"]
     rows = fold_balance(done, BOUGHT, F.col("fold")).collect()
     assert max(r["positives"] for r in rows) - min(r["positives"] for r in rows) <= 1
     assert max(r["n"] for r in rows) - min(r["n"] for r in rows) <= 2
-    other = stratified_folds(buyers.repartition(7), BOUGHT, ["id"], small_rows=10**6)
+    other = stratified_folds(buyers.repartition(7), BOUGHT, ["id"])
     assert sorted(tuple(r) for r in done.select("id", "fold").collect()) == sorted(tuple(r) for r in other.select("id", "fold").collect())
 
 
@@ -207,15 +240,16 @@ def test_one_class_and_empty_input_are_refused(buyers):
         fit_logistic(buyers, [], [], BOUGHT)
 
 
-def test_whole_census_report(people):
+def test_whole_census_report(people, drawn):
     found = outcome_report(people, people, census_spec())
     facts = {(r["fact"], r["item"]): r for r in found["facts"].collect()}
     assert facts["mean difference", ""]["verdict"] == "different"
-    assert facts["mean difference", ""]["value"] == pytest.approx(15.0)
-    assert found["overlap"].first()["test_rows_hit"] == 60
+    hours = drawn.groupby("income")["hours-per-week"].mean()
+    assert facts["mean difference", ""]["value"] == pytest.approx(hours[">50K"] - hours["<=50K"])
+    assert found["overlap"].first()["test_rows_hit"] == len(drawn)
     assert found["strategies"].count() == 2 and found["topcode_capital-gain"].first()["capped_rows"] == 0
     assert {r["end"] for r in found["strongest_coefficients"].collect()} == {"top", "bottom"}
-    assert found["rates_education"].filter("kind = 'level'").count() == 2
+    assert found["rates_education"].filter("kind = 'level'").count() == drawn["education"].nunique()
 
 
 def test_report_builds_only_what_is_asked_for(people):
@@ -245,11 +279,13 @@ def test_job_writes_its_results(spark, people, tmp_path):
         path.write_text("|comment\n" + "\n".join(lines) + "\n")
         return str(path)
 
-    out = str(tmp_path / "out")
+    out, before = str(tmp_path / "out"), list(session._stored)
     assert main([file("train", False), file("test", True), out, "r1"]) == 0
     assert read_results(spark, out, "reader_difference_test", "r1").count() == 0
     assert read_results(spark, out, "saved_model", "r1").first()["mismatches"] == 0
-    assert read_results(spark, out, "facts", "r1").count() > 5
+    assert read_results(spark, out, "facts", "r1").filter("fact = 'readers' and verdict = 'identical'").count() == 2
+    assert read_results(spark, out, "histogram", "r1").count() > 0 and read_results(spark, out, "scales", "r1").count() == len(NUM)
+    assert session._stored == before  # what the job stored on the way is gone
     assert main([str(tmp_path / "absent"), str(tmp_path / "absent"), out]) == 1
     assert main([]) == 2
 

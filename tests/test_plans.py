@@ -5,15 +5,18 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from outcome_lens.contract import Outcome
-from outcome_lens.functions.sizes import fits, hold_if_small
+from outcome_lens.contract import AnalysisError, Outcome
+from outcome_lens.functions.sizes import settled
 from outcome_lens.operators.compare import compare_frames, compare_multisets
+from outcome_lens.operators.design import fit_fold_designs, model_rows
 from outcome_lens.operators.distributions import box_stats, histogram
 from outcome_lens.operators.hypothesis import chi_square_statistics, welch_statistics
 from outcome_lens.operators.levels import level_counts, reference_levels
+from outcome_lens.operators.logistic import solve
 from outcome_lens.operators.quality import funnel, missingness_impact
 from outcome_lens.operators.rates import outcome_rate
 from outcome_lens.operators.splits import split_overlap
+from outcome_lens.session import CLUSTER_SETTINGS
 
 OUTCOME = Outcome("o", "y")
 
@@ -75,23 +78,23 @@ def test_filters_reach_the_scan(table):
     assert "PushedFilters: [IsNotNull(id), GreaterThan(id,4000)]" in plan
 
 
-def test_size_checks(spark):
-    df = spark.range(50)
-    assert fits(df, 50) and not fits(df, 49)
-    held, small = hold_if_small(df, 50)
-    assert small and held.count() == 50
-    same, small = hold_if_small(df, 10)
-    assert not small and same is df
+def test_only_small_results_are_settled(spark):
+    assert settled(spark.range(50)).count() == 50
+    with pytest.raises(AnalysisError):
+        settled(spark.range(5000))
 
 
-def test_fallbacks_give_the_same_rows_when_nothing_is_small(table, monkeypatch):
-    """With a broadcast limit of no rows at all, every join takes its shuffled form."""
-    from outcome_lens.operators import distributions, splits
+def test_a_fold_never_meets_a_solver_in_one_task(spark):
+    """A fold that holds nearly all rows, none of them alike, leaves the rows in many partitions."""
+    rows = spark.range(4000, numPartitions=8).select(
+        F.rand(1).alias("x"), F.when(F.rand(2) < 0.5, "y").otherwise("n").alias("label"), (F.col("id") % 20 > 18).cast("int").alias("fold")
+    )
+    designs = fit_fold_designs(rows, ["x"], [], Outcome("label", "y"), "fold", 2)
+    for i, design in enumerate(designs):
+        part = model_rows(rows, designs[0], keep=["fold"]).filter(F.col("fold") != i)
+        assert part.rdd.getNumPartitions() == 8
+        assert solve(design, part).design is design
 
-    want = sorted(map(tuple, box_stats(table, "x", "a").collect()))
-    train, test = table.filter("id % 2 = 0 and a <> '3'"), table.filter("id % 2 = 1")
-    unseen = sorted(map(str, splits.unseen_levels(train, test, ["a", "b"]).collect()))
-    for module in (distributions, splits):
-        monkeypatch.setattr(module, "hold_if_small", lambda df: (df, False))
-    assert sorted(map(tuple, box_stats(table, "x", "a").collect())) == want
-    assert sorted(map(str, splits.unseen_levels(train, test, ["a", "b"]).collect())) == unseen
+
+def test_an_unset_cluster_session_starts_wide():
+    assert int(CLUSTER_SETTINGS["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) >= 2000

@@ -21,13 +21,13 @@ INCOME = CENSUS.outcome
 SCHEMA = "age long, workclass string, income string"
 
 
-def test_a_changed_cell_is_found(people):
+def test_a_changed_cell_is_found(people, drawn):
     broken = people.withColumn("workclass", F.upper("workclass"))
     diff = by(compare_frames(people, broken, ["fnlwgt", "income"]), "column")
-    assert diff["workclass"]["value_mismatch"] == 60
+    assert diff["workclass"]["value_mismatch"] == len(drawn)
     assert all(r["value_mismatch"] == 0 for c, r in diff.items() if c != "workclass")
     row = comparison_summary(people, broken, ["fnlwgt", "income"]).first()
-    assert not row["identical"] and row["value_mismatch"] == 60
+    assert not row["identical"] and row["value_mismatch"] == len(drawn)
 
 
 def test_nan_and_null_are_one_missing_state(spark):
@@ -112,10 +112,11 @@ def test_dedup_treats_null_as_equal(spark):
     assert dedup(df, ["k"]).columns == ["k"]
 
 
-def test_summary_holds_all_stages(people):
+def test_summary_holds_all_stages(people, drawn):
     found = {(r["split"], r["measure"], r["item"]): r["value"] for r in cleaning_summary({"a": people}, INCOME).collect()}
-    assert found["a", "rows", "raw"] == found["a", "rows", "clean"] == 60
-    assert found["a", "total", ">50K"] == 30 and found["a", "rate_before", ""] == 0.5
+    high = (drawn["income"] == ">50K").sum()
+    assert found["a", "rows", "raw"] == found["a", "rows", "clean"] == len(drawn)
+    assert found["a", "total", ">50K"] == high and found["a", "rate_before", ""] == pytest.approx(high / len(drawn))
 
 
 def test_overlap_counts_pairs_rows_and_nulls(spark):
@@ -132,18 +133,18 @@ def test_overlap_of_a_hot_row_does_not_overflow(spark):
     assert int(row["pair_rows"]) == 20000**2 and row["distinct_rows"] == 1
 
 
-def test_all_rows_overlap_with_themselves(people):
+def test_all_rows_overlap_with_themselves(people, drawn):
     row = split_overlap(people, people).first()
-    assert row["test_rows_hit"] == 60
+    assert row["test_rows_hit"] == len(drawn)
 
 
 def test_unseen_rows_are_counted_once(people):
     names = CENSUS.categorical
     changed = people.withColumn(
-        "workclass", F.when(F.col("fnlwgt") < 100002, "Never-seen").otherwise(F.col("workclass"))
-    ).withColumn("occupation", F.when(F.col("fnlwgt") == 100000, "New").otherwise(F.col("occupation")))
+        "workclass", F.when(F.col("fnlwgt") < 7_013 + 37 * 5, "Never-seen").otherwise(F.col("workclass"))
+    ).withColumn("occupation", F.when(F.col("fnlwgt") >= 7_013 + 37 * 81, "New").otherwise(F.col("occupation")))
     found = {r["column"]: r["unseen_rows"] for r in unseen_levels(people, changed, names).collect()}
-    assert found[None] == 4 and found["workclass"] == 4 and found["occupation"] == 2 and found["race"] == 0
+    assert found[None] == 8 and found["workclass"] == 5 and found["occupation"] == 3 and found["race"] == 0
     assert {r["unseen_rows"] for r in unseen_levels(people, people, names).collect()} == {0}
 
 
@@ -154,11 +155,13 @@ def test_missing_level_in_test_is_seen_if_training_has_one(spark):
     assert {r["unseen_rows"] for r in unseen_levels(without, with_null, ["s"]).collect()} == {1}
 
 
-def test_topcode_and_purity(spark, people):
-    gains = people.withColumn("capital-gain", F.when(F.col("capital-gain") == 1000, 99999).otherwise(F.col("capital-gain")))
+def test_topcode_and_purity(spark, people, drawn):
+    capped = drawn["fnlwgt"] % 5 == 0
+    gains = people.withColumn("capital-gain", F.when(F.col("fnlwgt") % 5 == 0, 99999).otherwise(F.col("capital-gain")))
     row = topcode_profile(gains, "capital-gain", 99999, INCOME).first()
-    assert (row["capped_rows"], row["capped_positive_rate"]) == (10, 1.0)
-    assert row["zero_share"] == pytest.approx(40 / 60)
+    assert row["capped_rows"] == capped.sum()
+    assert row["capped_positive_rate"] == pytest.approx((drawn["income"] == ">50K")[capped].mean())
+    assert row["zero_share"] == pytest.approx(((drawn["capital-gain"] == 0) & ~capped).mean())
     assert topcode_profile(people, "age", 99, INCOME).first()["capped_positive_rate"] == 0.0
     roles = spark.createDataFrame([("Male", "Husband")] * 5 + [("Female", "Wife")] * 4 + [("Male", "Wife")], "sex string, role string")
     found = by(level_purity(roles, "sex", "role", ["Husband", "Wife", "Absent"]), "level")
