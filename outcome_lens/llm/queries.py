@@ -85,3 +85,8 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL["op9_url_filters"] = url_rules.judged_sql()
+SQL["op8_warc"] = """
+SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest,
+  CASE WHEN octet_length(encode(coalesce(html, ''))) >= 100 AND page_id <> min(page_id) OVER same THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN octet_length(encode(coalesce(html, ''))) >= 100 AND page_id <> min(page_id) OVER same THEN min(page_id) OVER same END AS refers_to
+FROM pages WINDOW same AS (PARTITION BY coalesce(html, ''))"""
