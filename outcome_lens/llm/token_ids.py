@@ -30,7 +30,7 @@ ORC_OPTIONS = {
     "orc.bloom.filter.fpp": "0.01",
 }
 FILE_SCHEMA = "doc_id long, part int, before long, n_tokens int, ids array<int>"
-CACHED_PIECES = 1_000_000  # distinct pieces a worker keeps the ids of, about 200 bytes each
+CACHED_PIECES = 200_000  # pieces in either half of what a worker keeps the ids of, about 250 bytes each
 ROWS_PER_BATCH = 500
 PIECE = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 # Letters, then marks: two pre-tokens whatever the words are.
@@ -57,11 +57,22 @@ class KnownPieces(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.older: dict[str, bytes] = {}  # the half before this one: what is used again comes over
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.newline = np.array(self.tokenizer.encode("\n", add_special_tokens=False).ids, "<u4").tobytes()
 
+    def turn(self) -> None:
+        """Start a new half if this one is full, and forget the older one."""
+        if len(self) > CACHED_PIECES:
+            self.older = dict(self)
+            self.clear()
+
     def __missing__(self, piece: str) -> bytes:
+        kept = self.older.pop(piece, None)
+        if kept is not None:
+            self[piece] = kept
+            return kept
         plain = PLAIN.fullmatch(piece)
         lines = piece.split("\n")
         if len(lines) > 1 and all(lines) and not WHITE.search("".join(lines).lstrip(" ")):
@@ -92,8 +103,7 @@ class PieceEncoder:
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text and the end id."""
-        if len(self.known) > CACHED_PIECES:
-            self.known.clear()
+        self.known.turn()
         get = self.known.__getitem__
         if SPACE_AFTER_SPACE.search(text):
             parts = map(get, PIECE.findall(text))
