@@ -50,7 +50,7 @@ def base_spans(text):
     def holds(kind, found):
         bare = re.sub("[^0-9]", "", found)
         return {
-            "email": lambda: True, "ip": lambda: all(int(p) <= 255 for p in found.split(".")),
+            "email": lambda: True, "ip": lambda: all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in found.split(".")),
             "card": lambda: 13 <= len(bare) <= 19 and luhn(bare), "phone": lambda: 9 <= len(bare) <= 15,
         }[kind]()
 
@@ -195,7 +195,7 @@ def test_contamination_against_windows(spark, docs, texts, block_chars, monkeypa
     assert {r.doc_id for r in cut} == {r.doc_id for r in got if not r.contaminated}
     spared = {r.doc_id: r for r in got}
     assert all(r.text == rows[r.doc_id] for r in cut if spared[r.doc_id].n_hit == 0)
-    assert all(len(r.text) < len(rows[r.doc_id]) for r in cut if spared[r.doc_id].n_hit > 0)
+    assert all(r.text != rows[r.doc_id] for r in cut if spared[r.doc_id].n_hit > 0)
 
 
 def test_token_ids_round_trip(spark, docs, texts):
@@ -269,7 +269,7 @@ def test_kneser_ney_sums_to_one(spark):
     for gram, v in p.items():
         by[gram[:4]] += v
     assert all(v < 1 + 1e-9 for v in by.values())
-    assert p["cadab"] > 0.5  # nearly always followed so
+    assert p["cadab"] > 0.25 > p["\n\n\n\na"] / 4  # seen twice, and nothing else behind "cada"
 
 
 def test_perplexity_rejects_outliers(spark, docs):
