@@ -35,7 +35,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     folder = new_path(spark, "pipeline-token-ids")
-    token_ids.write_token_ids(docs, folder, byte_bpe())
+    # workers that have run the other stages have less memory left
+    token_ids.write_token_ids(docs, folder, byte_bpe(), cached_pieces=300_000)
     return token_ids.document_positions(spark, folder)
 
 

@@ -30,7 +30,7 @@ ORC_OPTIONS = {
     "orc.bloom.filter.fpp": "0.01",
 }
 FILE_SCHEMA = "doc_id long, part int, before long, n_tokens int, ids array<int>"
-CACHED_PIECES = 200_000  # pieces in either half of what a worker keeps the ids of, about 250 bytes each
+CACHED_PIECES = 1_000_000  # pieces a worker keeps the ids of, about 250 bytes each
 ROWS_PER_BATCH = 500
 PIECE = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 # Letters, then marks: two pre-tokens whatever the words are.
@@ -53,10 +53,11 @@ SHOWN_BYTES = shown_bytes()
 class KnownPieces(dict):
     """Bytes of the ids of pieces of text; a piece that is asked for the first time is encoded."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.most = most
         self.older: dict[str, bytes] = {}  # the half before this one: what is used again comes over
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
@@ -64,7 +65,7 @@ class KnownPieces(dict):
 
     def turn(self) -> None:
         """Start a new half if this one is full, and forget the older one."""
-        if len(self) > CACHED_PIECES:
+        if 2 * len(self) > self.most:
             self.older = dict(self)
             self.clear()
 
@@ -97,8 +98,8 @@ class PieceEncoder:
     go through ``PIECE``, which cuts them as the pre-tokenizer does.
     """
 
-    def __init__(self, path: str, ends_with: int):
-        self.known = KnownPieces(path)
+    def __init__(self, path: str, ends_with: int, cached_pieces: int = CACHED_PIECES):
+        self.known = KnownPieces(path, cached_pieces)
         self.end = np.array([ends_with], "<u4").tobytes()
 
     def encode(self, text: str) -> np.ndarray:
@@ -113,7 +114,7 @@ class PieceEncoder:
         return np.frombuffer(b"".join(parts) + self.end, "<u4")
 
 
-def encoder(path: str, ends_with: int) -> PieceEncoder:
+def encoder(path: str, ends_with: int, cached_pieces: int) -> PieceEncoder:
     """The encoder of this worker process.
 
     Functions of this package are shipped by value, so a module of their own does not outlive a
@@ -122,24 +123,27 @@ def encoder(path: str, ends_with: int) -> PieceEncoder:
     import tokenizers
 
     kept = vars(tokenizers).setdefault("_encoders_by_path", {})
-    if (path, ends_with) not in kept:
-        kept[path, ends_with] = PieceEncoder(path, ends_with)
-    return kept[path, ends_with]
+    key = (path, ends_with, cached_pieces)
+    if key not in kept:
+        kept[key] = PieceEncoder(*key)
+    return kept[key]
 
 
-def write_token_ids(docs: DataFrame, folder: str, tokenizer: str, ends_with: int = 0, files: int | None = None) -> None:
+def write_token_ids(
+    docs: DataFrame, folder: str, tokenizer: str, ends_with: int = 0, files: int | None = None, cached_pieces: int = CACHED_PIECES
+) -> None:
     """Write the ids of every whole text to ORC files below ``folder``, in ascending ``doc_id`` order.
 
     Null texts are empty and get the end id alone. A null ``doc_id`` sorts first. Repeated rows and
     repeated ids are all written, ordered by a hash of their text. ``files`` is the number of
-    id ranges, by default the session's shuffle partitions.
+    id ranges, by default the session's shuffle partitions. ``cached_pieces`` trades a worker's memory for time.
     """
     spark = docs.sparkSession
     key = [F.col("doc_id"), F.xxhash64("text")]
     ranges = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def encode(batches):
-        part, before, own = TaskContext.get().partitionId(), 0, encoder(tokenizer, ends_with)
+        part, before, own = TaskContext.get().partitionId(), 0, encoder(tokenizer, ends_with, cached_pieces)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_PER_BATCH):
                 some = batch.slice(at, ROWS_PER_BATCH)
