@@ -7,8 +7,8 @@ earliest point: two texts agree in a slot with the probability of their weighted
 Points are drawn in order of time up to a limit at which every slot is expected to be filled.
 
 Signatures are cut into bands. Equal texts are one node. In every bucket of a band the other texts
-are compared with its smallest one by exact multiset overlap; texts that do not end in its class are
-compared with the others of the bucket as far as the triangle inequality leaves a link possible. So
+are compared with its smallest one by exact multiset overlap. Where texts do not end in its class, the most central text of
+the bucket is compared too, and after that only pairs of different classes that exact bounds leave in reach of a link. So
 links in a bucket come from its members times its classes, not from all pairs.
 """
 
@@ -176,32 +176,77 @@ def node_classes(docs: DataFrame, similarity: float, bands: int, rows_per_band:
     bodies = rows.join(has, "node").filter(F.col("doc_id").eqNullSafe(F.col("first_id"))).select("node", "text").dropDuplicates(["node"])
     bodies = stored(bodies, "near-texts")
     compared = stored(similarities(first, bodies, shingle), "near-compared")
-    links = compared.filter(F.col("similarity") >= similarity)
+    links = compared.filter(F.col("similarity") >= similarity).select("a", "b")
     linked = classes(links)
-    # members that are not in the class of their bucket's head may still be linked to others in the bucket
-    root = lambda name: linked.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
-    gap = compared.select(F.col("a").alias("node"), F.col("b").alias("head"), (1 - F.col("similarity")).alias("gap"))
-    ranked = (
-        members.filter("members > 2 and node <> head")
-        .join(gap, ["node", "head"])
-        .join(root("node"), "node", "left")
-        .join(root("head"), "head", "left")
-        .select("bucket", "node", "gap", F.coalesce("node_root", "node").alias("root"), F.coalesce("head_root", "head").alias("head_root"))
-    )
-    ranked = stored(ranked, "near-members")
-    apart = ranked.filter("root <> head_root").select("bucket", F.col("node").alias("x"), F.col("gap").alias("x_gap"), F.col("root").alias("x_root"))
-    rest = (
-        apart.join(ranked, "bucket")
-        .filter((F.col("x_root") != F.col("root")) & (F.abs(F.col("x_gap") - F.col("gap")) <= 1 - similarity + 1e-9))
-        .select(F.greatest("x", "node").alias("a"), F.least("x", "node").alias("b"))
-        .distinct()
-    )
-    more = stored(similarities(rest, bodies, shingle).filter(F.col("similarity") >= similarity), "near-more")
-    if not more.isEmpty():
-        linked = classes(links.select("a", "b").union(more.select("a", "b")))
+    # buckets in which a member is not in the class of the head it was compared with
+    rooted = with_roots(members, linked)
+    open_ = rooted.filter("root <> head_root").select("bucket").distinct()
+    open_ = stored(rooted.join(open_, "bucket").select("bucket", "node", "root"), "near-open")
+    if not open_.isEmpty():
+        linked = classes(links.union(late_links(open_, linked, bodies, similarity, shingle)))
     return signed.select("doc_id", "node"), linked
 
 
+def with_roots(members: DataFrame, linked: DataFrame) -> DataFrame:
+    """``bucket, node, head`` with the roots of both; a node without links is its own root."""
+    root = lambda name: linked.select(F.col("node").alias(name), F.col("root").alias(f"{name}_linked"))
+    out = members.select("bucket", "node", "head").join(root("node"), "node", "left").join(root("head"), "head", "left")
+    return out.select("bucket", "node", "head", F.coalesce("node_linked", "node").alias("root"), F.coalesce("head_linked", "head").alias("head_root"))
+
+
+def lonely_shingles(nodes: DataFrame, bodies: DataFrame, shingle: int) -> DataFrame:
+    """``node, size, alone``: shingles of each text, and how many of them no other text of ``nodes`` has."""
+
+    def spread(batches):
+        for batch in batches:
+            keys, bodies = (c.to_pylist() for c in batch.columns)
+            for a, b in in_parts(bodies):
+                hashes, weights, owner = multisets(bodies[a:b], shingle)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[a:b], pa.binary()).take(pa.array(owner)), pa.array(hashes.view(np.int64)), pa.array(weights.astype(np.int64))],
+                    names=["node", "hash", "weight"],
+                )
+
+    rows = bodies.join(nodes, "node").select("node", "text").mapInArrow(spread, "node binary, hash long, weight long")
+    rows = stored(rows, "near-shingles")
+    once = rows.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.min("weight").alias("weight")).filter("n = 1")
+    alone = once.groupBy("node").agg(F.sum("weight").alias("alone"))
+    sizes = rows.groupBy("node").agg(F.sum("weight").alias("size"))
+    return sizes.join(alone, "node", "left").select("node", "size", F.coalesce("alone", F.lit(0)).alias("alone"))
+
+
+def late_links(open_: DataFrame, linked: DataFrame, bodies: DataFrame, similarity: float, shingle: int) -> DataFrame:
+    """Links ``a, b`` inside the buckets of ``open_`` (``bucket, node, root``) between texts of different classes.
+
+    A shingle that one text alone has cannot be shared: two texts overlap in at most what each has besides. Texts that
+    can reach no other by this bound are done. Of the rest, the text with the smallest share
+    of such shingles, the most central one, is compared with all others of its bucket. What is still in another class
+    then meets those texts of the bucket that the bound and the triangle inequality leave in reach.
+    """
+    facts = lonely_shingles(open_.select("node").distinct(), bodies, shingle)
+    able = open_.join(facts.filter(F.col("size") - F.col("alone") >= similarity * F.col("size")), "node")
+    able = stored(able.select("bucket", "node", "size", "alone", "root"), "near-able")
+    central = able.groupBy("bucket").agg(F.min(F.struct((F.col("alone") / F.col("size")).alias("share"), F.col("node"), F.col("root"))).alias("c"))
+    central = central.select("bucket", F.col("c.node").alias("head"), F.col("c.root").alias("head_root"))
+    led = stored(able.join(central, "bucket"), "near-led")
+    pair = (F.greatest("node", "head").alias("a"), F.least("node", "head").alias("b"))
+    met = stored(similarities(led.filter("root <> head_root").select(*pair).distinct(), bodies, shingle), "near-met")
+    links = met.filter(F.col("similarity") >= similarity).select("a", "b")
+    stars = linked.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    rooted = with_roots(led, classes(stars.union(links)))
+    gaps = met.select("a", "b", (1 - F.col("similarity")).alias("gap"))
+    known = led.select("bucket", "node", "size", "alone", *pair).join(gaps, ["a", "b"], "left").select("bucket", "node", "size", "alone", "gap")
+    known = stored(known.join(rooted, ["bucket", "node"]), "near-known")
+    x = known.filter("root <> head_root").select("bucket", *(F.col(c).alias(f"x_{c}") for c in ("node", "size", "alone", "gap", "root")))
+    most = F.least(F.col("size") - F.col("alone"), F.col("x_size") - F.col("x_alone"))
+    in_reach = most >= similarity * (F.col("size") + F.col("x_size") - most)
+    near = F.coalesce(F.abs(F.col("x_gap") - F.col("gap")) <= 1 - similarity + 1e-9, F.lit(True))
+    rest = x.join(known, "bucket").filter((F.col("x_root") != F.col("root")) & in_reach & near)
+    rest = rest.select(F.greatest("x_node", "node").alias("a"), F.least("x_node", "node").alias("b")).distinct()
+    more = similarities(rest, bodies, shingle).filter(F.col("similarity") >= similarity).select("a", "b")
+    return links.union(stored(more, "near-more"))
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows_per_band: int = ROWS, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id, class_id`` of every row: the smallest ``doc_id`` of its class of linked texts.
 
