@@ -62,7 +62,8 @@ def histogram(
     # a quotient may round across an edge: the edges themselves decide
     near = F.least(F.greatest(F.floor((F.col("x") - F.lit(low)) / F.lit(width)), F.lit(0)), F.lit(bins - 1)).cast("long")
     slot = near - (F.col("x") < at(near)).cast("long") + ((F.col("x") >= at(near + 1)) & (near + 1 < bins)).cast("long")
-    counts = cells.groupBy("group", slot.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    # counted once, for the totals and for the bins
+    counts = durable(cells.groupBy("group", slot.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n")))
     totals = counts.groupBy("group").agg(F.sum("n").alias("_total"))
     if listed:
         grid = totals.select("group", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
