@@ -282,6 +282,33 @@ def test_perplexity_rejects_outliers(spark, docs):
     assert all(r.kept for i, r in out.items() if not r.base_failed and i != 90_000)
 
 
+def test_quality_rejects_noise_inside_its_table(spark, docs):
+    """No text is scored by a model that has counted it, nor by one that has counted its copies."""
+    rng = random.Random(2)
+    drawn = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(n))
+    noise = [drawn(letters, n) for letters in ("abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyz0123456789") for n in (80, 400, 2000)]
+    rows = [(90_000 + i, t, "en") for i, t in enumerate(noise)] + [(91_000 + i, noise[0], "en") for i in range(3)]
+    frame = docs.select("doc_id", "text", "lang").union(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    out = [r for r in perplexity.quality(frame).collect() if not r.base_failed]
+    planted = [r for r in out if r.doc_id >= 90_000]
+    assert len(planted) == len(rows) and not any(r.kept for r in planted)
+    prose = [r for r in out if r.doc_id < 90_000]
+    assert sum(r.kept for r in prose) >= 0.95 * len(prose)
+
+
+def test_unseen_grams_are_backed_off(spark):
+    """The chances of all characters after a context, and of one that stands for the unknown ones, are one."""
+    frame = spark.createDataFrame([(1, "abracadabra abra cadabra", "x"), (2, "bandana ananas", "x")], "doc_id long, text string, lang string")
+    folder = perplexity.fit(frame)
+    model = perplexity.SortedArrays(folder, perplexity.part_names(spark, folder))
+    letters = sorted(set("abracadabra abra cadabrabandana ananas")) + ["?"]
+    for context in ("cada", "zbra", "zzzz", "zzzn", "abra"):
+        points = np.frombuffer("".join(context + x for x in letters).encode("utf-32-le"), np.uint32)
+        starts = np.arange(len(letters)) * perplexity.ORDER
+        chances = np.exp(perplexity.log_chances(model, points, starts, perplexity.language_hash(["x"] * len(letters))))
+        assert abs(chances.sum() - 1) < 1e-5 and chances.min() > 0
+
+
 def test_url_index_uses_the_rarest_token(spark):
     urls = spark.createDataFrame([(f"http://h{i}.example.net/en/{i}",) for i in range(20)] + [("http://a.org/free/download",)], "url string")
     index = {r.rule: r.token for r in url_rules.rule_index(urls, url_rules.PLACES + url_rules.WORDS).collect()}
