@@ -2,7 +2,8 @@
 
 Every paragraph gives points for its length and its commas to its ancestors, half as many at each step up, and a
 container's points are discounted by its share of linked text. The best container and those siblings
-that look like more of the same are kept; what is marked as boilerplate counts nowhere.
+that look like more of the same are kept; what is boilerplate by its element counts nowhere. A form, or an
+element that only a word of its class or id marks, stays where it holds most of the page's text.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from outcome_lens.llm.common import whole_text
 # Elements by what they do to a page's text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset(
-    "script style noscript template head title svg math canvas iframe object audio video map select option textarea button form nav footer aside menu dialog".split()
+    "script style noscript template head title svg math canvas iframe object audio video map select option textarea button nav footer aside menu dialog".split()
 )
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -44,8 +45,11 @@ BOILERPLATE = frozenset(
     "popup promo promoted recommended related replies reply respond rss share sharing sidebar signup skyscraper social sponsor sponsored "
     "subscribe subscription tagcloud toolbar topbar widget widgets".split()
 )
-BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog menu menubar toolbar form alert".split())
+# words that, next to those in a name, leave it one of boilerplate: "comments-area", but not "has-comments"
+NEUTRAL = frozenset("area bar block body box container inner item items left list post posts right section site thread wrap wrapper".split())
+BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog menu menubar toolbar alert".split())
 CONTENT = frozenset("article main".split())
+NOT_CONTENT = frozenset("comment comments reply related promo sponsored ad advert".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 RAW_END = {tag: re.compile(f"</{tag}(?=[\\s/>])", re.IGNORECASE) for tag in RAW}
 TAG_NAME = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
@@ -54,15 +58,18 @@ ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"
 NAME = re.compile("[A-Z]?[a-z]+|[A-Z]+")
 GAPS = re.compile(r"\s+")
 LEAST_SIBLING, SIBLING_SHARE, MOST_LINKED = 10.0, 0.2, 0.25
+LEAST_PROSE = 80
 
 
 class Node:
     """An element: its children are nodes and texts, in order."""
 
-    __slots__ = ("children", "content", "dropped", "linked", "parent", "points", "size", "tag")
+    __slots__ = ("article", "children", "clear", "content", "dropped", "linked", "mark", "named", "parent", "points", "prose", "size", "tag")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool):
+    def __init__(self, tag: str, parent: Node | None, dropped: bool, mark: str | None = None, named: bool = False):
         self.tag, self.parent, self.dropped = tag, parent, dropped
+        self.mark, self.named = mark, named  # what speaks against it, and whether a whole name does
+        self.prose = self.clear = self.article = 0
         self.children: list[Node | str] = []
         self.content = tag in CONTENT or parent is not None and parent.content
         self.points = 0.0
@@ -140,6 +147,7 @@ class Tree:
     def __init__(self, page: str):
         self.root = self.now = Node("html", None, False)
         self.opened: Counter[str] = Counter()  # open elements by tag: what is not open is not looked for
+        self.doubts = False
         for kind, name, rest in Marks(page):
             if kind == "text":
                 self.text(rest)
@@ -157,7 +165,9 @@ class Tree:
                 self.leave(self.now)
         if tag in ENDED_BY:
             self.end_open(*ENDED_BY[tag])
-        node = Node(tag, self.now, self.now.dropped or self.boilerplate(tag, attrs))
+        mark, named = self.marked(tag, attrs)
+        self.doubts |= mark is not None
+        node = Node(tag, self.now, self.now.dropped or self.boilerplate(tag, attrs), mark, named)
         self.now.children.append(node)
         if tag not in VOID:
             self.now = node
@@ -198,24 +208,63 @@ class Tree:
     def boilerplate(self, tag: str, attrs) -> bool:
         if tag in SILENT:
             return True
-        inside = self.now.content
         if tag == "header":
-            return not inside
+            return not self.now.content
         for name, value in attrs:
             if not value:
                 continue
-            if name in ("class", "id"):
-                words = {w.lower() for w in NAME.findall(value)}
-                if tag not in CONTENT and words & BOILERPLATE:
-                    return not (inside and words & BOILERPLATE == {"header"})
-                if tag in CONTENT and words & {"comment", "comments", "reply", "related", "promo", "sponsored", "ad", "advert"}:
-                    return True
-            elif name == "role" and value.strip().lower() in BOILERPLATE_ROLES or name == "aria-hidden" and value.strip().lower() == "true":
+            if name == "role" and value.strip().lower() in BOILERPLATE_ROLES or name == "aria-hidden" and value.strip().lower() == "true":
                 return True
-            elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
+            if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
                 return True
         return any(name == "hidden" for name, _ in attrs)
 
+    def marked(self, tag: str, attrs) -> tuple[str | None, bool]:
+        """What marks an element as doubtful, if anything does, and whether a whole name of it means boilerplate."""
+        mark, named = "form" if tag == "form" else None, False
+        listed = NOT_CONTENT if tag in CONTENT else BOILERPLATE
+        for name, value in attrs:
+            if name == "role" and value.strip().lower() == "form":
+                mark = mark or "form"
+            if name not in ("class", "id"):
+                continue
+            names = [{w.lower() for w in NAME.findall(x)} for x in value.split()]
+            found = set().union(*names) & listed
+            if not found or self.now.content and found == {"header"}:
+                continue
+            mark = value if mark is None or name == "class" else mark
+            named |= any(words & listed and words <= listed | NEUTRAL for words in names)
+        return mark, named
+
+
+def settle(tree: Tree) -> None:
+    """Drop doubtful elements, except where they hold most of the page's unlinked text or of its articles.
+
+    Elements with the same mark are one: posts of a list do not hold most of it one by one. Where a whole name means
+    boilerplate, hardly anything may be left without the element, and its text does not count for the others.
+    """
+    if not tree.doubts:
+        return
+    nodes, together = in_order(tree.root), Counter()
+    for node in reversed(nodes):
+        below = [c for c in node.children if isinstance(c, Node) and not c.dropped]
+        if node.tag != "a":
+            own = sum(len(c.strip()) for c in node.children if isinstance(c, str))
+            node.prose = own + sum(c.prose for c in below)
+            node.clear = 0 if node.named else own + sum(c.clear for c in below)
+        node.article = node.prose if node.tag in CONTENT and node.mark is None else sum(c.article for c in below)
+        if node.mark is not None and node.parent.mark != node.mark:
+            together[node.mark] += node.clear
+    total, clear, articles = tree.root.prose, tree.root.clear, tree.root.article
+    for node in nodes:
+        if node.mark is None:
+            continue
+        own = together[node.mark]
+        most = 2 * own > clear and (own >= LEAST_PROSE or own >= clear)
+        alone = node.prose >= LEAST_PROSE and total - node.prose < LEAST_PROSE
+        holds = 2 * node.article > articles and 4 * node.article > total
+        node.dropped = not (holds or (alone if node.named else most))
+
 
 def blocks(node: Node) -> list[str]:
     """The texts between block boundaries below a node, white space folded, without empty ones."""
@@ -301,6 +350,7 @@ def score(nodes: list[Node]) -> None:
 def main_text(html: str) -> str:
     """The kept blocks of a page, in page order, joined by empty lines; empty if there are none."""
     tree = Tree(html)
+    settle(tree)
     nodes = in_order(tree.root)
     score(nodes)
     best = max(nodes, key=lambda n: n.points)

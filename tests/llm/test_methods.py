@@ -331,6 +331,48 @@ def test_main_text_of_a_page():
     ]
 
 
+BODY = ["First, paragraph of the text, with commas, that is long enough to count as prose, is it not?", "Second paragraph, as long as the first, or longer still, with commas, and more of the same words."]
+AROUND = (
+    '<nav><a href="/a">Menu</a></nav>', '<div class="sidebar"><p>Other things, that are here, and there.</p></div>'
+    '<div id="comments" class="comments-area"><p>I agree, totally, with all, of this.</p></div><footer>Me</footer>',
+)
+WRAPPERS = [
+    '<form method="post" action="./page.aspx" id="aspnetForm"><input type="hidden" name="__VIEWSTATE">{}<select><option>One</select><button>Go</button></form>',
+    *(f'<div class="{c}">{{}}</div>' for c in ("content no-sidebar", "with-sidebar", "has-comments", "post-share-enabled", "content-sidebar-wrap", "widget")),
+    '<section id="page-with-sidebar">{}</section>', '<div class="with-sidebar"><article>{}</article></div>', '<article class="post comments-open">{}</article>',
+]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+@pytest.mark.parametrize("outside", [False, True])
+def test_main_text_survives_its_wrapper(wrapper, outside):
+    """The boilerplate may stand in the marked container or around it."""
+    body = "".join(f"<p>{x}</p>" for x in BODY)
+    if outside:
+        page = AROUND[0] + wrapper.format(body) + AROUND[1]
+    else:
+        page = wrapper.format(AROUND[0] + f"<div>{body}</div>" + AROUND[1])
+    assert main_text.main_text(f"<html><body>{page}</body></html>").split("\n\n") == BODY
+
+
+def test_main_text_of_a_list_of_marked_posts():
+    posts = [f"Post {i}, with words, and commas, and enough, of both, to be a paragraph, that counts as prose." for i in range(6)]
+    page = "".join(f'<div class="post has-comments"><p>{x}</p></div>' for x in posts)
+    assert main_text.main_text(f"<body><div>{page}</div>{AROUND[1]}</body>").split("\n\n") == posts
+
+
+def test_main_text_leaves_marked_parts_out():
+    """Long comments, cards of related articles and a small form are not the main text."""
+    body = "".join(f"<p>{x}</p>" for x in BODY)
+    comments = "".join(f'<article class="comment-body"><p>{BODY[1]}</p></article>' for _ in range(5))
+    cards = "".join('<article class="card"><p>Something else, to read, later.</p></article>' for _ in range(3))
+    form = '<form><label>Name</label><p>Leave a word, please.</p></form>'
+    page = f'<article>{body}<div class="related-posts">{cards}</div></article><div id="comments" class="comments-area">{comments}</div>{form}'
+    assert main_text.main_text(page).split("\n\n") == BODY
+    page = f'<div class="content no-sidebar">{body}</div><div id="comments" class="comments-area">{comments}</div>{form}'
+    assert main_text.main_text(page).split("\n\n") == BODY
+
+
 @pytest.mark.parametrize("page", ["<" * 50_000, "<a " * 20_000, "<!--" * 20_000, '<a href="' * 20_000, "<script>" * 20_000, "<div>" * 20_000 + "x" + "<p>a</i>" * 5_000])
 def test_main_text_is_linear(page):
     main_text.main_text(page)
