@@ -60,7 +60,7 @@ class KnownPieces(dict):
         self.most = most
         self.older: dict[str, bytes] = {}  # the half before this one: what is used again comes over
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.newline = np.array(self.tokenizer.encode("\n", add_special_tokens=False).ids, "<u4").tobytes()
 
     def turn(self) -> None:
@@ -95,7 +95,8 @@ class PieceEncoder:
 
     A byte-level pre-tokenizer never joins what stands before a space to what follows it, so a text may
     be cut in front of each single space and its pieces encoded apart. Runs of white space
-    go through ``PIECE``, which cuts them as the pre-tokenizer does.
+    go through ``PIECE``, which cuts them as the pre-tokenizer does. A text with the string of an added token, such as
+    ``<|endoftext|>``, goes to the library as a whole, since such a token may take in what stands around it.
     """
 
     def __init__(self, path: str, ends_with: int, cached_pieces: int = CACHED_PIECES):
@@ -104,6 +105,9 @@ class PieceEncoder:
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text and the end id."""
+        if any(a in text for a in self.known.added):
+            ids = self.known.tokenizer.encode(text, add_special_tokens=False).ids
+            return np.array([*ids, *np.frombuffer(self.end, "<u4")], "<u4")
         self.known.turn()
         get = self.known.__getitem__
         if SPACE_AFTER_SPACE.search(text):

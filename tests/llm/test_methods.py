@@ -216,6 +216,19 @@ def test_token_ids_round_trip(spark, docs, texts):
         at += len(want)
 
 
+def test_added_tokens_in_a_text(spark):
+    """Texts with the string of an added token have the ids of the library's own call."""
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(byte_bpe())
+    made = ["a<|endoftext|>b", "<|endoftext|>", "x <|endoftext|> y\n<|endoftext|><|endoftext|>", "a<|endoftext", "<| endoftext|>", "a  <|endoftext|>  b"]
+    folder = new_path(spark, "added-tokens")
+    token_ids.write_token_ids(spark.createDataFrame(list(enumerate(made)), "doc_id long, text string"), folder, byte_bpe(), files=2)
+    ids = {r.doc_id: list(r.ids) for r in token_ids.read_token_ids(spark, folder).collect()}
+    assert ids == {i: plain.encode(t, add_special_tokens=False).ids + [0] for i, t in enumerate(made)}
+    assert ids[0] == [64, 50256, 65, 0]
+
+
 def test_seats_and_targets():
     assert mixing.seats([53.0, 24.0, 23.0], 7) == [3, 2, 2]
     assert mixing.seats([0.0, 0.0], 5) == [0, 0]
