@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from outcome_lens.llm import contamination, main_text, mixing, near_duplicates, perplexity, personal_data, token_ids, toxicity, url_rules, warc
+from outcome_lens.llm import collocations, contamination, main_text, mixing, near_duplicates, perplexity, personal_data, token_ids, toxicity, url_rules, warc
 from outcome_lens.session import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +84,12 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return main_text.main_texts(table(spark, folder, "pages"))
 
 
+@query
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+SQL["op11_collocations"] = collocations.collocations_sql()
 SQL["op9_url_filters"] = url_rules.judged_sql()
 SQL["op8_warc"] = """
 SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest,
