@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from outcome_lens.llm import collocations, contamination, main_text, mixing, near_duplicates, perplexity, personal_data, token_ids, toxicity, url_rules, warc
+from outcome_lens.llm import alignment, collocations, contamination, main_text, mixing, near_duplicates, perplexity, personal_data, token_ids, toxicity, url_rules, warc
 from outcome_lens.session import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,13 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_bpe() -> str:
+    """Where the second tokenizer of the alignment is."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 @query
 def op1_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return personal_data.personal_data(table(spark, folder, "documents"))
@@ -89,6 +96,11 @@ def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(table(spark, folder, "documents")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
+@query
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.aligned(table(spark, folder, "documents"), byte_bpe(), piece_bpe())
+
+
 SQL["op11_collocations"] = collocations.collocations_sql()
 SQL["op9_url_filters"] = url_rules.judged_sql()
 SQL["op8_warc"] = """
