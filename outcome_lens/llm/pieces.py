@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from outcome_lens.contract import AnalysisError
 
 # Fixed value: white space of Unicode, and four control characters that some count to it.
-SPACES = "\t-\r\x1c-\x20\x85\xa0  -     　"
+SPACES = "\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 IRREGULAR = f"\\A[{SPACES}]| \\z|[{SPACES}] | [{SPACES}]|\\x00"
 CUT = re.compile(f"(?<=[^{SPACES}]) (?=[^{SPACES}])")
 EDGE = re.compile(f"[{SPACES}]")
