@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from outcome_lens.llm import alignment, collocations, contamination, main_text, mixing, near_duplicates, perplexity, personal_data, token_ids, toxicity, url_rules, warc
+from outcome_lens.llm import alignment, class_model, collocations, contamination, main_text, mixing, near_duplicates, perplexity, personal_data, token_ids, toxicity, url_rules, warc
 from outcome_lens.session import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,6 +101,11 @@ def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.aligned(table(spark, folder, "documents"), byte_bpe(), piece_bpe())
 
 
+@query
+def op13_class_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return class_model.class_scores(table(spark, folder, "documents"))
+
+
 SQL["op11_collocations"] = collocations.collocations_sql()
 SQL["op9_url_filters"] = url_rules.judged_sql()
 SQL["op8_warc"] = """
