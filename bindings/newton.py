@@ -116,3 +116,54 @@ class NewtonSql:
 
     def with_clause(self) -> str:
         return "WITH " + ",\n".join(self.parts)
+
+
+class LevelNewtonSql:
+    """The same for a number ``x`` and one column ``level`` of many values, over rows ``(y, x, level)``.
+
+    The levels' block of the Hessian is diagonal, so it is eliminated level by level, which leaves two equations.
+    """
+
+    def __init__(self, rows: str, c: float = 1.0, steps: int = 10):
+        self.c = c
+        self.parts = [
+            f"t AS MATERIALIZED ({rows})",
+            "ref AS (SELECT level AS ref FROM (SELECT level, count(*) AS n FROM t WHERE level IS NOT NULL GROUP BY 1) ORDER BY n DESC, level LIMIT 1)",
+            "z AS MATERIALIZED (SELECT y, (x - mu) / sd AS z, CASE WHEN level <> ref THEN level END AS level FROM t, ref, "
+            "(SELECT avg(x) AS mu, stddev_pop(x) AS sd FROM t))",
+            "d0 AS MATERIALIZED (SELECT CAST(0 AS DOUBLE) AS b0, CAST(0 AS DOUBLE) AS b1)",
+            "l0 AS MATERIALIZED (SELECT DISTINCT level, CAST(0 AS DOUBLE) AS b FROM z WHERE level IS NOT NULL)",
+        ]
+        for k in range(steps):
+            self._sums(k)
+            self.parts += [
+                f"d{k + 1} AS MATERIALIZED (SELECT b0 + (s11 * r0 - s01 * r1) / det AS b0, b1 + (s00 * r1 - s01 * r0) / det AS b1 FROM s{k})",
+                f"l{k + 1} AS MATERIALIZED (SELECT level, b + (g - a0 * (n.b0 - o.b0) - a1 * (n.b1 - o.b1)) / d AS b FROM e{k}, d{k + 1} n, d{k} o)",
+            ]
+        self.last = steps
+        self._sums(steps)
+
+    def probability(self, k: int) -> str:
+        return f"(SELECT z.*, 1 / (1 + exp(-(b0 + b1 * z + coalesce(b, 0)))) AS p FROM z LEFT JOIN l{k} USING (level), d{k})"
+
+    def _sums(self, k: int) -> None:
+        """The diagonal of the levels and their coupling, and the two equations that are left."""
+        c = self.c
+        self.parts += [
+            f"p{k} AS MATERIALIZED {self.probability(k)}",
+            f"e{k} AS MATERIALIZED (SELECT level, any_value(b) AS b, sum(y - p) - any_value(b) / {c} AS g, sum(p * (1 - p)) + 1 / {c} AS d, "
+            f"sum(p * (1 - p)) AS a0, sum(p * (1 - p) * z) AS a1 FROM p{k} JOIN l{k} USING (level) GROUP BY level)",
+            f"""s{k} AS MATERIALIZED (SELECT b0, b1, s00, s01, s11, r0, r1, s00 * s11 - s01 * s01 AS det FROM (
+              SELECT b0, b1, w - a00 AS s00, wz - a01 AS s01, wzz + 1 / {c} - a11 AS s11, g0 - h0 AS r0, g1 - b1 / {c} - h1 AS r1 FROM d{k},
+                (SELECT sum(p * (1 - p)) AS w, sum(p * (1 - p) * z) AS wz, sum(p * (1 - p) * z * z) AS wzz, sum(y - p) AS g0, sum((y - p) * z) AS g1 FROM p{k}),
+                (SELECT sum(a0 * a0 / d) AS a00, sum(a0 * a1 / d) AS a01, sum(a1 * a1 / d) AS a11, sum(a0 * g / d) AS h0, sum(a1 * g / d) AS h1 FROM e{k})))""",
+        ]
+
+    def coefficients(self) -> str:
+        """``level, coef, se``; the level of the number is ''."""
+        k = self.last
+        u = "(a0 * a0 * s11 - 2 * a0 * a1 * s01 + a1 * a1 * s00) / (d * d * det)"
+        return f"(SELECT '' AS level, b1 AS coef, sqrt(s00 / det) AS se FROM s{k} UNION ALL SELECT level, b, sqrt(1 / d + {u}) FROM e{k}, s{k})"
+
+    def with_clause(self) -> str:
+        return "WITH " + ",\n".join(self.parts)

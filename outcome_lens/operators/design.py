@@ -17,12 +17,13 @@ from pyspark.ml.feature import (
     VectorSlicer,
 )
 from pyspark.sql import DataFrame, Row
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from outcome_lens.contract import AnalysisError, Outcome, col
 from outcome_lens.functions.columns import number, require, to_rows
+from outcome_lens.functions.ordering import running_totals
 from outcome_lens.operators.levels import level_counts
+from outcome_lens.session import stored
 
 # Columns a model may have: its normal equations are a square matrix of this size on the driver.
 MAX_FEATURES = 2000
@@ -49,16 +50,18 @@ def fit_scaler(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
 
 
 def fit_encoder(df: DataFrame, categorical: Sequence[str]) -> DataFrame:
-    """Rows ``(column, level, n, slot, is_reference)``; slot 0 is the reference, the rest go by name."""
-    counts = level_counts(df, categorical)
-    most = W.partitionBy("column").orderBy(F.col("n").desc(), F.col("level").asc())
-    by_name = W.partitionBy("column").orderBy(F.col("is_reference").desc(), F.col("level").asc())
-    # the windows see at most MAX_FEATURES levels of a column: more than that is refused here
-    if counts.limit(MAX_FEATURES + 1).count() > MAX_FEATURES:
-        raise AnalysisError(f"the categorical columns have more than {MAX_FEATURES} levels together")
-    return counts.withColumn("is_reference", F.row_number().over(most) == 1).select(
-        "column", "level", "n", (F.row_number().over(by_name) - 1).alias("slot"), "is_reference"
-    )
+    """Rows ``(column, level, n, slot, is_reference)``; slot 0 is the reference, the rest go by name.
+
+    A column may have any number of levels: slots are running totals over the counted levels, and nothing of
+    them comes to the driver.
+    """
+    counts = stored(level_counts(df, categorical), "level-counts")
+    most = F.min(F.struct((-F.col("n")).alias("n"), "level")).alias("most")
+    reference = counts.groupBy("column").agg(most).select("column", F.col("most.level").alias("reference"))
+    marked = counts.join(reference, "column").select("column", "level", "n", (F.col("level") == F.col("reference")).alias("is_reference"))
+    order = [F.col("is_reference").desc(), F.col("level").asc()]
+    placed = running_totals(marked, ["column"], order, {"_place": F.lit(1).cast("long")})
+    return placed.select("column", "level", "n", (F.col("_place") - 1).alias("slot"), "is_reference")
 
 
 @dataclass(frozen=True)
