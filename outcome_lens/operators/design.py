@@ -170,6 +170,13 @@ def fit_fold_designs(
     df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], outcome: Outcome, fold: str, k: int
 ) -> list[Design]:
     """The design of each fold's training part, that is of all other folds, from two scans for all."""
+    return fit_whole_and_folds(df, numeric, categorical, outcome, fold, k)[1]
+
+
+def fit_whole_and_folds(
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], outcome: Outcome, fold: str, k: int
+) -> tuple[Design, list[Design]]:
+    """The design of all rows, and those of ``fit_fold_designs``."""
     require(df, *numeric, *categorical, outcome.column, fold)
     moments = _moments(df, numeric, categorical, outcome, [fold])
     found = {m[fold] for m in moments}
@@ -194,7 +201,7 @@ def fit_fold_designs(
         if not others:
             raise AnalysisError(f"fold {i} holds every row")
         designs.append(_combined(others, [r for r in levels if r[fold] != i], numeric, categorical, outcome))
-    return designs
+    return _combined(moments, levels, numeric, categorical, outcome), designs
 
 
 def _quoted(name: str) -> str:
