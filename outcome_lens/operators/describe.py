@@ -10,37 +10,30 @@ from pyspark.sql import functions as F
 
 from outcome_lens.contract import AnalysisError, col
 from outcome_lens.functions.columns import number, numeric_columns, ratio, require, same_keys, to_rows
-from outcome_lens.functions.quantiles import quantiles
+from outcome_lens.functions.profiles import Profile, exact_quantiles, profile, sketched
 
-QUARTILES = (0.25, 0.5, 0.75)
+QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
-def describe_numeric(df: DataFrame, names: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
-    """One row per numeric column: count, mean, sample deviation, extremes, quartiles."""
+def describe_numeric(
+    df: DataFrame, names: Sequence[str] | None = None, exact: bool = True, known: Profile | None = None
+) -> DataFrame:
+    """One row per numeric column: count, mean, sample deviation, extremes, quartiles.
+
+    ``known`` is a profile of the columns that was made before; without it, one more scan makes one. ``exact=False`` leaves the
+    quartiles to the sketch, and the table is scanned once.
+    """
     names = numeric_columns(df) if names is None else list(names)
     require(df, *names)
     if not names:
         raise AnalysisError("the table has no numeric column")
-    one = df.agg(
-        *[
-            F.struct(
-                F.lit(n).alias("column"),
-                F.count(number(df, n)).alias("count"),
-                F.avg(number(df, n)).alias("mean"),
-                F.stddev_samp(number(df, n)).alias("std"),
-                F.min(number(df, n)).alias("min"),
-                F.max(number(df, n)).alias("max"),
-            ).alias(f"_{i}")
-            for i, n in enumerate(names)
-        ]
-    )
-    moments = one.select(F.explode(F.array(*[f"_{i}" for i in range(len(names))])).alias("_e")).select("_e.*")
-    cuts = (
-        quantiles(df, names, QUARTILES, exact=exact)
-        .groupBy("column")
-        .agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(a) for p, a in zip(QUARTILES, ("q25", "q50", "q75"), strict=True)])
-    )
-    return same_keys(moments, cuts, ["column"]).select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
+    known = known or profile(df, names)
+    moments = known.rows.filter(F.col("column").isin(names)).select("column", F.col("n").alias("count"), "mean", "std", "min", "max", "grid", "n")
+    if exact:
+        cuts = exact_quantiles(df, known, QUARTILES)
+    else:
+        cuts = moments.select("column", *[F.when(F.col("n") > 0, sketched(F.lit(p))).alias(q) for q, p in QUARTILES.items()])
+    return same_keys(moments, cuts, ["column"]).select("column", "count", "mean", "std", "min", *QUARTILES, "max")
 
 
 def describe_all(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
