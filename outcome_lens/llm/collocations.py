@@ -31,9 +31,10 @@ LEAST_COUNT = 10
 INSIDE_PERCENT = 50  # a phrase goes when a longer one around it has this share of its count
 TOP = 2000
 NO_LANGUAGE = "und"
-SHARD_BYTES = 16 << 20  # of text; one longer text is a shard of its own
+SHARD_BYTES = 3 << 20  # of text; one longer text is a shard of its own
 FILTER_BITS = 1 << 27
-ROWS_PER_BATCH = 1 << 18
+ROWS_PER_BATCH = 1 << 16
+TEXTS_AT_ONCE = 256  # that are unpacked from a batch
 SALTS = 16
 
 # What ends a piece, and what stands between words.
@@ -192,7 +193,8 @@ def counted(docs: DataFrame, first: int, last: int, least: int, frequent: Freque
     def shards(batches):
         held: dict[str, list[bytes]] = {}
         size = 0
-        for batch in batches:
+        some = (batch.slice(at, TEXTS_AT_ONCE) for batch in batches for at in range(0, batch.num_rows, TEXTS_AT_ONCE))
+        for batch in some:
             for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 raw = text.encode()
                 held.setdefault(lang, []).append(raw)
