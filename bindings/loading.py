@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from bindings.registry import Tables, bind
 from outcome_lens.contract import AnalysisError, Field, Outcome, SourceContract
 from outcome_lens.operators.rates import outcome_rate
 from outcome_lens.session import new_path
-from outcome_lens.sources import normalise, parsing, read_contract, read_raw, read_results, write_results
+from outcome_lens.sources import normalise, parsing, published_runs, read_contract, read_quarantined, read_raw, read_results, write_results
 
 ORDER_LINES = SourceContract(
     fields=(
@@ -40,9 +41,20 @@ def _order_file(t: Tables) -> str:
         F.concat(F.col("o_orderstatus"), F.lit(".")),
     )
     marked = F.when(F.col("o_orderkey") % 100 == 0, F.array(F.lit("|a comment, with, commas"), F.lit(""), line))
-    path = new_path(t.spark, "orders-csv")
-    t.orders.select(F.explode(F.coalesce(marked, F.array(line))).alias("value")).write.text(path)
-    return path
+    made = (t.spark.sparkContext.applicationId, t.folder)
+    if made not in _order_files:  # several queries of a session read the same file
+        path = new_path(t.spark, "orders-csv")
+        t.orders.select(F.explode(F.coalesce(marked, F.array(line))).alias("value")).write.text(path)
+        _order_files[made] = path
+    return _order_files[made]
+
+
+_order_files: dict[tuple[str, str], str] = {}
+
+
+def prepare(spark: SparkSession, folder: str) -> None:
+    """Write the file that the source queries read, so that a timing of these is one of reading."""
+    _order_file(Tables(spark, folder))
 
 
 def _shown(df):
@@ -139,3 +151,48 @@ def s5_write_results(t: Tables):
     write_results({"rates": rates}, path, "first")
     write_results({"rates": rates.withColumn("n", F.lit(0).cast("long"))}, path, "second")
     return read_results(t.spark, path, "rates", "first").filter("kind = 'level'").select("run_id", "level", "n", "positives")
+
+
+# lines with three cells, with seven, and with a cell that is no number
+SHORT, LONG, BAD = "o_orderkey % 50 = 1", "o_orderkey % 50 = 2", "o_orderkey % 50 = 3"
+
+
+@bind(
+    f"""
+    SELECT 'typed' AS kind, o_orderkey AS order_key, o_orderstatus AS shown FROM orders WHERE NOT ({SHORT} OR {LONG} OR {BAD})
+    UNION ALL SELECT 'line', o_orderkey, CAST(o_orderkey AS VARCHAR) || ', ' || CAST(o_custkey AS VARCHAR) || ', ' || o_orderpriority FROM orders WHERE {SHORT}
+    UNION ALL SELECT 'line', o_orderkey, CAST(o_orderkey AS VARCHAR) || ', ' || CAST(o_custkey AS VARCHAR) || ', ' || o_orderpriority || ', 1, F., more, cells'
+      FROM orders WHERE {LONG}
+    UNION ALL SELECT 'cells', o_orderkey, 'total' FROM orders WHERE {BAD}
+    """
+)
+def s2_quarantine_lines(t: Tables):
+    """Short lines, long lines and bad cells lie apart from the good rows of one file, and none fails the job."""
+    short, long, bad = (F.expr(e) for e in (SHORT, LONG, BAD))
+    start = F.concat_ws(", ", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), "o_orderpriority")
+    rest = F.when(short, F.lit("")).when(long, F.lit(", 1, F., more, cells")).when(bad, F.lit(", much, F.")).otherwise(F.concat(F.lit(", 10.5, "), "o_orderstatus", F.lit(".")))
+    path = new_path(t.spark, "broken-csv")
+    t.orders.select(F.concat(start, rest).alias("value")).write.text(path)
+    typed, rejected = read_quarantined(t.spark, path, ORDER_LINES)
+    shown = F.when(F.col("reason") == "line", F.col("line")).otherwise(F.array_join("failed_columns", ","))
+    return typed.select(F.lit("typed").alias("kind"), "order_key", F.col("status").alias("shown")).unionByName(
+        rejected.filter("file is not null and block is not null").select(F.col("reason").alias("kind"), F.trim("order_key").cast("int").alias("order_key"), shown.alias("shown"))
+    )
+
+
+@bind(
+    """
+    SELECT 'first' AS run_id, l_linestatus AS level, count(*) AS n, 1 AS published FROM lineitem GROUP BY l_linestatus
+    """
+)
+def s5_killed_write(t: Tables):
+    """A write of the same run that ends after its first table leaves the run as it was."""
+    path = new_path(t.spark, "results")
+    rates = outcome_rate(t.lineitem, ["l_linestatus"], Outcome("l_returnflag", "R"))
+    write_results({"rates": rates}, path, "first")
+    broken = rates.withColumn("n", F.raise_error(F.lit("killed")).cast("long"))
+    try:
+        write_results({"rates": rates.withColumn("n", F.lit(0).cast("long")), "more": broken}, path, "first")
+    except AnalysisError:
+        published = published_runs(t.spark, path).count()
+    return read_results(t.spark, path, "rates", "first").filter("kind = 'level'").select("run_id", "level", "n", F.lit(published).alias("published"))

@@ -15,7 +15,6 @@ from outcome_lens.contract import (
 )
 from outcome_lens.functions.sizes import settled
 from outcome_lens.operators.compare import compare_multisets
-from outcome_lens.operators.logistic import hash_fold
 from outcome_lens.plans.conclusions import reader_equality
 from outcome_lens.plans.outcome_report import ReportSpec, outcome_report
 from outcome_lens.session import get_session, stored, temporary_tables
@@ -31,7 +30,7 @@ def census_spec() -> ReportSpec:
         compared="hours-per-week",
         factor="sex",
         excluded="relationship",
-        fold=hash_fold(CENSUS.names),  # no key: equal rows were removed, so the row itself is one
+        fold_keys=tuple(CENSUS.names),  # no key: equal rows were removed, so the row itself is one
         described_numeric=tuple(CENSUS.numeric),
         described_categorical=tuple(CENSUS.categorical),
         caps={f.name: f.cap for f in CENSUS.fields if f.cap is not None},

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from outcome_lens.contract import AnalysisError, Outcome, col
 from outcome_lens.functions.columns import any_missing, missing, ratio, require
@@ -66,7 +67,11 @@ def missingness_impact(df: DataFrame, outcome: Outcome) -> DataFrame:
 
 
 def fill_unknown(df: DataFrame, categorical: Sequence[str]) -> DataFrame:
+    """Missing categories as a level of their own; a category that is not a string column is an error."""
     require(df, *categorical)
+    others = [c for c in categorical if not isinstance(df.schema[c].dataType, T.StringType)]
+    if others:
+        raise AnalysisError(f"categories must be string columns to get a level of their own: {', '.join(others)}")
     return df.na.fill({c: UNKNOWN_LEVEL for c in categorical}) if categorical else df
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outcome_lens.contract import AnalysisError, Outcome
+from outcome_lens.functions.profiles import Profile, profile
 from outcome_lens.operators.caveats import level_purity, topcode_profile
 from outcome_lens.operators.describe import correlation, describe_all, describe_numeric, top_bottom
 from outcome_lens.operators.design import design_metadata, fit_scaler
@@ -22,6 +23,7 @@ from outcome_lens.operators.logistic import (
     compare_strategies,
     fit_score,
     sensitivity,
+    stratified_folds,
     threshold_analysis,
 )
 from outcome_lens.operators.quality import DROP, UNKNOWN, clean, cleaning_summary
@@ -45,7 +47,8 @@ class ReportSpec:
     compared: str
     factor: str  # tested against the outcome, and the focus of the model
     excluded: str  # left out in the sensitivity refit
-    fold: Column = field(repr=False)
+    fold: Column | None = field(default=None, repr=False)
+    fold_keys: tuple[str, ...] = ()  # without ``fold``: columns that tell rows apart, over which folds are stratified
     folds: int = 5
     described_numeric: tuple[str, ...] = ()  # profiled; the model features if empty
     described_categorical: tuple[str, ...] = ()
@@ -72,6 +75,8 @@ def outcome_report(
     categorical = list(spec.described_categorical or spec.categorical)
     if spec.factor not in spec.categorical or spec.excluded not in [*spec.categorical, *spec.numeric]:
         raise AnalysisError("the factor and the excluded column must be model features")
+    if spec.fold is None and not spec.fold_keys:
+        raise AnalysisError("a report needs folds, or the columns to deal them by")
     model = (list(spec.numeric), list(spec.categorical), outcome)
 
     kept = stored(clean(train), "train")
@@ -91,15 +96,19 @@ def outcome_report(
     def coefs() -> DataFrame:
         return coefficient_stats(fit()[0], kept)
 
+    @cache
+    def profiled() -> Profile:
+        return profile(kept, numeric)
+
     @cache
     def level_rates() -> DataFrame:
         return stored(outcome_rate(kept, categorical, outcome), "level-rates")
 
     build["cleaning"] = lambda: cleaning_summary({"train": train, "test": test}, outcome)
-    build["describe"] = lambda: describe_numeric(kept, numeric)
+    build["describe"] = lambda: describe_numeric(kept, numeric, known=profiled())
     build["describe_all"] = lambda: describe_all(kept)
     build["correlation"] = lambda: correlation(kept, numeric)
-    build["shapes"] = lambda: shape_profile(kept, numeric)
+    build["shapes"] = lambda: shape_profile(kept, numeric, known=profiled())
     build["box"] = lambda: box_stats(kept, spec.compared, outcome.column)
     build["rates"] = lambda: level_rates()
     build["folded_rates"] = lambda: fold_rare(level_rates())
@@ -141,7 +150,10 @@ def outcome_report(
 
     @table
     def thresholds():
-        return threshold_analysis(fit()[0], kept, held, spec.fold, spec.folds)
+        if spec.fold is not None:
+            return threshold_analysis(fit()[0], kept, held, spec.fold, spec.folds)
+        dealt = stored(stratified_folds(kept, outcome, spec.fold_keys, spec.folds), "stratified")
+        return threshold_analysis(fit()[0], dealt, held, F.col("fold"), spec.folds)
 
     @table
     def strategies():

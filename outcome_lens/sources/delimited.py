@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
@@ -16,13 +17,7 @@ from outcome_lens.functions.columns import require
 
 
 def _scan(spark: SparkSession, path: str, contract: SourceContract, schema: T.StructType, **more) -> DataFrame:
-    options = {
-        "sep": contract.delimiter,
-        "comment": contract.comment,
-        "mode": "FAILFAST",
-        "header": "false",
-        **more,
-    }
+    options = {"sep": contract.delimiter, "comment": contract.comment, "mode": "FAILFAST", "header": "false", **more}
     try:
         return spark.read.options(**options).schema(schema).csv(path)
     except AnalysisException as error:
@@ -62,6 +57,46 @@ def read_raw(spark: SparkSession, path: str, contract: SourceContract) -> DataFr
     return _scan(spark, path, contract, contract.raw_schema())
 
 
+LINE = "line"  # of a malformed line as it stands in the file; null for others
+
+
+def read_lines(spark: SparkSession, path: str, contract: SourceContract) -> DataFrame:
+    """``read_raw`` that lets malformed lines through: ``line`` holds those with too few or too many cells.
+
+    ``file`` and ``block`` say which file a row is from, and where in it the part starts that one task read.
+    """
+    taken = {LINE, "file", "block", "failed_columns", "reason"} & set(contract.names)
+    if taken:
+        raise AnalysisError(f"the contract has columns named {', '.join(sorted(taken))}, which are added here")
+    schema = T.StructType([*contract.raw_schema().fields, T.StructField(LINE, T.StringType())])
+    df = _scan(spark, path, contract, schema, mode="PERMISSIVE", columnNameOfCorruptRecord=LINE)
+    return df.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+
+
+def read_quarantined(spark: SparkSession, path: str, contract: SourceContract) -> tuple[DataFrame, DataFrame]:
+    """``(typed, rejected)``: every line with a cell is in one of them.
+
+    ``rejected`` has the raw strings, ``failed_columns``, ``reason`` (``line`` for a malformed one, else ``cells``), the
+    malformed ``line``, and its ``file`` and ``block``. No row fails the job.
+    """
+    raw = read_lines(spark, path, contract)
+    some = reduce(lambda a, b: a | b, [col(n).isNotNull() for n in contract.names], F.col(LINE).isNotNull())
+    marked = raw.filter(some).withColumn("failed_columns", _failed(contract))
+    good = F.col(LINE).isNull() & (F.size("failed_columns") == 0)
+    typed = marked.filter(good).select(*[_cleaned(f, contract).try_cast(f.spark_type()).alias(f.name) for f in contract.fields])
+    reason = F.when(F.col(LINE).isNotNull(), F.lit("line")).otherwise(F.lit("cells"))
+    return typed, marked.filter(~good).withColumn("reason", reason)
+
+
+def _failed(contract: SourceContract) -> Column:
+    """The names of the cells of a raw row that do not cast."""
+    bad = [
+        F.when(_cleaned(f, contract).isNotNull() & _cleaned(f, contract).try_cast(f.spark_type()).isNull(), F.lit(f.name))
+        for f in contract.fields
+    ]
+    return F.array_compact(F.array(*bad))
+
+
 def _cleaned(field: Field, contract: SourceContract) -> Column:
     # an empty field and the null token are the only two ways to write a missing cell
     text = F.nullif(F.nullif(F.trim(col(field.name)), F.lit(contract.null_token)), F.lit(""))
@@ -86,18 +121,7 @@ def normalise(
         return raw.select(
             *[_cleaned(f, contract).cast(f.spark_type()).alias(f.name) for f in contract.fields]
         )
-    failed = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    _cleaned(f, contract).isNotNull() & _cleaned(f, contract).try_cast(f.spark_type()).isNull(),
-                    F.lit(f.name),
-                )
-                for f in contract.fields
-            ]
-        )
-    )
-    marked = raw.withColumn("failed_columns", failed)
+    marked = raw.withColumn("failed_columns", _failed(contract))
     typed = marked.filter(F.size("failed_columns") == 0).select(
         *[_cleaned(f, contract).try_cast(f.spark_type()).alias(f.name) for f in contract.fields]
     )

@@ -8,7 +8,9 @@ from outcome_lens.operators.compare import compare_frames, compare_multisets, co
 from outcome_lens.sources import (
     normalise,
     parsing,
+    published_runs,
     read_contract,
+    read_quarantined,
     read_raw,
     read_results,
     write_results,
@@ -97,3 +99,29 @@ def test_results_are_kept_per_run(spark, tmp_path, file_format):
     assert read_results(spark, path, "t", file_format=file_format).count() == 6
     with pytest.raises(AnalysisError):
         read_results(spark, path, "absent")
+
+
+def test_lines_that_do_not_fit_are_kept_apart(spark, tmp_path):
+    path = tmp_path / "broken.csv"
+    path.write_text("|comment\n1, 2.5, yes.\n2, 3.5\n\n3, x, no.\n4, 1.0, no., more\n, ,\n5, ?, ?\n")
+    typed, rejected = read_quarantined(spark, str(path), SMALL)
+    # a line of blanks has cells, if empty ones; an empty line is no row
+    assert {tuple(r) for r in typed.collect()} == {(1, 2.5, "yes"), (5, None, None), (None, None, None)}
+    found = {(r.reason, r.line, tuple(r.failed_columns)) for r in rejected.collect()}
+    assert ("cells", None, (SMALL.names[1],)) in found
+    assert {line for reason, line, _ in found if reason == "line"} == {"2, 3.5", "4, 1.0, no., more"}
+    assert all(r.file.endswith("broken.csv") and r.block == 0 for r in rejected.collect())
+
+
+def test_a_killed_write_leaves_the_run_before(spark, tmp_path):
+    path = str(tmp_path / "results")
+    write_results({"t": spark.range(3), "u": spark.range(2)}, path, "a")
+    broken = spark.range(5).select(F.raise_error(F.lit("killed")).cast("long").alias("id"))
+    with pytest.raises(AnalysisError, match="cannot write result u"):
+        write_results({"t": spark.range(9), "u": broken}, path, "a")
+    assert read_results(spark, path, "t", "a").count() == 3 and read_results(spark, path, "u", "a").count() == 2
+    assert sorted((r.run_id, r.name) for r in published_runs(spark, path).collect()) == [("a", "t"), ("a", "u")]
+    write_results({"t": spark.range(4)}, path, "a")
+    assert read_results(spark, path, "t", "a").count() == 4 and read_results(spark, path, "u").columns == ["id", "run_id"]
+    with pytest.raises(AnalysisError, match="of run b"):
+        read_results(spark, path, "t", "b")
