@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from outcome_lens.contract import AnalysisError, col
 from outcome_lens.functions.columns import number, ratio, require, same_keys
 from outcome_lens.functions.formats import effect_label, p_text
-from outcome_lens.functions.tails import chi2_log10_p, chi2_p, t_critical, t_log10_p, t_p
+from outcome_lens.functions.tails import chi2_test, t_test
 
 ALPHA = 0.05
 
@@ -80,16 +80,14 @@ def welch_t(
         if row["n_a"] == 0 or row["n_b"] == 0:
             raise AnalysisError(f"an empty group: {a} has {row['n_a']} rows, {b} has {row['n_b']}")
         stats = df.sparkSession.createDataFrame([row], stats.schema)  # as ``settled``, after the check
-    half = t_critical(F.col("dof"), alpha) * F.col("se")
-    tested = stats.select(
-        "*", half.alias("_half"), t_p(F.col("t"), F.col("dof")).alias("_p"), t_log10_p(F.col("t"), F.col("dof")).alias("_log10_p")
-    )
+    tested = stats.select("*", t_test(F.col("t"), F.col("dof"), alpha).alias("_test"))
+    half = F.col("_test.critical") * F.col("se")
     return tested.select(
         *stats.columns,
-        (F.col("diff") - F.col("_half")).alias("ci_low"),
-        (F.col("diff") + F.col("_half")).alias("ci_high"),
+        (F.col("diff") - half).alias("ci_low"),
+        (F.col("diff") + half).alias("ci_high"),
         effect_label(F.col("cohens_d")).alias("effect"),
-        *_verdict_columns(F.col("_p"), F.col("_log10_p"), alpha),
+        *_verdict_columns(F.col("_test.p"), F.col("_test.log10_p"), alpha),
     )
 
 
@@ -163,9 +161,5 @@ def chi_square(df: DataFrame, a: str, b: str, by: Sequence[str] = (), alpha: flo
         if row is None or row["dof"] == 0:
             raise AnalysisError(f"the table of {a} and {b} is smaller than 2 x 2")
         stats = df.sparkSession.createDataFrame([row], stats.schema)
-    tested = stats.select(
-        "*",
-        chi2_p(F.col("chi2"), F.col("dof")).alias("_p"),
-        chi2_log10_p(F.col("chi2"), F.col("dof")).alias("_log10_p"),
-    )
-    return tested.select(*stats.columns, *_verdict_columns(F.col("_p"), F.col("_log10_p"), alpha))
+    tested = stats.select("*", chi2_test(F.col("chi2"), F.col("dof")).alias("_test"))
+    return tested.select(*stats.columns, *_verdict_columns(F.col("_test.p"), F.col("_test.log10_p"), alpha))
