@@ -124,6 +124,32 @@ def a4_correlation_lower(t: Tables):
     return correlation(_nulled(t), MEASURES, triangle="lower")
 
 
+# 200 columns made of three, each with its own missing cells
+WIDE, SHOWN = 200, (0, 1, 6, 77, 199)
+
+
+def _wide_cell(k: int) -> str:
+    return f"CASE WHEN (l_orderkey + {k}) % 11 <> 0 THEN l_quantity * {k % 5} + l_discount * {k} + (l_partkey * {k}) % 97 END"
+
+
+def _wide_sql() -> str:
+    columns = ", ".join(f"{_wide_cell(k)} AS c{k}" for k in SHOWN)
+    return " UNION ALL ".join(
+        f"SELECT 'c{i}' AS a, 'c{j}' AS b, corr(c{i}, c{j}) AS r, count(CASE WHEN c{i} IS NOT NULL AND c{j} IS NOT NULL THEN 1 END) AS n FROM wide"
+        for i in SHOWN
+        for j in SHOWN
+        if i > j
+    ).join([f"WITH wide AS MATERIALIZED (SELECT {columns} FROM lineitem) ", ""])
+
+
+@bind(_wide_sql(), ["r"])
+def a3_correlation_200_columns(t: Tables):
+    """All pairs of 200 columns in one scan; some of them are compared."""
+    wide = t.lineitem.select(*[F.expr(_wide_cell(k)).cast("double").alias(f"c{k}") for k in range(WIDE)])
+    shown = [f"c{k}" for k in SHOWN]
+    return correlation(wide, triangle="lower").filter(F.col("a").isin(shown) & F.col("b").isin(shown))
+
+
 def _rate_sql(name: str, table: str = "lineitem", positive: str = "l_returnflag = 'R'", label: str | None = None) -> str:
     return f"""
     SELECT '{label or name}' AS "column", CAST({name} AS VARCHAR) AS level,

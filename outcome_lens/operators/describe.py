@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from outcome_lens.contract import AnalysisError, col
-from outcome_lens.functions.columns import number, numeric_columns, ratio, require, same_keys, to_rows
+from outcome_lens.functions.blocks import BLOCK, packed, tree_merge
+from outcome_lens.functions.columns import number, numeric_columns, require, same_keys, to_rows
 from outcome_lens.functions.profiles import Profile, exact_quantiles, profile, sketched
 
+BLOCK_CELLS = 1_000_000  # cells of the table that a task holds at once as a matrix
+ROUNDING = 1e-14  # of a sum of squares: a spread below it is that of a constant
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
@@ -76,45 +82,77 @@ def describe_all(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
+def co_moments(df: DataFrame, names: Sequence[str]) -> np.ndarray:
+    """Pairwise-complete moments as an array of four squares, in one scan.
+
+    For columns i and j, over the rows where both have a value: their number, the mean of i, the sum of squared deviations of i, and
+    the sum of products of deviations. A task works on blocks of rows as matrices and sends its squares once, packed; squares are merged
+    in a tree, by the update for two disjoint parts.
+    """
+    require(df, *names)
+    width = len(names)
+    cells = df.select(*[number(df, n).alias(f"x{i}") for i, n in enumerate(names)])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(4 * width * width)
+        block = max(1, BLOCK_CELLS // width)
+        for batch in batches:
+            for at in range(0, batch.num_rows, block):
+                x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.slice(at, block).columns])
+                total = _merged_moments(total, _block_moments(x).ravel())
+        yield packed(total)
+
+    found = tree_merge(cells.mapInArrow(gather, BLOCK), _merged_moments)
+    return (np.zeros(4 * width * width) if found is None else found).reshape(4, width, width)
+
+
+def _block_moments(x: np.ndarray) -> np.ndarray:
+    """The four squares of the rows of ``x``, NaN being no value."""
+    has = ~np.isnan(x)
+    x = np.where(has, x, 0.0)
+    counts = has.sum(0)
+    least, most = np.where(has, x, np.inf).min(0), np.where(has, x, -np.inf).max(0)
+    # a constant column is shifted by its value, which leaves exact zeros
+    shift = np.where(least == most, least, x.sum(0) / np.maximum(counts, 1))
+    shift = np.where(np.isfinite(shift), shift, 0.0)
+    x = np.where(has, x - shift, 0.0)
+    there = has.astype(float)
+    n, sums, squares = there.T @ there, x.T @ there, (x * x).T @ there
+    mean = sums / np.maximum(n, 1)
+    spread = squares - sums * mean
+    spread[spread < ROUNDING * squares] = 0.0
+    return np.stack([n, shift[:, None] + mean, spread, x.T @ x - sums * mean.T])
+
+
+def _merged_moments(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    width = math.isqrt(len(one) // 4)
+    (n, mean, spread, joint), (m, other, wide, both) = one.reshape(4, width, width), two.reshape(4, width, width)
+    total = n + m
+    share = m / np.maximum(total, 1)
+    apart = other - mean
+    weight = n * share
+    centre = np.where(n == 0, other, mean + apart * share)
+    return np.stack([total, centre, spread + wide + apart**2 * weight, joint + both + apart * apart.T * weight]).ravel()
+
+
 def correlation(df: DataFrame, names: Sequence[str] | None = None, triangle: str = "full") -> DataFrame:
     """Rows ``(a, b, r, n)``: Pearson over the rows where both columns have a value.
 
     ``triangle="lower"`` leaves out the diagonal and one of each mirrored pair. All pairs share one
-    scan and one aggregate of mergeable moments; r is NULL where a column does not vary.
+    scan; r is NULL where a column does not vary.
     """
     if triangle not in ("full", "lower"):
         raise AnalysisError(f"triangle is full or lower, not {triangle!r}")
     names = numeric_columns(df) if names is None else list(names)
-    require(df, *names)
-    x = [number(df, n) for n in names]
-    pairs = [(i, j) for i in range(len(names)) for j in range(i if triangle == "lower" else i + 1)]
-    if not pairs:
+    if not names or (triangle == "lower" and len(names) < 2):
         raise AnalysisError("a correlation needs at least two columns")
-    def pair(i: int, j: int) -> Column:
-        both = x[i].isNotNull() & x[j].isNotNull()
-        return F.struct(
-            F.covar_pop(x[i], x[j]).alias("joint"),
-            F.stddev_pop(F.when(both, x[i])).alias("own"),
-            F.stddev_pop(F.when(both, x[j])).alias("other"),
-            F.count(F.when(both, 1)).alias("n"),
-        )
-
-    one = df.agg(*[pair(i, j).alias(f"_{i}_{j}") for i, j in pairs])
-    entries = []
-    for i, j in pairs:
-        found = f"_{i}_{j}"
-        # not the built-in corr: it divides by zero, an error in ANSI mode, where a column is constant
-        r = ratio(F.col(f"{found}.joint"), F.col(f"{found}.own") * F.col(f"{found}.other"))
-        for a, b in {(i, j), (j, i)} if triangle == "full" else {(i, j)}:
-            entries.append(
-                F.struct(
-                    F.lit(names[a]).alias("a"),
-                    F.lit(names[b]).alias("b"),
-                    r.alias("r"),
-                    F.col(f"{found}.n").alias("n"),
-                )
-            )
-    return one.select(F.explode(F.array(*entries)).alias("_e")).select("_e.*")
+    n, _, spread, joint = co_moments(df, names)
+    scale = np.sqrt(spread) * np.sqrt(spread.T)
+    i, j = np.indices(n.shape).reshape(2, -1) if triangle == "full" else np.tril_indices(len(names), -1)
+    r = np.divide(joint, scale, out=np.full(n.shape, np.nan), where=scale != 0)
+    text = pa.array(names, pa.string())
+    columns = [text.take(pa.array(i)), text.take(pa.array(j)), pa.array(r[i, j], mask=scale[i, j] == 0), pa.array(n[i, j].astype(np.int64))]
+    return df.sparkSession.createDataFrame(pa.table(columns, names=["a", "b", "r", "n"]))
 
 
 def top_bottom(df: DataFrame, by: str, k: int, tie_break: Sequence[str] = ()) -> DataFrame:
