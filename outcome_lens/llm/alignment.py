@@ -28,7 +28,7 @@ from outcome_lens.llm.common import texts
 from outcome_lens.llm.pieces import ByteTokenizer, PieceTokenizer, cut, encoded, ranges, sums
 from outcome_lens.session import stored
 
-BATCH_BYTES = 16 << 20  # of text that is aligned at a time; one longer text is a batch of its own
+BATCH_BYTES = 3 << 20  # of text that is aligned at a time; one longer text is a batch of its own
 COUNTS = "n_a long, n_b long, n_groups long, n_links long"
 
 
@@ -78,26 +78,31 @@ class PossibleLinks:
         return cls(np.sort(np.fromiter(found, np.int64, len(found))), width)
 
     def numbers(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.codes, a * self.width + b)
+        return np.searchsorted(self.codes, a.astype(np.int64) * self.width + b)
 
     def second(self) -> np.ndarray:
         """The id on the second side of every pair."""
         return self.codes % self.width
 
 
+def given_back(tokenizer: ByteTokenizer | PieceTokenizer, ids: np.ndarray, counts: np.ndarray, whole: list[bytes]) -> np.ndarray:
+    """Which pieces consist of the bytes of their tokens."""
+    right = sums(tokenizer.sizes[ids], counts) == np.array([len(w) for w in whole], np.int64)
+    raw = tokenizer.bytes
+    if right.all() and b"".join([raw[i] for i in ids.tolist()]) == b"".join(whole):
+        return right
+    ends = np.cumsum(counts)
+    return np.array([b"".join([raw[i] for i in ids[e - n : e].tolist()]) == w for e, n, w in zip(ends, counts, whole, strict=True)], bool)
+
+
 class AlignedBatch:
     """The alignment of some texts: arrays over their distinct pieces, and which pieces each text has."""
 
     def __init__(self, bodies: list[str], a: ByteTokenizer, b: PieceTokenizer):
         self.pieces, self.counts, distinct = cut(bodies)
         (self.ids_a, self.n_a), (self.ids_b, self.n_b) = encoded(a, distinct), encoded(b, distinct)
-        ends_a, ends_b = np.cumsum(self.n_a), np.cumsum(self.n_b)
-        raw_a, raw_b = [a.bytes[i] for i in self.ids_a], [b.bytes[i] for i in self.ids_b]
-        whole = [(" " + p).encode() for p in distinct]
-        given_back = lambda raw, ends, counts: np.array(
-            [b"".join(raw[e - n : e]) == w for e, n, w in zip(ends, counts, whole, strict=True)], bool
-        )
-        good = given_back(raw_a, ends_a, self.n_a) & given_back(raw_b, ends_b, self.n_b)
+        whole = [b" " + p.encode() for p in distinct]
+        good = given_back(a, self.ids_a, self.n_a, whole) & given_back(b, self.ids_b, self.n_b, whole)
         bad_texts = sums((~good)[self.pieces].astype(np.int64), self.counts) > 0
         # pieces that are not given back take part in nothing, nor do texts that have one
         self.ids_a = self.ids_a[np.repeat(good, self.n_a)]
@@ -131,7 +136,8 @@ class AlignedBatch:
 
     def digests(self) -> list[str]:
         """SHA-256 of each text's groups, written ``a1,a2|b1;a3|b2,b3``; empty for a text without tokens."""
-        a, b = list(map(str, self.ids_a.tolist())), list(map(str, self.ids_b.tolist()))
+        names = [str(i) for i in range(1 + max([0, *map(int, (x.max() for x in (self.ids_a, self.ids_b) if len(x)))]))]
+        a, b = [names[i] for i in self.ids_a.tolist()], [names[i] for i in self.ids_b.tolist()]
         groups, at_a, at_b = [], 0, 0
         for m, n in zip(self.size_a.tolist(), self.size_b.tolist(), strict=True):
             groups.append(f"{a[at_a]}|{b[at_b]}" if m == n == 1 else ",".join(a[at_a : at_a + m]) + "|" + ",".join(b[at_b : at_b + n]))
@@ -139,9 +145,9 @@ class AlignedBatch:
         ends = np.cumsum(self.n_groups).tolist()
         written = [";".join(groups[e - n : e]) for e, n in zip(ends, self.n_groups.tolist(), strict=True)]
         out, at = [], 0
-        pieces = self.pieces.tolist()
         for n in self.counts.tolist():
-            out.append(hashlib.sha256(";".join([written[i] for i in pieces[at : at + n]]).encode()).hexdigest() if n else "")
+            own = self.pieces[at : at + n].tolist()
+            out.append(hashlib.sha256(";".join([written[i] for i in own]).encode()).hexdigest() if n else "")
             at += n
         return out
 

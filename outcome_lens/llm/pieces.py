@@ -20,7 +20,7 @@ from outcome_lens.contract import AnalysisError
 SPACES = "\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 IRREGULAR = f"\\A[{SPACES}]| \\z|[{SPACES}] | [{SPACES}]|\\x00"
 CUT = re.compile(f"(?<=[^{SPACES}]) (?=[^{SPACES}])")
-EDGE = re.compile(f"[{SPACES}]")
+WHITE = frozenset(chr(c) for c in range(0x3001) if re.match(f"[{SPACES}]", chr(c)))
 JOINED = 500  # pieces that are encoded as one text
 
 
@@ -54,7 +54,8 @@ class ByteTokenizer:
         self.sizes = np.array([len(b) for b in self.bytes])
 
     def ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        # without offsets, which nobody here asks for
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
 
 class PieceTokenizer:
@@ -76,27 +77,42 @@ class PieceTokenizer:
         return self.model.encode(text[1:])
 
 
-def encoded(tokenizer: ByteTokenizer | PieceTokenizer, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def encoded(tokenizer: ByteTokenizer | PieceTokenizer, pieces: list[str], spaced: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all pieces, each behind a space, and the number of ids of each piece.
 
-    Pieces without white space at an edge are encoded together, and cut apart by the bytes of their tokens.
+    Pieces without white space at an edge are encoded together, and cut apart by the bytes of their tokens. With ``spaced=False``
+    pieces are encoded as they are, as a byte-level tokenizer can: joined by line breaks, each of which is one token before a word.
     """
-    found: list[np.ndarray | None] = [None] * len(pieces)
-    plain = [i for i, p in enumerate(pieces) if p and not EDGE.match(p[0]) and not EDGE.match(p[-1])]
+    glue = " " if spaced else "\n"
+    plain = [i for i, p in enumerate(pieces) if p and p[0] not in WHITE and p[-1] not in WHITE]
+    apart = [i for i, p in enumerate(pieces) if not p or p[0] in WHITE or p[-1] in WHITE]
+    found, sizes, order = [], [], []
     for at in range(0, len(plain), JOINED):
         some = plain[at : at + JOINED]
-        ids = np.array(tokenizer.ids(" " + " ".join([pieces[i] for i in some])), np.int64)
+        names = [pieces[i] for i in some]
+        ids = np.array(tokenizer.ids(glue + glue.join(names)), np.int32)
         ends = np.cumsum(tokenizer.sizes[ids])
-        borders = np.cumsum([len(pieces[i].encode()) + 1 for i in some])
+        borders = np.cumsum([len(n.encode()) + 1 for n in names])
         last = np.searchsorted(ends, borders)
         if len(ends) and ends[-1] == borders[-1] and np.array_equal(ends[last], borders):
-            for i, own in zip(some, np.split(ids, last[:-1] + 1), strict=True):
-                found[i] = own
-    for i, own in enumerate(found):
-        if own is None:
-            found[i] = np.array(tokenizer.ids(" " + pieces[i]), np.int64)
-    counts = np.array([len(f) for f in found], np.int64)
-    return np.concatenate([np.zeros(0, np.int64), *found]), counts
+            held = np.diff(last, prepend=-1)
+            if not spaced:
+                ids, held = np.delete(ids, np.concatenate([[0], last[:-1] + 1])), held - 1
+            found.append(ids)
+            sizes.append(held)
+            order += some
+        else:
+            apart += some
+    for i in apart:
+        ids = tokenizer.ids(" " + pieces[i] if spaced else pieces[i])
+        found.append(np.array(ids, np.int32))
+        sizes.append(np.array([len(ids)]))
+    order += apart
+    whose = np.array(order, np.int64)
+    flat, held = np.concatenate([np.zeros(0, np.int32), *found]), np.concatenate([np.zeros(0, np.int64), *sizes])
+    counts, begins = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+    counts[whose], begins[whose] = held, np.cumsum(held) - held
+    return flat[ranges(begins, counts)], counts
 
 
 def cut(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
@@ -115,7 +131,7 @@ def cut(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
     lists = pa.concat_arrays(parts)
     sizes = np.asarray(lists.value_lengths(), np.int64)
     coded = lists.flatten().dictionary_encode()
-    flat = coded.indices.to_numpy().astype(np.int64)
+    flat = coded.indices.to_numpy()
     # back to the order of the texts
     whose = np.concatenate([regular, others])
     counts = np.zeros(len(texts), np.int64)
