@@ -1,6 +1,6 @@
 """Profiles of numeric columns: moments and a quantile sketch from one scan, exact order statistics from a second.
 
-A profile is a small stored table that any number of callers share. Its mergeable sketch tells in which narrow ranges the
+A profile is a small table, written once, that any number of callers share. Its mergeable sketch tells in which narrow ranges the
 wanted ranks lie; the second scan keeps the values of these ranges, and counts all others between them.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from outcome_lens.contract import AnalysisError, col
 from outcome_lens.functions.columns import number, require, same_keys
 from outcome_lens.functions.ordering import running_totals
-from outcome_lens.session import stored
+from outcome_lens.session import durable
 
 SKETCH_SIZE = 4096
 STEPS = 1024  # shares of the ranks at which a profile keeps the sketch's value
@@ -56,7 +56,7 @@ def profile(df: DataFrame, names: Sequence[str], by: Sequence[str] = ()) -> Prof
     rows = one.select(*[col(b) for b in by], entries).select(*[col(b) for b in by], "_e.*")
     shares = F.array(*[F.lit(k / STEPS) for k in range(STEPS + 1)])
     grid = F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("sketch", shares)).alias("grid")
-    return Profile(tuple(names), tuple(by), stored(rows.select("*", grid).drop("sketch"), "profile"))
+    return Profile(tuple(names), tuple(by), durable(rows.select("*", grid).drop("sketch")))
 
 
 def position(p: float, n: Column, skipped: Column | None = None) -> Column:
@@ -133,7 +133,7 @@ def select_ranges(df: DataFrame, of: Profile, ranges: Sequence[Column]) -> Selec
     keys = [*by, "column", "region"]
     counts = coded.groupBy(*[col(k) for k in keys], "x").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.max("v").alias("most"))
     placed = running_totals(counts, [*by, "column"], [F.col("region").asc(), F.col("x").asc_nulls_first()], {"upto": F.col("n")})
-    return Selection(of, stored(placed, "selection"))
+    return Selection(of, durable(placed))
 
 
 def quantile_rows(of: Profile, probs: Mapping[str, float]) -> DataFrame:

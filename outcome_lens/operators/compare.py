@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from outcome_lens.contract import AnalysisError, col
 from outcome_lens.functions.columns import missing, require, semantic_type
+from outcome_lens.session import durable
+
+BUCKETS = 1 << 16
 
 
 def _types(left: DataFrame, right: DataFrame, names: Sequence[str]) -> dict[str, tuple[str, str]]:
@@ -53,6 +56,40 @@ def _differs(i: int, types: tuple[str, str]) -> Column:
     return left != right
 
 
+def _alike(df: DataFrame, other: DataFrame, name: str) -> Column:
+    """The cell in a form that hashes alike on both sides wherever the two sides compare as equal; null if missing."""
+    kinds = {semantic_type(d.schema[name].dataType) for d in (df, other)}
+    as_type = "string" if "string" in kinds else "double" if "float" in kinds else "long"
+    return F.when(~missing(df, name), col(name)).cast(as_type)
+
+
+def differing_buckets(left: DataFrame, right: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """The buckets of keys, ``BUCKETS`` at most, in which the two tables do not hold the same rows.
+
+    Rows are summed up as hashes per bucket, the left ones positive and the right ones negative: a task sends one row a
+    bucket. Different rows of a bucket have equal sums with a chance of one in 2^64.
+    """
+
+    def side(df: DataFrame, other: DataFrame, sign: int) -> DataFrame:
+        cells = [_alike(df, other, n) for n in [*keys, *names]]
+        # a null leaves a hash as it is: which cells are null is hashed, too
+        row = F.xxhash64(*cells, *[c.isNull() for c in cells])
+        number = lambda part: (F.lit(sign) * part).cast("long")
+        return df.select(
+            _bucket(df, other, keys),
+            F.lit(sign).alias("_rows"),
+            number(row.bitwiseAND(F.lit(0xFFFFFFFF))).alias("_low"),
+            number(F.shiftrightunsigned(row, 32)).alias("_high"),
+        )
+
+    sums = side(left, right, 1).unionAll(side(right, left, -1)).groupBy("_bucket").agg(*[F.sum(c).alias(c) for c in ("_rows", "_low", "_high")])
+    return sums.filter("_rows <> 0 or _low <> 0 or _high <> 0").select("_bucket")
+
+
+def _bucket(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*[_alike(df, other, k) for k in keys]), F.lit(BUCKETS)).alias("_bucket")
+
+
 def _counts(left: DataFrame, right: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
     types = _types(left, right, names)
     paired = (F.col("_in_left") == 1) & (F.col("_in_right") == 1)
@@ -79,7 +116,8 @@ def _counts(left: DataFrame, right: DataFrame, keys: Sequence[str], names: Seque
 def compare_frames(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per common column: semantic types, and cells whose null state or value differs.
 
-    Cells are paired by key, since a distributed table has no row order; NaN counts as missing.
+    Cells are paired by key, since a distributed table has no row order; NaN counts as missing. Only rows of
+    ``differing_buckets`` are shuffled.
     """
     require(left, *keys)
     require(right, *keys)
@@ -87,6 +125,13 @@ def compare_frames(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
     if not names:
         raise AnalysisError("the two tables share no column besides the keys")
     types = _types(left, right, names)
+    # cells can only differ in buckets that differ; a text next to a number differs everywhere
+    pairs = _types(left, right, [*keys, *names]).values()
+    if all("string" not in p or p == ("string", "string") for p in pairs):
+        some = F.broadcast(durable(differing_buckets(left, right, keys, names)))  # BUCKETS rows at most
+        left, right = (
+            a.withColumn("_bucket", _bucket(a, b, keys)).join(some, "_bucket", "left_semi").drop("_bucket") for a, b in ((left, right), (right, left))
+        )
     entries = [
         F.struct(
             F.lit(n).alias("column"),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from outcome_lens.contract import AnalysisError, col
 from outcome_lens.functions.columns import number, require, same_keys, to_rows
 from outcome_lens.functions.profiles import Profile, around, pivoted, position, profile, quantile_rows, select_ranges, sketched
-from outcome_lens.session import durable, stored
+from outcome_lens.session import durable
 
 BINS = 36
 MOST_LISTED = 10_000  # bins a histogram may have for empty ones to be listed
@@ -154,7 +154,7 @@ def box_stats(df: DataFrame, name: str, group: str, exact: bool = True) -> DataF
     if not exact:
         boxes = known.rows.select("group", "n", "mean", *[sketched(F.lit(p)).alias(q) for q, p in BOX.items()])
         inside = F.when(_inside(F.col("x")), F.col("x"))
-        ends = same_keys(cells, stored(boxes, "boxes"), ["group"]).groupBy("group", "n", "mean", *BOX)
+        ends = same_keys(cells, durable(boxes), ["group"]).groupBy("group", "n", "mean", *BOX)
         return ends.agg(F.min(inside).alias("whisker_low"), F.max(inside).alias("whisker_high")).select(*BOX_COLUMNS)
     places = {q: around(position(p, F.col("n"))) for q, p in BOX.items()}
     low, high = places["q1"], places["q3"]
@@ -166,7 +166,7 @@ def box_stats(df: DataFrame, name: str, group: str, exact: bool = True) -> DataF
     selection = select_ranges(cells, known, [*places.values(), *fences])
     boxes = pivoted(selection.at(quantile_rows(known, BOX)), known, list(BOX)).drop("column")
     boxes = same_keys(boxes, known.rows.select("group", "n", "mean"), ["group"])
-    found = same_keys(selection.rows.select("group", "x", "least", "most"), stored(boxes, "boxes"), ["group"])
+    found = same_keys(selection.rows.select("group", "x", "least", "most"), durable(boxes), ["group"])
     # a gap between ranges is inside or outside as a whole, as its extremes are
     least, most = F.when(_inside(F.col("least")), F.col("least")), F.when(_inside(F.col("most")), F.col("most"))
     ends = found.groupBy("group", "n", "mean", *BOX).agg(F.min(least).alias("whisker_low"), F.max(most).alias("whisker_high"))

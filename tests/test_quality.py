@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from outcome_lens.contract import CENSUS, AnalysisError
 from outcome_lens.operators.caveats import level_purity, topcode_profile
-from outcome_lens.operators.compare import compare_frames, compare_multisets, comparison_summary
+from outcome_lens.operators.compare import compare_frames, compare_multisets, comparison_summary, differing_buckets
 from outcome_lens.operators.quality import (
     clean,
     cleaning_summary,
@@ -167,3 +167,17 @@ def test_topcode_and_purity(spark, people, drawn):
     found = by(level_purity(roles, "sex", "role", ["Husband", "Wife", "Absent"]), "level")
     assert set(found) == {"Husband", "Wife"}
     assert found["Husband"]["share"] == 1.0 and found["Wife"]["share"] == 0.8 and found["Wife"]["dominant"] == "Female"
+
+
+def test_only_buckets_that_differ_are_compared(spark):
+    rows = [(i, i % 3, float(i) if i % 5 else None, None if i % 4 else "t") for i in range(2000)]
+    left = spark.createDataFrame(rows, "k long, a int, b double, c string")
+    right = left.select(F.col("k").cast("int").alias("k"), F.col("a").cast("long").alias("a"), F.when(F.col("b").isNull(), float("nan")).otherwise(F.col("b")).alias("b"), "c")
+    names = ["a", "b", "c"]
+    assert differing_buckets(left, right, ["k"], names).count() == 0
+    assert not any(r.null_mismatch or r.value_mismatch for r in compare_frames(left, right, ["k"]).collect())
+    # a cell that changes place with a missing one, a changed cell, and a row less
+    moved = right.withColumn("c", F.when(F.col("k") == 8, F.lit(None)).otherwise(F.col("c"))).withColumn("a", F.when(F.col("k") == 9, 7).otherwise(F.col("a"))).filter("k <> 10")
+    assert differing_buckets(left, moved, ["k"], names).count() == 3
+    found = {r.column: (r.null_mismatch, r.value_mismatch) for r in compare_frames(left, moved, ["k"]).collect()}
+    assert found == {"a": (0, 1), "b": (0, 0), "c": (1, 0)}
