@@ -56,7 +56,7 @@ def _differs(i: int, types: tuple[str, str]) -> Column:
     return left != right
 
 
-def _alike(df: DataFrame, other: DataFrame, name: str) -> Column:
+def alike(df: DataFrame, other: DataFrame, name: str) -> Column:
     """The cell in a form that hashes alike on both sides wherever the two sides compare as equal; null if missing."""
     kinds = {semantic_type(d.schema[name].dataType) for d in (df, other)}
     as_type = "string" if "string" in kinds else "double" if "float" in kinds else "long"
@@ -71,7 +71,7 @@ def differing_buckets(left: DataFrame, right: DataFrame, keys: Sequence[str], na
     """
 
     def side(df: DataFrame, other: DataFrame, sign: int) -> DataFrame:
-        cells = [_alike(df, other, n) for n in [*keys, *names]]
+        cells = [alike(df, other, n) for n in [*keys, *names]]
         # a null leaves a hash as it is: which cells are null is hashed, too
         row = F.xxhash64(*cells, *[c.isNull() for c in cells])
         number = lambda part: (F.lit(sign) * part).cast("long")
@@ -87,7 +87,7 @@ def differing_buckets(left: DataFrame, right: DataFrame, keys: Sequence[str], na
 
 
 def _bucket(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*[_alike(df, other, k) for k in keys]), F.lit(BUCKETS)).alias("_bucket")
+    return F.pmod(F.xxhash64(*[alike(df, other, k) for k in keys]), F.lit(BUCKETS)).alias("_bucket")
 
 
 def _counts(left: DataFrame, right: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outcome_lens.contract import AnalysisError, col
+from outcome_lens.functions.bloom import filter_bits, hash_filter, may_have
 from outcome_lens.functions.columns import require, same_keys, to_rows
-from outcome_lens.session import durable
+from outcome_lens.operators.compare import alike
 from outcome_lens.session import durable
 
 
@@ -23,17 +24,32 @@ def _side_counts(train: DataFrame, test: DataFrame, keys: Sequence[str]) -> Data
     )
 
 
+def _only_shared(train: DataFrame, test: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Both splits, the larger one without most of the rows that the smaller one does not have."""
+    in_train, in_test = train.count(), test.count()
+    small, large = (test, train) if in_test <= in_train else (train, test)
+
+    def hashed(df: DataFrame, other: DataFrame):
+        return F.xxhash64(*[alike(df, other, k) for k in keys])
+
+    words = hash_filter(small.select(hashed(small, large)), filter_bits(min(in_train, in_test)))
+    large = may_have(large, hashed(large, small), words)
+    return (large, small) if in_test <= in_train else (small, large)
+
+
 def split_overlap(train: DataFrame, test: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """One row: how many rows the inner join on the shared columns would have, and from how many.
 
     Copies are counted per side and multiplied, so no pair of rows is ever formed; the product is a
-    decimal, since a row repeated often on both sides passes the range of a long.
+    decimal, since a row repeated often on both sides passes the range of a long. Of the larger split only rows that a
+    Bloom filter of the smaller one may have are shuffled.
     """
     shared = [n for n in train.columns if n in test.columns] if names is None else list(names)
     if not shared:
         raise AnalysisError("the two splits share no column")
     require(train, *shared)
     require(test, *shared)
+    train, test = _only_shared(train, test, shared)
     both = (F.col("train_rows") > 0) & (F.col("test_rows") > 0)
     pairs = F.col("train_rows").cast("decimal(19,0)") * F.col("test_rows").cast("decimal(19,0)")
     return _side_counts(train, test, shared).agg(

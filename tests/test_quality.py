@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from outcome_lens.contract import CENSUS, AnalysisError
+from outcome_lens.operators import splits
 from outcome_lens.operators.caveats import level_purity, topcode_profile
 from outcome_lens.operators.compare import compare_frames, compare_multisets, comparison_summary, differing_buckets
 from outcome_lens.operators.quality import (
@@ -181,3 +182,18 @@ def test_only_buckets_that_differ_are_compared(spark):
     assert differing_buckets(left, moved, ["k"], names).count() == 3
     found = {r.column: (r.null_mismatch, r.value_mismatch) for r in compare_frames(left, moved, ["k"]).collect()}
     assert found == {"a": (0, 1), "b": (0, 0), "c": (1, 0)}
+
+
+@pytest.mark.parametrize("turned", [False, True])
+def test_a_small_split_cuts_the_large_one_before_the_shuffle(spark, turned):
+    large = spark.range(20_000).select(F.when(F.col("id") % 100 != 0, F.col("id")).alias("a"), (F.col("id") % 3).cast("string").alias("b"))
+    small = large.filter("a < 30 or (a is null and b = '0')").select(F.col("a").cast("int").alias("a"), "b")
+    train, test = (small, large) if turned else (large, small)
+    cut = splits._only_shared(train, test, ["a", "b"])[1 if turned else 0]
+    assert cut.count() < 1000
+    want = train.groupBy("a", "b").count().withColumnRenamed("count", "n").alias("x").join(
+        test.groupBy("a", "b").count().withColumnRenamed("count", "m").alias("y"), F.expr("x.a <=> y.a and x.b <=> y.b")
+    )
+    want = want.agg(F.sum(F.expr("n * m")).alias("pairs"), F.count("*").alias("rows"), F.sum("m").alias("hit")).first()
+    got = split_overlap(train, test).first()
+    assert (int(got.pair_rows), got.distinct_rows, got.test_rows_hit) == (want.pairs, want.rows, want.hit)
