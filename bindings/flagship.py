@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from bindings.models import NewtonSql, metrics_sql
@@ -11,6 +13,7 @@ from bindings.tests_of_difference import facts_sql, shown, welch_sql
 from outcome_lens.contract import Outcome
 from outcome_lens.plans.outcome_report import ReportSpec, outcome_report
 
+
 def spec() -> ReportSpec:
     return ReportSpec(
         outcome=Outcome("cost", "high"),
@@ -53,6 +56,9 @@ def report(t: Tables):
 
 TRAIN = f"(SELECT DISTINCT * FROM {LINES} WHERE l_orderkey % 3 <> 0 AND status IS NOT NULL)"
 TEST = f"(SELECT DISTINCT * FROM {LINES} WHERE l_orderkey % 3 = 0 AND status IS NOT NULL)"
+REFERENCES = " UNION ALL ".join(
+    f"""(SELECT '{c}' AS "column", {c} AS level, count(*) AS n FROM {TRAIN} GROUP BY {c} ORDER BY n DESC, level LIMIT 1)""" for c in ("status", "l_returnflag")
+)
 UNKNOWN = f"(SELECT DISTINCT * REPLACE (coalesce(status, 'Unknown') AS status) FROM {LINES} WHERE l_orderkey % 3 <> 0)"
 STATUS = ["F", "O", "Unknown"]
 FLAGS = ["A", "N", "R"]
@@ -121,9 +127,61 @@ def _report_sql() -> str:
               FROM (SELECT sum(CASE WHEN kind = 'tuned' THEN fn ELSE -fn END) AS d FROM thresholds)
     UNION ALL SELECT 'strategy gap', '', max(f1) - min(f1), 0, 0,
               CASE WHEN max(f1) - min(f1) < 0.01 THEN 'no ranking' ELSE 'best: ' || arg_max(strategy, f1) END FROM strategies
+    UNION ALL SELECT 'reference', "column", n, 0, 0, level FROM ({REFERENCES})
+    UNION ALL SELECT 'focus contrast', 'status: ' || substr(name, 8) || ' against ' || (SELECT level FROM ({REFERENCES}) WHERE "column" = 'status'), value, low, high, verdict
+              FROM odds WHERE name LIKE 'status%'
     """
 
 
 @bind(_report_sql(), ["value", "low", "high"], digits=4)
 def flagship_outcome_report(t: Tables):
     return shown(report(t)["facts"])
+
+
+# every table of the report, and the numbers of some of them: item, measure and value of each row
+LISTED = {
+    "describe": ("column", ("count", "mean", "std", "min", "q25", "q50", "q75", "max")),
+    "references": ("column", ("n", "levels")),
+    "scales": ("column", ("n", "mean", "sd_pop", "scale")),
+    "crosstab": ("a || '/' || b", ("observed", "expected")),
+    "box": ("group", ("n", "mean", "whisker_low", "q1", "median", "q3", "whisker_high")),
+    "overlap": ("'all'", ("pair_rows", "distinct_rows", "test_rows_hit")),
+}
+
+
+def _listed_sql() -> str:
+    """One row a number; ``{{m}}`` stands for the measures of a table."""
+    x = "l_quantity"
+    quartiles = ", ".join(f"quantile_cont({x}, {p}) AS {q}" for q, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)))
+    box = f"SELECT cost, count(*) AS n, avg({x}) AS mean, quantile_cont({x}, 0.25) AS q1, median({x}) AS median, quantile_cont({x}, 0.75) AS q3 FROM {TRAIN} GROUP BY cost"
+    parts = {
+        "describe": f"SELECT '{x}' AS item, count(*) AS count, avg({x}) AS mean, stddev_samp({x}) AS std, min({x}) AS min, {quartiles}, max({x}) AS max FROM {TRAIN}",
+        "references": f"""SELECT r."column" AS item, r.n, CASE r."column" WHEN 'status' THEN (SELECT count(DISTINCT status) FROM {TRAIN})
+            ELSE (SELECT count(DISTINCT l_returnflag) FROM {TRAIN}) END AS levels FROM ({REFERENCES}) r""",
+        "scales": f"SELECT '{x}' AS item, count(*) AS n, avg({x}) AS mean, stddev_pop({x}) AS sd_pop, stddev_pop({x}) AS scale FROM {TRAIN}",
+        "crosstab": f"""SELECT status || '/' || cost AS item, count(*) AS observed, any_value(r) * any_value(c) / any_value(n) AS expected FROM
+            (SELECT status, cost, count(*) OVER (PARTITION BY status) * 1.0 AS r, count(*) OVER (PARTITION BY cost) AS c, count(*) OVER () AS n FROM {TRAIN}) GROUP BY status, cost""",
+        "box": f"""SELECT b.cost AS item, any_value(n) AS n, any_value(mean) AS mean, min({x}) AS whisker_low, any_value(q1) AS q1, any_value(median) AS median,
+            any_value(q3) AS q3, max({x}) AS whisker_high FROM ({box}) b JOIN {TRAIN} t ON t.cost = b.cost AND {x} BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) GROUP BY b.cost""",
+        "overlap": "SELECT 'all' AS item, 0 AS pair_rows, 0 AS distinct_rows, 0 AS test_rows_hit",
+    }
+    rows = [
+        f"SELECT '{table}' AS report_table, item, '{m}' AS measure, CAST({m} AS DOUBLE) AS value FROM ({sql})" for table, sql in parts.items() for m in LISTED[table][1]
+    ]
+    return " UNION ALL ".join(rows)
+
+
+@bind(_listed_sql(), ["value"])
+def flagship_report_tables(t: Tables):
+    """All tables of the report are built; those that are listed come as one table of numbers."""
+    lines = _lines(t)
+    tables = outcome_report(lines.filter("l_orderkey % 3 <> 0"), lines.filter("l_orderkey % 3 = 0"), spec())
+    assert set(LISTED) < set(tables)
+    for name in set(tables) - set(LISTED):
+        tables[name].write.format("noop").mode("overwrite").save()
+    long = []
+    for name, (item, measures) in LISTED.items():
+        entries = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in measures])).alias("e")
+        label = F.expr(item) if "'" in item else F.col(item)
+        long.append(tables[name].select(F.lit(name).alias("report_table"), label.alias("item"), entries).select("report_table", "item", "e.*"))
+    return reduce(lambda a, b: a.unionByName(b), long)

@@ -91,8 +91,13 @@ def conclusions(
     thresholds: DataFrame | None = None,
     strategies: DataFrame | None = None,
     readers: DataFrame | None = None,
+    references: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows ``(fact, item, value, low, high, verdict)`` from the results of the steps before."""
+    """Rows ``(fact, item, value, low, high, verdict)`` from the results of the steps before.
+
+    With ``references`` (``column, level, n``), what every level is compared with is a fact, and so is each contrast of the
+    focus against its reference; a focus without a coefficient has a contrast without numbers.
+    """
     none = F.lit("")
     parts: list[DataFrame] = []
     if chi_square is not None:
@@ -115,7 +120,14 @@ def conclusions(
     if coefs is not None:
         parts.append(strongest(coefs).select(*_fact("strongest term", F.col("name"), *odds)))
         if focus is not None:
-            parts.append(coefs.filter(F.col("feature") == focus).select(*_fact("focus term", F.col("name"), *odds)))
+            terms = coefs.filter(F.col("feature") == focus)
+            parts.append(terms.select(*_fact("focus term", F.col("name"), *odds)))
+            if references is not None:
+                base = references.filter(F.col("column") == focus).select(F.col("level").alias("_base"))
+                text = F.concat(F.lit(f"{focus}: "), "level", F.lit(" against "), "_base")
+                told = F.when(F.col("level").isNull(), F.lit("not in the model")).otherwise(crosses_one)
+                contrasts = base.join(terms, F.lit(True), "left")
+                parts.append(contrasts.select(*_fact("focus contrast", F.coalesce(text, F.lit(focus)), *odds[:3], told)))
     if sensitivity is not None:
         item = F.concat("name", F.lit(" without "), "excluded")
         parts.append(sensitivity.select(*_fact("sensitivity", item, *odds)))
@@ -130,6 +142,8 @@ def conclusions(
         parts.append(
             strategy_verdict(strategies).select(*_fact("strategy gap", none, F.col("gap"), verdict=F.col("verdict")))
         )
+    if references is not None:
+        parts.append(references.select(*_fact("reference", F.col("column"), F.col("n"), verdict=F.col("level"))))
     if readers is not None:
         parts.append(readers.select(*_fact("readers", F.col("split"), F.col("differing_rows"), verdict=F.col("verdict"))))
     if not parts:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from outcome_lens.contract import AnalysisError, Outcome
 from outcome_lens.functions.profiles import Profile, profile
+from outcome_lens.functions.sizes import settled
 from outcome_lens.operators.caveats import level_purity, topcode_profile
 from outcome_lens.operators.describe import correlation, describe_all, describe_numeric, top_bottom
 from outcome_lens.operators.design import design_metadata, fit_scaler
@@ -114,7 +115,11 @@ def outcome_report(
     build["folded_rates"] = lambda: fold_rare(level_rates())
     build["ranked_rates"] = lambda: rank_levels(level_rates())
     build["histogram"] = lambda: histogram(kept, spec.compared, outcome.column)
-    build["references"] = lambda: reference_levels(kept, list(spec.categorical))
+    @cache
+    def references() -> DataFrame:
+        return settled(reference_levels(kept, list(spec.categorical)))
+
+    build["references"] = references
     build["scales"] = lambda: fit_scaler(kept, list(spec.numeric))
     build["design"] = lambda: design_metadata(kept, fit()[0].design)
     build["crosstab"] = lambda: crosstab(kept, spec.factor, outcome.column)
@@ -185,6 +190,7 @@ def outcome_report(
             thresholds=thresholds(),
             strategies=strategies(),
             readers=readers,
+            references=references(),
         )
 
     unknown_names = set(tables or ()) - set(build)
