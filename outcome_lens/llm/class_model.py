@@ -2,15 +2,17 @@
 
 The words of the training texts are counted in full. Exchange clustering then looks for classes under which neighbouring
 classes tell most of each other: in every round each word goes to the class that gains most, given the counts
-between classes at the end of the round before, and all words of a round are looked at side by side. Words with
-``FREQUENT`` occurrences take part in all rounds, by their counts of neighbours, a table that Spark makes once; half of
+between classes at the end of the round before, and all words of a round are looked at side by side. Words that are the
+share ``FREQUENT`` of all tokens take part in all rounds, by their counts of neighbours, a table that Spark makes once; half of
 them may move at a time, so that two words do not swap for ever. The others follow in a last round that reads the texts.
+There cannot be more frequent words than fit into the whole, ``1 / FREQUENT``: they alone are sent to all tasks.
 
 The probability of a word is that of its class after the class before it, times its share of its class. A discounted
 share of each class is left to words that training has not seen; an unseen word says nothing of the next class.
 
 Texts are held as chunks of some megabytes with a dictionary each. What is looked up for a word is joined to
 dictionaries: a common word has one row a chunk, not one an occurrence, and no table of words is ever whole in one place.
+While classes are made, a word goes by its 64-bit hash: two frequent words of one hash would share a class. Counts go by the word.
 
 Null texts are empty and have the end token alone; a null id counts as the empty text. Every row is one document.
 """
@@ -22,25 +24,32 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from outcome_lens.llm.common import whole_text
+from outcome_lens.llm.collocations import FrequentFilter, probes
+from outcome_lens.llm.common import stored_alone, whole_text
 from outcome_lens.llm.pieces import sums
-from outcome_lens.session import stored
+from outcome_lens.llm.shingles import U
 
 FOLDS, HELD_OUT = 7, 2
 CLASSES = 64
-ROUNDS = 4
-FREQUENT = 200  # occurrences from which a word takes part in all rounds
-CHUNK_BYTES = 4 << 20  # of text; one longer text is a chunk of its own
+ROUNDS = 3
+FREQUENT = 1e-5  # of all tokens, from which a word takes part in all rounds
+MOST_LISTED = 1000  # occurrences of a word whose neighbours go into a list
+FILTER_BITS = 1 << 24  # of the Bloom filter of words with more
+CHUNK_BYTES = 6 << 20  # of text; one longer text is a chunk of its own
+TEXTS_AT_ONCE = 256  # that are unpacked from a batch
 CELLS = 1 << 21  # gains that are worked out at a time
 LEAST_DISCOUNT, MOST_DISCOUNT = 0.1, 0.9
 
 # Fixed value: white space between words becomes spaces, which leaves a line break to mark ends.
 TO_SPACES = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 END = "\n"
+LATE = ["id", "code", "n", "codes"]
+HASH_SEED = 42  # fixed value: that of the session's xxhash64
 
 
 def held_out(folds: int = FOLDS, fold: int = HELD_OUT) -> Column:
@@ -48,27 +57,46 @@ def held_out(folds: int = FOLDS, fold: int = HELD_OUT) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % folds == fold
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Small numbers, byte planes one after the other and compressed."""
+    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(raw: pa.Scalar, number: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(raw.as_buffer(), decompressed_size=4 * number, codec="zstd"), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
 def chunk(ids: list, held: list[bool], bodies: list[bytes]) -> dict[str, list]:
-    """One row of the table of chunks: tokens as places in the chunk's dictionary, which starts with the end token."""
+    """One row of the table of chunks: tokens as places in the chunk's dictionary, which starts with the end token and goes
+    on from common to rare words."""
     data = b" ".join(b + b" \n" for b in bodies)
     parts = pc.split_pattern(pa.array([b"\n " + data], pa.large_binary()).cast(pa.large_string()), " ").values
     parts = parts.filter(pc.not_equal(parts, ""))
     coded = parts.dictionary_encode()
     tokens = coded.indices.to_numpy()[1:]
-    ends = np.flatnonzero(tokens == 0) + 1
-    sizes = np.diff(ends, prepend=0)
+    often = np.bincount(tokens, minlength=len(coded.dictionary))
+    often[0] = len(tokens) + 1
+    order = np.argsort(-often, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    tokens = place[tokens]
+    sizes = np.diff(np.flatnonzero(tokens == 0) + 1, prepend=0)
     taught = np.repeat(~np.array(held, bool), sizes)
-    counts = np.bincount(tokens[taught], minlength=len(coded.dictionary))
-    return {"doc_ids": ids, "held": held, "sizes": sizes, "tokens": tokens, "words": coded.dictionary.cast(pa.string()), "counts": counts}
+    counts = np.bincount(tokens[taught], minlength=len(order))
+    words = coded.dictionary.take(pa.array(order)).cast(pa.string())
+    return {"doc_ids": ids, "held": held, "sizes": sizes, "words": words, "counts": counts, "tokens": packed(tokens)}
 
 
 def chunked(docs: DataFrame) -> DataFrame:
-    """The stored table of chunks: ``chunk, doc_ids, held, sizes, tokens, words, counts``."""
+    """The stored table of chunks: ``chunk, doc_ids, held, sizes, words, counts, tokens``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(batches) -> Iterator[tuple[list, list, list]]:
         ids, held, bodies, size = [], [], [], 0
-        for batch in batches:
+        some = (batch.slice(at, TEXTS_AT_ONCE) for batch in batches for at in range(0, batch.num_rows, TEXTS_AT_ONCE))
+        for batch in some:
             for i, h, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 raw = text.encode().lower().translate(TO_SPACES)
                 ids.append(i)
@@ -92,16 +120,17 @@ def chunked(docs: DataFrame) -> DataFrame:
 
         for number, some in enumerate(rows(typed())):
             found = chunk(*some)
-            types = [pa.list_(id_type), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.int32())]
+            tokens = pa.array([found.pop("tokens")], pa.binary())
+            types = [pa.list_(id_type), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.int32())]
             columns = []
             for values, kind in zip(found.values(), types, strict=True):
                 flat = values if isinstance(values, pa.Array) else pa.array(values, kind.value_type)
                 columns.append(pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat, type=kind))
-            yield pa.RecordBatch.from_arrays([pa.array([first + number]), *columns], names=["chunk", *found])
+            yield pa.RecordBatch.from_arrays([pa.array([first + number]), *columns, tokens], names=["chunk", *found, "tokens"])
 
     documents = docs.select("doc_id", held_out().alias("held"), whole_text().alias("text"))
-    schema = f"chunk long, doc_ids array<{kind}>, held array<boolean>, sizes array<int>, tokens array<int>, words array<string>, counts array<int>"
-    return stored(documents.mapInArrow(make, schema), "class-model-chunks")
+    schema = f"chunk long, doc_ids array<{kind}>, held array<boolean>, sizes array<int>, words array<string>, counts array<int>, tokens binary"
+    return stored_alone(documents.mapInArrow(make, schema), "class-model-chunks")
 
 
 def vocabulary(chunks: DataFrame) -> DataFrame:
@@ -110,10 +139,49 @@ def vocabulary(chunks: DataFrame) -> DataFrame:
     return pairs.filter("n > 0").groupBy("word").agg(F.sum("n").cast("long").alias("c"))
 
 
-def looked_up(chunks: DataFrame, table: DataFrame, *names: str) -> DataFrame:
-    """``chunk, found``: what ``table`` has for the words of each dictionary, as an array of ``at`` and the named columns."""
-    words = chunks.select("chunk", F.posexplode("words").alias("at", "word"))
-    return words.join(table, "word").groupBy("chunk").agg(F.collect_list(F.struct("at", *names)).alias("found"))
+class Known:
+    """Hashes of the frequent words, and a class of each or -1."""
+
+    def __init__(self, table: pa.Table):
+        ids = table.column("id").to_numpy()
+        order = np.argsort(ids)
+        self.ids = ids[order]
+        self.classes = table.column("class").to_numpy()[order].astype(np.int64) if "class" in table.column_names else np.zeros(len(ids), np.int64)
+
+    def of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The hash of each word, and its class; -1 for a word that is not frequent."""
+        hashes = word_hashes(words).view(np.int64)
+        if not len(self.ids):
+            return hashes, np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.ids, hashes), len(self.ids) - 1)
+        return hashes, np.where(self.ids[at] == hashes, self.classes[at], -1)
+
+
+def word_filter(words: DataFrame) -> FrequentFilter:
+    """A Bloom filter of the hashes in ``id``; at most ``FILTER_BITS / 64`` of its blocks reach the driver."""
+
+    def mark(batches):
+        blocks = np.zeros(FILTER_BITS // 64, np.uint64)
+        for batch in batches:
+            for place, bit in probes(batch.column(0).to_numpy().view(np.uint64), FILTER_BITS):
+                np.bitwise_or.at(blocks, place, U(1) << bit)
+        some = np.flatnonzero(blocks)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(blocks[some].view(np.int64))], names=["block", "bits"])
+
+    found = words.select("id").mapInArrow(mark, "block long, bits long").groupBy("block").agg(F.bit_or("bits").alias("bits")).toArrow()
+    blocks = np.zeros(FILTER_BITS // 64, np.uint64)
+    blocks[found.column("block").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return FrequentFilter(blocks)
+
+
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """What the session's ``xxhash64`` gives for each word."""
+    return np.fromiter((xxhash.xxh64_intdigest(w, HASH_SEED) for w in words.to_pylist()), np.uint64, len(words))
+
+
+def looked_up(rows: DataFrame, table: DataFrame, key: str, *names: str) -> DataFrame:
+    """``chunk, found``: what ``table`` has for words of each dictionary, given as ``chunk, at`` and their key."""
+    return rows.join(table, key).groupBy("chunk").agg(F.collect_list(F.struct("at", *names)).alias("found"))
 
 
 def arrays_of(found: pa.ListScalar, number: int, *names: str) -> list[np.ndarray]:
@@ -138,20 +206,27 @@ def value_of(batch: pa.RecordBatch, name: str, row: int) -> np.ndarray:
     return batch.column(name)[row].values.to_numpy(zero_copy_only=False)
 
 
+def texts_of(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which texts of a chunk are held out, how many tokens each has, and the tokens."""
+    sizes = value_of(batch, "sizes", row).astype(np.int64)
+    return value_of(batch, "held", row), sizes, unpacked(batch.column("tokens")[row], int(sizes.sum()))
+
+
 def neighbours(chunks: DataFrame, frequent: DataFrame) -> DataFrame:
-    """``w1, w2, n``: how often a frequent word stands in front of another in training texts."""
+    """``w1, w2, n``: how often a frequent word stands in front of another in training texts, by hash."""
+    shared = chunks.sparkSession.sparkContext.broadcast(Known(frequent.select("id").toArrow()))
 
     def count(batches):
         for batch in batches:
             for row in range(batch.num_rows):
-                (ids,) = arrays_of(batch.column("found")[row], len(batch.column("words")[row]), "id")
-                a, b = taught_pairs(value_of(batch, "held", row), value_of(batch, "sizes", row), value_of(batch, "tokens", row))
-                known = (ids[a] >= 0) & (ids[b] >= 0)
-                codes, n = np.unique(a[known].astype(np.int64) * len(ids) + b[known], return_counts=True)
+                ids, own = shared.value.of(batch.column("words")[row].values)
+                a, b = taught_pairs(*texts_of(batch, row))
+                both = (own[a] >= 0) & (own[b] >= 0)
+                codes, n = np.unique(a[both] * len(ids) + b[both], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[codes // len(ids)]), pa.array(ids[codes % len(ids)]), pa.array(n)], names=["w1", "w2", "n"])
 
-    rows = chunks.join(looked_up(chunks, frequent.select("word", "id"), "id"), "chunk").select("held", "sizes", "tokens", "words", "found")
-    return stored(rows.mapInArrow(count, "w1 long, w2 long, n long").groupBy("w1", "w2").agg(F.sum("n").alias("n")), "class-model-neighbours")
+    rows = chunks.select("held", "sizes", "tokens", "words").mapInArrow(count, "w1 long, w2 long, n long")
+    return stored_alone(rows.groupBy("w1", "w2").agg(F.sum("n").alias("n")), "class-model-neighbours")
 
 
 def entropy(x: np.ndarray) -> np.ndarray:
@@ -194,26 +269,6 @@ def best_classes(owner: np.ndarray, code: np.ndarray, n: np.ndarray, current: np
     return out
 
 
-def moved(vectors: DataFrame, between: np.ndarray, key: str, kind: str) -> DataFrame:
-    """``key, class`` of ``key, current, codes, counts`` rows; ``counts`` null counts every code once."""
-
-    def move(batches):
-        for batch in batches:
-            lists = batch.column("codes")
-            owner = np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths(), np.int64))
-            codes, counts = np.asarray(lists.flatten(), np.int64), np.asarray(batch.column("counts").flatten(), np.int64)
-            if not len(counts):
-                counts = np.ones(len(codes), np.int64)
-            width = 2 * len(between)
-            cells, inverse = np.unique(owner * width + codes, return_inverse=True)
-            n = np.bincount(inverse, counts, len(cells))
-            current = batch.column("current").to_numpy(zero_copy_only=False).astype(np.int64)
-            best = best_classes(cells // width, cells % width, n, current, between)
-            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(best.astype(np.int32))], names=[key, "class"])
-
-    return vectors.select(key, "current", "codes", "counts").mapInArrow(move, f"{key} {kind}, class int")
-
-
 def matrix(counts: DataFrame, classes: int) -> np.ndarray:
     """``c1, c2, n`` rows, at most ``classes`` squared, as an array."""
     rows = counts.toArrow()
@@ -232,49 +287,85 @@ def exchanged(frequent: DataFrame, pairs: DataFrame, classes: int, rounds: int)
     known = spark.createDataFrame([(r.id, i) for i, r in enumerate(first)], "id long, class int")
 
     def neighbouring(known: DataFrame) -> tuple[DataFrame, np.ndarray]:
-        behind = pairs.join(known.select(F.col("id").alias("w2"), F.col("class").alias("code")), "w2").groupBy(F.col("w1").alias("id"), "code").agg(F.sum("n").alias("n"))
-        behind = stored(behind, "class-model-behind")
-        ahead = pairs.join(known.select(F.col("id").alias("w1"), (F.col("class") + classes).alias("code")), "w1").groupBy(F.col("w2").alias("id"), "code").agg(F.sum("n").alias("n"))
-        between = behind.join(known, "id").groupBy(F.col("class").alias("c1"), F.col("code").alias("c2")).agg(F.sum("n").alias("n"))
-        return behind.union(ahead), matrix(between, classes)
+        side = F.broadcast(known)  # frequent words only
+        behind = pairs.join(side.select(F.col("id").alias("w2"), F.col("class").alias("code")), "w2").groupBy(F.col("w1").alias("id"), "code")
+        behind = stored_alone(behind.agg(F.sum("n").alias("n")), "class-model-behind")
+        ahead = pairs.join(side.select(F.col("id").alias("w1"), (F.col("class") + classes).alias("code")), "w1").groupBy(F.col("w2").alias("id"), "code")
+        between = behind.join(side, "id").groupBy(F.col("class").alias("c1"), F.col("code").alias("c2")).agg(F.sum("n").alias("n"))
+        return behind.union(ahead.agg(F.sum("n").alias("n"))), matrix(between, classes)
 
     for number in range(rounds):
         cells, between = neighbouring(known)
         lists = cells.groupBy("id").agg(F.collect_list("code").alias("codes"), F.collect_list("n").alias("counts"))
-        rows = lists.join(known, "id", "left").withColumn("current", F.coalesce(F.col("class"), F.lit(-1)))
+        rows = lists.join(F.broadcast(known), "id", "left").withColumn("current", F.coalesce(F.col("class"), F.lit(-1)))
         turn = (F.col("current") < 0) | (F.pmod(F.xxhash64("id", F.lit(number)), F.lit(2)) == 0)
         if number == 0:
             turn = F.col("current") < 0
-        some = moved(rows.filter(turn), between, "id", "long")
-        stay = rows.filter(~turn).select("id", "class")
-        known = stored(some.union(stay), "class-model-classes")
+        # the class of a word whose turn it is not is the one it has: a single pass for all
+        known = stored_alone(moved(rows.withColumn("stay", F.when(~turn, F.col("class"))), between, "long"), "class-model-classes")
     return known, neighbouring(known)[1]
 
 
-def late_classes(chunks: DataFrame, words: DataFrame, known: DataFrame, between: np.ndarray) -> DataFrame:
-    """``word, class`` of the words that took part in no round, from their neighbours that did."""
+def moved(vectors: DataFrame, between: np.ndarray, kind: str) -> DataFrame:
+    """``id, class`` of ``id, current, stay, codes, counts`` rows; ``stay`` is the class if it is there."""
+
+    def move(batches):
+        for batch in batches:
+            lists = batch.column("codes")
+            owner = np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths(), np.int64))
+            codes, counts = np.asarray(lists.flatten(), np.int64), np.asarray(batch.column("counts").flatten(), np.int64)
+            width = 2 * len(between)
+            cells, inverse = np.unique(owner * width + codes, return_inverse=True)
+            n = np.bincount(inverse, counts, len(cells))
+            current = batch.column("current").to_numpy(zero_copy_only=False).astype(np.int64)
+            best = best_classes(cells // width, cells % width, n, current, between)
+            stay = batch.column("stay").fill_null(-1).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.where(stay >= 0, stay, best).astype(np.int32))], names=["id", "class"])
+
+    return vectors.select("id", "current", "stay", "codes", "counts").mapInArrow(move, f"id {kind}, class int")
+
+
+def late_classes(chunks: DataFrame, known: DataFrame, often: FrequentFilter, between: np.ndarray) -> DataFrame:
+    """``id, class`` of the words that took part in no round, from their neighbours that did.
+
+    The classes next to a word go into a list, if it has less than ``MOST_LISTED`` occurrences in all; those of a word that ``often``
+    has are counted before they move and summed. A word that ``often`` has in error is only counted in the other way.
+    """
     classes = len(between)
+    spark = chunks.sparkSession.sparkContext
+    shared, blocks = spark.broadcast(Known(known.toArrow())), spark.broadcast(often.blocks)
 
     def collect(batches):
+        often = FrequentFilter(blocks.value)
         for batch in batches:
             for row in range(batch.num_rows):
-                names = batch.column("words")[row].values
-                (own,) = arrays_of(batch.column("found")[row], len(names), "class")
-                a, b = taught_pairs(value_of(batch, "held", row), value_of(batch, "sizes", row), value_of(batch, "tokens", row))
+                hashes, own = shared.value.of(batch.column("words")[row].values)
+                a, b = taught_pairs(*texts_of(batch, row))
                 behind, ahead = (own[a] < 0) & (own[b] >= 0), (own[b] < 0) & (own[a] >= 0)
                 word = np.concatenate([a[behind], b[ahead]])
                 code = np.concatenate([own[b[behind]], own[a[ahead]] + classes])
+                counted = often.has(hashes.view(np.uint64))[word]
+                cells, n = np.unique(word[counted] * 2 * classes + code[counted], return_counts=True)
+                word, code = word[~counted], code[~counted]
                 order = np.argsort(word, kind="stable")
                 word, code = word[order], code[order]
                 which, begins = np.unique(word, return_index=True)
                 lists = pa.ListArray.from_arrays(pa.array(np.append(begins, len(word)).astype(np.int32)), pa.array(code.astype(np.int16)))
-                yield pa.RecordBatch.from_arrays([names.take(pa.array(which)), lists], names=["word", "codes"])
-
-    found = looked_up(chunks, words.join(known, "id").select("word", "class"), "class")
-    rows = chunks.join(found, "chunk", "left").select("held", "sizes", "tokens", "words", "found").mapInArrow(collect, "word string, codes array<short>")
-    lists = rows.groupBy("word").agg(F.flatten(F.collect_list("codes")).alias("codes"))
-    vectors = lists.select("word", F.lit(-1).alias("current"), "codes", F.array().cast("array<long>").alias("counts"))
-    return moved(vectors, between, "word", "string")
+                none = np.zeros(len(which), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[which]), pa.array((none - 1).astype(np.int16)), pa.array(none), lists], names=LATE)
+                empty = pa.ListArray.from_arrays(pa.array(np.zeros(len(cells) + 1, np.int32)), pa.array([], pa.int16()))
+                which, code = cells // (2 * classes), cells % (2 * classes)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[which]), pa.array(code.astype(np.int16)), pa.array(n.astype(np.int64)), empty], names=LATE)
+
+    rows = chunks.select("held", "sizes", "tokens", "words").mapInArrow(collect, "id long, code short, n long, codes array<short>")
+    summed = rows.groupBy("id", "code").agg(F.flatten(F.collect_list("codes")).alias("codes"), F.sum("n").alias("n"))
+    is_sum = F.col("code") >= 0
+    lists = summed.groupBy("id").agg(
+        F.flatten(F.collect_list("codes")).alias("listed"), F.collect_list(F.when(is_sum, F.col("code"))).alias("codes"), F.collect_list(F.when(is_sum, F.col("n"))).alias("counts")
+    )
+    ones = F.transform("listed", lambda _: F.lit(1).cast("long"))
+    vectors = lists.select("id", F.lit(-1).alias("current"), F.lit(None).cast("int").alias("stay"), F.concat("listed", "codes").alias("codes"), F.concat(ones, "counts").alias("counts"))
+    return moved(vectors, between, "long")
 
 
 class ClassModel:
@@ -295,81 +386,126 @@ class ClassModel:
             # without any training text an unseen word is all there is
             self.log_unseen = np.log10(after @ left) if tokens else np.zeros(len(after))
 
-    def log_probabilities(self, sizes: np.ndarray, tokens: np.ndarray, counts: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of each token under the model, and under add-one counts; ``counts`` and ``classes`` are those of the dictionary, -1 for unseen."""
-        own = classes[tokens]
+    def shares(self, counts: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """The logarithm of each word's share of its class; 0 for unseen words, whose share is in ``log_unseen``."""
+        if not len(self.log_sizes):
+            return np.zeros(len(counts))
+        return np.where(classes >= 0, np.log10(np.maximum(counts - self.discount, 1e-9)) - self.log_sizes[classes], 0.0)
+
+    def base(self, counts: np.ndarray) -> np.ndarray:
+        """The logarithm of each word's probability under add-one counts; a count of -1 is none."""
+        return np.log10(np.maximum(counts, 0) + 1.0) - np.log10(self.tokens + self.types + 1.0)
+
+    def steps(self, sizes: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """The logarithm of each token's class after the one before it; -1 is the class of unseen words."""
         before = np.concatenate([[0], own[:-1]])
         before[np.cumsum(sizes) - sizes] = self.end
-        seen = own >= 0
-        out = self.log_unseen[before]
-        c = counts[tokens]
-        with np.errstate(invalid="ignore", divide="ignore"):
-            known = self.log_after[before, own] + np.log10(np.maximum(c - self.discount, 1e-9)) - self.log_sizes[own] if len(self.log_sizes) else out
-        out = np.where(seen, known, out)
-        base = np.log10(np.maximum(c, 0) + 1.0) - np.log10(self.tokens + self.types + 1.0)
-        return out, base
+        return np.where(own >= 0, self.log_after[before, own], self.log_unseen[before])
 
 
-def class_scores(docs: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS, frequent: int = FREQUENT) -> DataFrame:
+def class_scores(docs: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS, frequent: float = FREQUENT) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
     ``score`` is the base-10 logarithm of the text's probability, ``base_score`` the same under add-one counts of words.
     """
     spark = docs.sparkSession
     chunks = chunked(docs)
-    counts = stored(vocabulary(chunks), "class-model-words")
+    counts = stored_alone(vocabulary(chunks), "class-model-words")
     whole = counts.agg(F.sum("c").alias("tokens"), F.count("*").alias("types"), *[F.sum((F.col("c") == k).cast("long")).alias(f"n{k}") for k in (1, 2)]).first()
-    kind = docs.schema["doc_id"].dataType.simpleString()
     if whole.tokens:
-        common = stored(counts.filter((F.col("c") >= frequent) | (F.col("word") == END)).withColumn("id", F.monotonically_increasing_id()), "class-model-frequent")
+        common = stored_alone(counts.filter((F.col("c") >= frequent * whole.tokens) & (F.col("c") > 1) | (F.col("word") == END)).withColumn("id", F.xxhash64("word")), "class-model-frequent")
         known, between = exchanged(common, neighbours(chunks, common), classes, rounds)
-        late = late_classes(chunks, common, known, between)
-        named = common.join(known, "id").select("word", "class").union(late)
-        words = stored(counts.join(named, "word", "left").select("word", "c", F.coalesce("class", F.lit(0)).alias("class")), "class-model")
+        often = word_filter(counts.filter((F.col("c") >= MOST_LISTED) & (F.col("c") < frequent * whole.tokens)).select(F.xxhash64("word").alias("id")))
+        named = known.select("id", "class", F.lit(0).alias("late")).union(late_classes(chunks, known, often, between).withColumn("late", F.lit(1)))
+        # a frequent word without frequent neighbours gets its class late
+        named = named.groupBy("id").agg(F.min_by("class", "late").alias("class"))
+        words = counts.withColumn("id", F.xxhash64("word")).join(named, "id", "left").select("word", "c", F.coalesce("class", F.lit(0)).alias("class"))
+        words = stored_alone(words, "class-model")
         sizes, kinds = np.zeros(classes), np.zeros(classes)
         for r in words.groupBy("class").agg(F.sum("c").alias("c"), F.count("*").alias("types")).collect():
             sizes[r["class"]], kinds[r["class"]] = r.c, r.types
-        found = stored(looked_up(chunks, words, "c", "class"), "class-model-found")
         discount = min(MOST_DISCOUNT, max(LEAST_DISCOUNT, whole.n1 / max(1, whole.n1 + 2 * whole.n2)))
-        coded = chunks.join(found, "chunk")
-        model = ClassModel(whole.tokens, whole.types, discount, sizes, kinds, transitions(coded, classes), words.filter(F.col("word") == END).first()["class"])
+        end = words.filter(F.col("word") == END).first()["class"]
+        places = chunks.select("chunk", F.posexplode("words").alias("at", "word"))
+        coded = chunks.drop("words", "counts").join(looked_up(places, words, "word", "c", "class"), "chunk", "left")
+        model = ClassModel(whole.tokens, whole.types, discount, sizes, kinds, np.zeros((classes, classes)), end)
+        classed = stored_alone(classed_texts(coded, model, docs.schema["doc_id"].dataType.simpleString()), "class-model-classed")
+        model = ClassModel(whole.tokens, whole.types, discount, sizes, kinds, transitions(classed, model), end)
     else:
-        coded = chunks.withColumn("found", F.lit(None).cast("array<struct<at:int,c:long,class:int>>"))
+        coded = chunks.drop("words", "counts").withColumn("found", F.lit(None).cast("array<struct<at:int,c:long,class:int>>"))
         model = ClassModel(0, 0, 0.5, np.zeros(classes), np.zeros(classes), np.zeros((classes, classes)), 0)
-    shared = spark.sparkContext.broadcast(model)
+        classed = classed_texts(coded, model, docs.schema["doc_id"].dataType.simpleString())
+    return scored(classed, model, docs.schema["doc_id"].dataType.simpleString())
 
-    def score(batches):
+
+def classed_texts(coded: DataFrame, model: ClassModel, kind: str) -> DataFrame:
+    """Chunks with the sums that words alone decide, and the classes of all tokens: no step after this looks words up."""
+    shared = coded.sparkSession.sparkContext.broadcast(model)
+
+    def sum_up(batches):
         model = shared.value
         for batch in batches:
             for row in range(batch.num_rows):
-                c, own = arrays_of(batch.column("found")[row], len(batch.column("words")[row]), "c", "class")
-                sizes, tokens = value_of(batch, "sizes", row).astype(np.int64), value_of(batch, "tokens", row)
-                scores, base = model.log_probabilities(sizes, tokens, c, own)
+                _, sizes, tokens = texts_of(batch, row)
+                c, own = arrays_of(batch.column("found")[row], int(tokens.max()) + 1, "c", "class")
                 starts = np.cumsum(sizes) - sizes
+                lists = [
+                    pa.array(sums((c[tokens] > 0).astype(np.int64), sizes)),
+                    pa.array(np.add.reduceat(model.base(c)[tokens], starts)),
+                    pa.array(np.add.reduceat(model.shares(c, own)[tokens], starts)),
+                ]
+                offsets = pa.array([0, len(sizes)], pa.int32())
+                some = batch.slice(row, 1)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(some.column(n) for n in ("doc_ids", "held", "sizes")), *(pa.ListArray.from_arrays(offsets, x) for x in lists),
+                        pa.array([packed(own[tokens] + 1)], pa.binary()),
+                    ],
+                    names=["doc_ids", "held", "sizes", "known", "base", "shares", "tokens"],
+                )
+
+    schema = f"doc_ids array<{kind}>, held array<boolean>, sizes array<int>, known array<long>, base array<double>, shares array<double>, tokens binary"
+    return coded.select("doc_ids", "held", "sizes", "tokens", "found").mapInArrow(sum_up, schema)
+
+
+def scored(classed: DataFrame, model: ClassModel, kind: str) -> DataFrame:
+    """The result's rows, from the classes of all tokens."""
+    shared = classed.sparkSession.sparkContext.broadcast(model)
+
+    def score(batches):
+        model = shared.value
+        for batch in batches:
+            for row in range(batch.num_rows):
+                _, sizes, own = texts_of(batch, row)
+                steps = np.add.reduceat(model.steps(sizes, own - 1), np.cumsum(sizes) - sizes)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_ids")[row].values, batch.column("held")[row].values, pa.array(sizes), pa.array(sums((c[tokens] > 0).astype(np.int64), sizes)),
-                        pa.array(np.full(len(sizes), model.tokens)), pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(scores, starts)),
+                        batch.column("doc_ids")[row].values, batch.column("held")[row].values, pa.array(sizes), batch.column("known")[row].values,
+                        pa.array(np.full(len(sizes), model.tokens)), batch.column("base")[row].values, pa.array(steps + value_of(batch, "shares", row)),
                     ],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return coded.select("doc_ids", "held", "sizes", "tokens", "words", "found").mapInArrow(score, schema)
+    return classed.mapInArrow(score, schema)
 
 
-def transitions(coded: DataFrame, classes: int) -> np.ndarray:
+def transitions(classed: DataFrame, model: ClassModel) -> np.ndarray:
     """How often each class stands in front of each other in training texts."""
+    classes, end = len(model.log_sizes), model.end
 
     def count(batches):
         total = np.zeros(classes * classes, np.int64)
         for batch in batches:
             for row in range(batch.num_rows):
-                (own,) = arrays_of(batch.column("found")[row], len(batch.column("words")[row]), "class")
-                a, b = taught_pairs(value_of(batch, "held", row), value_of(batch, "sizes", row), value_of(batch, "tokens", row))
-                total += np.bincount(own[a] * classes + own[b], minlength=len(total))
+                held, sizes, own = texts_of(batch, row)
+                own = own - 1
+                before = np.concatenate([[0], own[:-1]])
+                before[np.cumsum(sizes) - sizes] = end
+                taught = np.repeat(~held, sizes)
+                total += np.bincount(before[taught] * classes + own[taught], minlength=len(total))
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array((some // classes).astype(np.int32)), pa.array((some % classes).astype(np.int32)), pa.array(total[some])], names=["c1", "c2", "n"])
 
-    rows = coded.select("held", "sizes", "tokens", "words", "found").mapInArrow(count, "c1 int, c2 int, n long")
+    rows = classed.select("held", "sizes", "tokens").mapInArrow(count, "c1 int, c2 int, n long")
     return matrix(rows.groupBy("c1", "c2").agg(F.sum("n").alias("n")), classes)

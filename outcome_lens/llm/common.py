@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from outcome_lens.session import stored
+
 # Words of the contamination and near-duplicate rules, over text with A-Z lower-cased.
 WORD = "[^\x00-\x2f\x3a-\x60\x7b-\x7f]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -28,3 +30,17 @@ def texts(docs: DataFrame) -> DataFrame:
 def words_of(text: str, pattern) -> list[str]:
     """``pattern``'s words of one text with A-Z lower-cased; other letters keep their case."""
     return pattern.findall(text.encode().lower().decode())
+
+
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored_alone(df: DataFrame, name: str) -> DataFrame:
+    """``stored``, and the shuffle files behind the table go when it is written: nothing reads them any more."""
+    spark = df.sparkSession
+    before = spark.conf.get(CLEAN_SHUFFLES, "false")
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        return stored(df, name)
+    finally:
+        spark.conf.set(CLEAN_SHUFFLES, before)

@@ -205,7 +205,7 @@ def base_of(rows):
 
 def test_class_scores_have_the_base_of_brute_force(spark):
     rows = [*drawn(8, ["A", "b", "cc", "é", "x."]), (None, None, None), (501, "", None), (502, "word and " * 20_000, None), (502, "word and", None)]
-    got = class_model.class_scores(frame(spark, rows), classes=4, rounds=2, frequent=5).collect()
+    got = class_model.class_scores(frame(spark, rows), classes=4, rounds=2, frequent=0.001).collect()
     key = lambda r: (r[0] is None, r[0] or 0, r[2], round(r[5], 6))
     want = sorted([(r[0], *w) for r, w in zip(rows, base_of(rows), strict=True)], key=key)
     for g, w in zip(sorted(map(tuple, got), key=key), want, strict=True):
@@ -225,7 +225,7 @@ def test_classes_follow_the_grammar(spark):
     nouns, verbs = [f"n{i}" for i in range(30)], [f"v{i}" for i in range(30)]
     rows = [(i, " ".join(rng.choice(nouns) + " " + rng.choice(verbs) for _ in range(40)), None) for i in range(60)]
     rows += [(1000 + i, " ".join(rng.choice(nouns) + " " + rng.choice(nouns) for _ in range(40)), None) for i in range(100) if zlib.crc32(str(1000 + i).encode()) % 7 == 2]
-    out = class_model.class_scores(frame(spark, rows), classes=3, rounds=4, frequent=20).collect()
+    out = class_model.class_scores(frame(spark, rows), classes=3, rounds=4, frequent=0.004).collect()
     usual = [r.score / r.n_tokens for r in out if r.held_out and r.doc_id < 1000]
     strange = [r.score / r.n_tokens for r in out if r.held_out and r.doc_id >= 1000]
     assert usual and strange and min(usual) > max(strange) + 0.1
@@ -244,7 +244,7 @@ def test_class_model_probabilities_sum_to_one():
     own, c = np.append(classes, -1), np.append(counts, -1)
     for before in range(-1, 4):
         first = {-1: 50}.get(before, int(np.flatnonzero(classes == before)[0]) if before >= 0 else 50)
-        total = sum(10 ** model.log_probabilities(np.array([2]), np.array([first, w]), c, own)[0][1] for w in words)
+        total = sum(10 ** (model.steps(np.array([2]), own[[first, w]])[1] + model.shares(c, own)[w]) for w in words)
         assert total == pytest.approx(1.0)
 
 
@@ -266,3 +266,36 @@ def test_a_gain_is_that_of_the_whole_objective():
         best = class_model.best_classes(np.zeros(len(some), int), np.array([k for k, _ in some]), np.array([n for _, n in some]), np.array([-1]), between)
         ranked = np.argsort(gains)[::-1]
         assert best[0] in ranked[:2]
+
+
+def test_counted_neighbours_are_those_listed(spark, monkeypatch):
+    """Words whose neighbours are counted before they move get the classes that lists give."""
+    rows = drawn(11, [f"w{i % 7}x{i}" for i in range(60)], texts=80)
+    found = []
+    for most in (1, 10**9):
+        monkeypatch.setattr(class_model, "MOST_LISTED", most)
+        out = class_model.class_scores(frame(spark, rows), classes=5, rounds=2, frequent=0.02).collect()
+        found.append(sorted((r.doc_id, round(r.score, 9)) for r in out))
+    assert found[0] == found[1]
+
+
+# ---- token ids
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_are_those_of_the_library_for_any_text(name):
+    """Control characters, odd white space and strings of added tokens included; a tokenizer of another kind sees whole texts."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from outcome_lens.llm.token_ids import TextEncoder
+
+    path = public_tokenizers.path(name)
+    encoder, library = TextEncoder(path, 0), Tokenizer.from_file(path)
+    assert (encoder.pieces is None) == (name != "byte_bpe_50k.json")
+    rng = random.Random(7)
+    parts = ["a", "B", " ", " ", "  ", "\n", "\t", "\x1c", "\x1d", "\x1f", "\x85", "　", "'s", "'ll", "é", "é", "日", "<|endoftext|>", "\x00", " the", "1", "23", ".", "​", "\xa0", "\r"]
+    texts = ["", "\x1c's  x", "  \x1c's", *("".join(rng.choice(parts) for _ in range(rng.randint(0, 10))) for _ in range(3000))]
+    ids, sizes = encoder.encode(texts)
+    assert [own.tolist() for own in np.split(ids, np.cumsum(sizes)[:-1])] == [library.encode(t, add_special_tokens=False).ids + [0] for t in texts]
+    assert [len(x) for x in encoder.encode([])] == [0, 0]
