@@ -9,9 +9,7 @@ file, so global positions need only one total per file.
 
 from __future__ import annotations
 
-import re
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +17,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from outcome_lens.contract import AnalysisError
 from outcome_lens.llm.common import texts
+from outcome_lens.llm.pieces import ByteTokenizer, cut, encoded, ranges
 
 ORC_OPTIONS = {
     "compression": "zstd",
@@ -30,95 +30,89 @@ ORC_OPTIONS = {
     "orc.bloom.filter.fpp": "0.01",
 }
 FILE_SCHEMA = "doc_id long, part int, before long, n_tokens int, ids array<int>"
-CACHED_PIECES = 1_000_000  # pieces a worker keeps the ids of, about 250 bytes each
-ROWS_PER_BATCH = 500
-PIECE = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-# Letters, then marks: two pre-tokens whatever the words are.
-PLAIN = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?|*%&#$]*)")
-WHITE = re.compile(r"\s")
-SPACE_AFTER_SPACE = re.compile(r"\s ")
+KNOWN_PIECES = 400_000  # pieces a worker keeps the ids of, about 200 bytes each
+BATCH_BYTES = 12 << 20  # of text that is encoded at a time; one longer text is a batch of its own
 
 
-def shown_bytes() -> dict[int, str]:
-    """The character by which a byte-level vocabulary shows each byte: visible Latin-1 characters show
-    themselves, and the other bytes, in order, the characters from 256 on."""
-    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = iter(range(256, 512))
-    return {byte: chr(byte if byte in visible else next(others)) for byte in range(256)}
+class TextEncoder:
+    """Ids of texts through the tokenizers library, which sees every distinct piece of a batch once.
 
+    A text with the string of an added token, such as ``<|endoftext|>``, goes to the library as a whole, since such a token may
+    take in what stands around it; so do all texts if the tokenizer is not one that allows a text to be cut.
+    """
 
-SHOWN_BYTES = shown_bytes()
-
-
-class KnownPieces(dict):
-    """Bytes of the ids of pieces of text; a piece that is asked for the first time is encoded."""
-
-    def __init__(self, path: str, most: int):
+    def __init__(self, path: str, ends_with: int):
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.most = most
-        self.older: dict[str, bytes] = {}  # the half before this one: what is used again comes over
-        self.tokenizer = Tokenizer.from_file(path)
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
-        self.newline = np.array(self.tokenizer.encode("\n", add_special_tokens=False).ids, "<u4").tobytes()
-
-    def turn(self) -> None:
-        """Start a new half if this one is full, and forget the older one."""
-        if 2 * len(self) > self.most:
-            self.older = dict(self)
-            self.clear()
-
-    def __missing__(self, piece: str) -> bytes:
-        kept = self.older.pop(piece, None)
-        if kept is not None:
-            self[piece] = kept
-            return kept
-        plain = PLAIN.fullmatch(piece)
-        lines = piece.split("\n")
-        if len(lines) > 1 and all(lines) and not WHITE.search("".join(lines).lstrip(" ")):
-            found = self.newline.join(map(self.__getitem__, lines))  # a line break before a word is a pre-token
-        elif plain is None:
-            found = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
-        elif plain[2]:
-            found = self[plain[1]] + self[plain[2]]
-        else:
-            # one pre-token of letters: the library's model can be asked without its pre-tokenizer
-            shown = piece.encode().decode("latin-1").translate(SHOWN_BYTES)
-            found = array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
-        self[piece] = found
-        return found
-
-
-class PieceEncoder:
-    """Ids of texts through the tokenizers library, which sees every distinct piece of text once.
-
-    A byte-level pre-tokenizer never joins what stands before a space to what follows it, so a text may
-    be cut in front of each single space and its pieces encoded apart. Runs of white space
-    go through ``PIECE``, which cuts them as the pre-tokenizer does. A text with the string of an added token, such as
-    ``<|endoftext|>``, goes to the library as a whole, since such a token may take in what stands around it.
-    """
-
-    def __init__(self, path: str, ends_with: int, cached_pieces: int = CACHED_PIECES):
-        self.known = KnownPieces(path, cached_pieces)
-        self.end = np.array([ends_with], "<u4").tobytes()
-
-    def encode(self, text: str) -> np.ndarray:
-        """The ids of a text and the end id."""
-        if any(a in text for a in self.known.added):
-            ids = self.known.tokenizer.encode(text, add_special_tokens=False).ids
-            return np.array([*ids, *np.frombuffer(self.end, "<u4")], "<u4")
-        self.known.turn()
-        get = self.known.__getitem__
-        if SPACE_AFTER_SPACE.search(text):
-            parts = map(get, PIECE.findall(text))
-        else:
-            first, *rest = text.split(" ")
-            parts = [get(first) if first else b"", *map(get, map(" ".__add__, rest))]
-        return np.frombuffer(b"".join(parts) + self.end, "<u4")
-
-
-def encoder(path: str, ends_with: int, cached_pieces: int) -> PieceEncoder:
+        self.whole = Tokenizer.from_file(path)
+        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values() if t.content]
+        try:
+            self.pieces = ByteTokenizer(path)
+        except AnalysisError:
+            self.pieces = None
+        self.end = ends_with
+        self.known: dict[str, bytes] = {}  # ids of pieces behind a space
+        self.older: dict[str, bytes] = {}  # those of the half before this one: what is used again comes over
+
+    def spaced(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``encoded`` for pieces behind a space, of which this worker may know some."""
+        if 2 * len(self.known) > KNOWN_PIECES:
+            self.older, self.known = self.known, {}
+        get = self.known.get
+        found = [get(n) for n in names]
+        unknown = [i for i, f in enumerate(found) if f is None]
+        for i in unknown:
+            found[i] = self.older.get(names[i])
+        new = [i for i in unknown if found[i] is None]
+        ids, counts = encoded(self.pieces, [names[i] for i in new])
+        raw, ends = ids.astype("<i4").tobytes(), (4 * np.cumsum(counts)).tolist()
+        for i, end, size in zip(new, ends, (4 * counts).tolist(), strict=True):
+            found[i] = raw[end - size : end]
+        self.known.update((names[i], found[i]) for i in unknown)
+        return np.frombuffer(b"".join(found), "<i4"), np.array([len(f) for f in found], np.int64) // 4
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, with the end id behind each, and how many each text has."""
+        apart = [i for i, t in enumerate(texts) if self.pieces is None or any(a in t for a in self.added)]
+        plain = list(texts)
+        for i in apart:
+            plain[i] = ""
+        flat, counts, distinct = cut(plain)
+        ends = np.cumsum(counts + 1) - 1  # the place behind the pieces of a text
+        first = ends - counts
+        has = counts > 0
+        # the first piece of a text has no space in front
+        starting, own = np.unique(flat[(first - np.arange(len(counts)))[has]], return_inverse=True)
+        inner = np.ones(len(flat), bool)
+        inner[(first - np.arange(len(counts)))[has]] = False
+        used = np.zeros(len(distinct), bool)
+        used[flat[inner]] = True
+        inside = np.flatnonzero(used)
+        tables = [self.spaced([distinct[i] for i in inside]), encoded(self.pieces, [distinct[i] for i in starting], spaced=False)] if len(flat) else []
+        for i in apart:
+            ids = self.whole.encode(texts[i], add_special_tokens=False).ids
+            tables.append((np.array(ids, np.int32), np.array([len(ids)])))
+        ids = np.concatenate([*(t[0] for t in tables), np.array([self.end])])
+        sizes = np.concatenate([*(t[1] for t in tables), np.array([1])]).astype(np.int64)
+        begins = np.cumsum(sizes) - sizes
+        # entries: pieces inside, pieces at the start, whole texts, the end
+        entry_of = np.zeros(len(distinct), np.int64)
+        entry_of[inside] = np.arange(len(inside))
+        entries = np.full(len(flat) + len(counts), len(sizes) - 1, np.int64)
+        body = np.ones(len(entries), bool)
+        body[ends] = False
+        entries[body] = entry_of[flat]
+        entries[first[has]] = len(inside) + own
+        places = np.searchsorted(ends, np.arange(len(entries)))
+        if apart:
+            base = len(sizes) - 1 - len(apart)
+            entries = np.insert(entries, ends[apart], base + np.arange(len(apart)))
+            places = np.insert(places, ends[apart], apart)
+        taken = sizes[entries]
+        return ids[ranges(begins[entries], taken)], np.bincount(places, taken, len(texts)).astype(np.int64)
+
+
+def encoder(path: str, ends_with: int) -> TextEncoder:
     """The encoder of this worker process.
 
     Functions of this package are shipped by value, so a module of their own does not outlive a
@@ -127,45 +121,39 @@ def encoder(path: str, ends_with: int, cached_pieces: int) -> PieceEncoder:
     import tokenizers
 
     kept = vars(tokenizers).setdefault("_encoders_by_path", {})
-    key = (path, ends_with, cached_pieces)
-    if key not in kept:
-        kept[key] = PieceEncoder(*key)
-    return kept[key]
+    if (path, ends_with) not in kept:
+        kept[path, ends_with] = TextEncoder(path, ends_with)
+    return kept[path, ends_with]
 
 
 def write_token_ids(
-    docs: DataFrame, folder: str, tokenizer: str, ends_with: int = 0, files: int | None = None, cached_pieces: int = CACHED_PIECES
+    docs: DataFrame, folder: str, tokenizer: str, ends_with: int = 0, files: int | None = None
 ) -> None:
     """Write the ids of every whole text to ORC files below ``folder``, in ascending ``doc_id`` order.
 
     Null texts are empty and get the end id alone. A null ``doc_id`` sorts first. Repeated rows and
     repeated ids are all written, ordered by a hash of their text. ``files`` is the number of
-    id ranges, by default the session's shuffle partitions. ``cached_pieces`` trades a worker's memory for time.
+    id ranges, by default the session's shuffle partitions.
     """
     spark = docs.sparkSession
     key = [F.col("doc_id"), F.xxhash64("text")]
     ranges = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def encode(batches):
-        part, before, own = TaskContext.get().partitionId(), 0, encoder(tokenizer, ends_with, cached_pieces)
+        part, before, own = TaskContext.get().partitionId(), 0, encoder(tokenizer, ends_with)
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_PER_BATCH):
-                some = batch.slice(at, ROWS_PER_BATCH)
-                arrays = [own.encode(text) for text in some.column(1).to_pylist()]
-                sizes = np.array([len(a) for a in arrays], np.int64)
-                ends = before + np.cumsum(sizes)
-                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        some.column(0).cast(pa.int64()),
-                        pa.array(np.full(len(sizes), part, np.int32)),
-                        pa.array(ends - sizes),
-                        pa.array(sizes.astype(np.int32)),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays).astype(np.int32))),
-                    ],
-                    names=["doc_id", "part", "before", "n_tokens", "ids"],
-                )
-                before = int(ends[-1])
+            upto = np.cumsum(np.asarray(pa.compute.binary_length(batch.column(1)), np.int64))
+            at = 0
+            while at < batch.num_rows:
+                stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + BATCH_BYTES, "right")))
+                some = batch.slice(at, stop - at)
+                at = stop
+                ids, sizes = own.encode(some.column(1).to_pylist())
+                ends = np.cumsum(sizes)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids.astype(np.int32)))
+                columns = [some.column(0).cast(pa.int64()), pa.array(np.full(len(sizes), part, np.int32)), pa.array(before + ends - sizes), pa.array(sizes.astype(np.int32)), lists]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "part", "before", "n_tokens", "ids"])
+                before += int(ends[-1])
 
     sorted_docs = texts(docs).repartitionByRange(ranges, *key).sortWithinPartitions(*key, "text")
     sorted_docs.mapInArrow(encode, FILE_SCHEMA).write.options(**ORC_OPTIONS).orc(folder)
