@@ -19,6 +19,7 @@ from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +31,8 @@ SHINGLE = 5  # words
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 6
 BATCH_BYTES = 1 << 20  # text that is hashed at once
-CACHED_SETS = 256  # multisets a verifying task keeps
+PAIRS_AT_ONCE = 256  # whose texts are unpacked from a batch
+CACHED_BYTES = 16 << 20  # of multisets that a verifying task keeps
 
 
 def draws(seeds: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray]:
@@ -92,15 +94,25 @@ def in_parts(rows: list[str], most: int = BATCH_BYTES):
         yield start, len(rows)
 
 
+def column_parts(texts: pa.Array, most: int = BATCH_BYTES):
+    """``in_parts`` of a column of texts, by bytes, without unpacking it."""
+    upto = np.cumsum(np.asarray(pa.compute.binary_length(texts).fill_null(0), np.int64))
+    start = 0
+    while start < len(texts):
+        stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + most, "right")))
+        yield start, stop
+        start = stop
+
+
 def with_bands(rows: DataFrame, bands: int, rows_per_band: int, shingle: int) -> DataFrame:
     """``doc_id, node, text`` with the band values of the text instead of it; null for texts without words."""
 
     def sign(batches):
         for batch in batches:
             ids, nodes, bodies = batch.columns
-            bodies = bodies.to_pylist()
-            for a, b in in_parts(bodies):
-                hashes, weights, owner = multisets(bodies[a:b], shingle)
+            for a, b in column_parts(bodies):
+                some = bodies.slice(a, b - a).to_pylist()
+                hashes, weights, owner = multisets(some, shingle)
                 found = band_values(signatures(hashes, weights, owner, b - a, bands * rows_per_band), bands, rows_per_band)
                 has = np.bincount(owner, minlength=b - a) > 0
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(found.reshape(-1)), bands).cast(pa.list_(pa.int64()))
@@ -115,17 +127,21 @@ def similarities(pairs: DataFrame, bodies: DataFrame, shingle: int) -> DataFrame
 
     def compare(batches):
         known: OrderedDict[bytes, tuple[np.ndarray, np.ndarray]] = OrderedDict()
+        held = 0
 
         def multiset(node: bytes, text: str):
+            nonlocal held
             if node not in known:
                 hashes, counts, _ = multisets([text], shingle)
                 known[node] = hashes, counts
-                if len(known) > CACHED_SETS:
-                    known.popitem(last=False)
+                held += hashes.nbytes + counts.nbytes
+                while held > CACHED_BYTES and len(known) > 2:
+                    _, (old, times) = known.popitem(last=False)
+                    held -= old.nbytes + times.nbytes
             known.move_to_end(node)
             return known[node]
 
-        for batch in batches:
+        for batch in (whole.slice(at, PAIRS_AT_ONCE) for whole in batches for at in range(0, whole.num_rows, PAIRS_AT_ONCE)):
             found = []
             for a, b, text_a, text_b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 (ha, na), (hb, nb) = multiset(a, text_a), multiset(b, text_b)
@@ -199,11 +215,11 @@ def lonely_shingles(nodes: DataFrame, bodies: DataFrame, shingle: int) -> DataFr
 
     def spread(batches):
         for batch in batches:
-            keys, bodies = (c.to_pylist() for c in batch.columns)
-            for a, b in in_parts(bodies):
-                hashes, weights, owner = multisets(bodies[a:b], shingle)
+            keys, bodies = batch.columns
+            for a, b in column_parts(bodies):
+                hashes, weights, owner = multisets(bodies.slice(a, b - a).to_pylist(), shingle)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[a:b], pa.binary()).take(pa.array(owner)), pa.array(hashes.view(np.int64)), pa.array(weights.astype(np.int64))],
+                    [keys.slice(a, b - a).take(pa.array(owner)), pa.array(hashes.view(np.int64)), pa.array(weights.astype(np.int64))],
                     names=["node", "hash", "weight"],
                 )
 
