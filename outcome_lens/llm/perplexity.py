@@ -35,9 +35,10 @@ BACKED_OFF = 1 << 17  # n-grams backed off at a time
 PART_ROWS = 4_000_000  # n-grams in one sorted array
 HELD_PARTS = 4  # arrays a task keeps; more are read again for every batch
 # the band of a language's mean log-probabilities: so many distances from the median to the quartile on that side,
-# and at least a share of the median
-LOWER, UPPER = 20.0, 20.0
-LEAST_SHARE = 0.1
+# more where few documents tell the spread (two standard errors of the distance), and at least a share of the median
+LOWER, UPPER = 7.0, 7.0
+LEAST_SHARE = 0.02
+FEW = 4.0  # over the root of the number of documents: a distance's two standard errors, as a share of it
 FLOOR = math.log(1e-7)  # of a character where there is no model of its language
 HALVES = 2
 
@@ -371,6 +372,8 @@ def band_of(rows: DataFrame, lower: float, upper: float) -> DataFrame:
     at = F.percentile_approx("nats", F.array(*map(F.lit, (0.25, 0.5, 0.75))), 10_000)
     q1, middle, q3 = (F.col("quartiles")[k] for k in range(3))
     share = LEAST_SHARE * middle
-    return rows.groupBy(F.col("lang").alias("lang_b")).agg(at.alias("quartiles")).select(
-        "lang_b", (middle - F.greatest(lower * (middle - q1), share)).alias("least"), (middle + F.greatest(upper * (q3 - middle), share)).alias("most")
+    return rows.groupBy(F.col("lang").alias("lang_b")).agg(at.alias("quartiles"), (1 + FEW / F.sqrt(F.count("nats"))).alias("wider")).select(
+        "lang_b",
+        (middle - F.greatest(lower * F.col("wider") * (middle - q1), share)).alias("least"),
+        (middle + F.greatest(upper * F.col("wider") * (q3 - middle), share)).alias("most"),
     )
