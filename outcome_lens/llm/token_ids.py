@@ -30,8 +30,8 @@ ORC_OPTIONS = {
     "orc.bloom.filter.fpp": "0.01",
 }
 FILE_SCHEMA = "doc_id long, part int, before long, n_tokens int, ids array<int>"
-KNOWN_PIECES = 400_000  # pieces a worker keeps the ids of, about 200 bytes each
-BATCH_BYTES = 12 << 20  # of text that is encoded at a time; one longer text is a batch of its own
+KNOWN_PIECES = 200_000  # pieces a worker keeps the ids of, about 200 bytes each
+BATCH_BYTES = 4 << 20  # of text that is encoded at a time; one longer text is a batch of its own
 
 
 class TextEncoder:

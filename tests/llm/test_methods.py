@@ -403,3 +403,20 @@ def test_queries_with_sql(spark, name):
     from oracle_check import difference, duck
 
     assert difference(queries.QUERIES[name](spark, SMALL), duck(SMALL), queries.SQL[name]) is None
+
+
+def test_the_band_is_near_the_spread_of_its_language(spark):
+    """Half of the texts lie within 0.01 of the median: one twelve times as far off is outside, and a small language keeps its texts."""
+    rows = [("x", 1.5 + 0.0002 * k) for k in range(-100, 101)] + [("y", 1.5), ("y", 1.52)]
+    band = {r.lang_b: r for r in perplexity.band_of(spark.createDataFrame(rows, "lang string, nats double"), perplexity.LOWER, perplexity.UPPER).collect()}
+    assert 1.38 < band["x"].least < 1.48 and 1.52 < band["x"].most < 1.62  # 1.3 and 1.7 at 20 distances
+    assert band["y"].least <= 1.5 and band["y"].most >= 1.52
+
+
+def test_a_worker_keeps_few_pieces(spark):
+    """Texts are encoded 4 MB at a time, and the pieces that are known are bounded, also while new ones come in."""
+    assert token_ids.BATCH_BYTES <= 4 << 20 and token_ids.KNOWN_PIECES <= 200_000
+    own = token_ids.TextEncoder(byte_bpe(), 0)
+    for k in range(5):
+        own.encode([" ".join(f"a{i}" for i in range(60_000 * k, 60_000 * (k + 1)))])
+        assert len(own.known) <= token_ids.KNOWN_PIECES // 2 + 60_000 and len(own.older) <= token_ids.KNOWN_PIECES // 2 + 60_000
