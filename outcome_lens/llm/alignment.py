@@ -28,7 +28,7 @@ from outcome_lens.llm.common import texts
 from outcome_lens.llm.pieces import ByteTokenizer, PieceTokenizer, cut, encoded, ranges, sums
 from outcome_lens.session import stored
 
-BATCH_BYTES = 3 << 20  # of text that is aligned at a time; one longer text is a batch of its own
+BATCH_BYTES = 3 << 19  # of text that is aligned at a time; one longer text is a batch of its own
 COUNTS = "n_a long, n_b long, n_groups long, n_links long"
 
 

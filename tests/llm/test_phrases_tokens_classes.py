@@ -299,3 +299,18 @@ def test_ids_are_those_of_the_library_for_any_text(name):
     ids, sizes = encoder.encode(texts)
     assert [own.tolist() for own in np.split(ids, np.cumsum(sizes)[:-1])] == [library.encode(t, add_special_tokens=False).ids + [0] for t in texts]
     assert [len(x) for x in encoder.encode([])] == [0, 0]
+
+
+def test_batches_of_tokenizers_are_small(monkeypatch):
+    """What a worker holds at a time: 1.5 MB of text for two tokenizers."""
+    import pyarrow as pa
+
+    from outcome_lens.llm import alignment
+
+    seen = []
+    monkeypatch.setattr(alignment, "AlignedBatch", lambda bodies, a, b: seen.append(sum(map(len, bodies))))
+    monkeypatch.setattr(alignment, "ByteTokenizer", lambda path: None)
+    monkeypatch.setattr(alignment, "PieceTokenizer", lambda path: None)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(60)), "text": ["word " * 20_000] * 60})
+    assert sum(len(ids) for ids, _ in alignment.aligned_batches([batch], "", "")) == 60
+    assert max(seen) <= 1.5 * 2**20 and sum(seen) == 60 * 100_000
