@@ -115,30 +115,37 @@ def encoded(tokenizer: ByteTokenizer | PieceTokenizer, pieces: list[str], spaced
     return flat[ranges(begins, counts)], counts
 
 
-def cut(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Which pieces the texts consist of, in order, how many each text has, and the distinct pieces.
+def split(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The pieces that texts consist of, in order, and how many each text has.
 
     A piece stands for a space and its own characters: the pieces of a text make up a space and the text.
     An empty text has none.
     """
-    column = pa.array(texts, pa.large_string())
     irregular = pc.match_substring_regex(column, IRREGULAR).to_numpy(zero_copy_only=False)
     empty = pc.equal(column, "").to_numpy(zero_copy_only=False)
     regular = np.flatnonzero(~irregular & ~empty)
     parts = [pc.split_pattern(column.take(pa.array(regular)), " ")]
     others = np.flatnonzero(irregular & ~empty)
-    parts.append(pa.array([CUT.split(texts[i]) for i in others], pa.large_list(pa.large_string()) if pa.types.is_large_list(parts[0].type) else pa.list_(pa.large_string())))
+    parts.append(pa.array([CUT.split(column[i].as_py()) for i in others.tolist()], pa.large_list(pa.large_string()) if pa.types.is_large_list(parts[0].type) else pa.list_(pa.large_string())))
     lists = pa.concat_arrays(parts)
     sizes = np.asarray(lists.value_lengths(), np.int64)
-    coded = lists.flatten().dictionary_encode()
-    flat = coded.indices.to_numpy()
+    flat = lists.flatten()
     # back to the order of the texts
     whose = np.concatenate([regular, others])
-    counts = np.zeros(len(texts), np.int64)
+    counts = np.zeros(len(column), np.int64)
     counts[whose] = sizes
-    begins = np.zeros(len(texts), np.int64)
-    begins[whose] = np.cumsum(sizes) - sizes
-    return flat[ranges(begins, counts)], counts, coded.dictionary.to_pylist()
+    if len(others):
+        begins = np.zeros(len(column), np.int64)
+        begins[whose] = np.cumsum(sizes) - sizes
+        flat = flat.take(pa.array(ranges(begins, counts)))
+    return flat, counts
+
+
+def cut(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Which pieces the texts consist of, in order, how many each text has, and the distinct pieces."""
+    flat, counts = split(pa.array(texts, pa.large_string()))
+    coded = flat.dictionary_encode()
+    return coded.indices.to_numpy(), counts, coded.dictionary.to_pylist()
 
 
 def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:

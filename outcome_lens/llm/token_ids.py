@@ -13,13 +13,14 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from outcome_lens.contract import AnalysisError
 from outcome_lens.llm.common import texts
-from outcome_lens.llm.pieces import ByteTokenizer, cut, encoded, ranges
+from outcome_lens.llm.pieces import ByteTokenizer, encoded, ranges, split
 
 ORC_OPTIONS = {
     "compression": "zstd",
@@ -30,12 +31,12 @@ ORC_OPTIONS = {
     "orc.bloom.filter.fpp": "0.01",
 }
 FILE_SCHEMA = "doc_id long, part int, before long, n_tokens int, ids array<int>"
-KNOWN_PIECES = 200_000  # pieces a worker keeps the ids of, about 200 bytes each
+KNOWN_PIECES = 200_000  # pieces a worker keeps the ids of, about 50 bytes each
 BATCH_BYTES = 4 << 20  # of text that is encoded at a time; one longer text is a batch of its own
 
 
 class TextEncoder:
-    """Ids of texts through the tokenizers library, which sees every distinct piece of a batch once.
+    """Ids of texts through the tokenizers library, which sees every distinct piece of a batch once, and none that is still known.
 
     A text with the string of an added token, such as ``<|endoftext|>``, goes to the library as a whole, since such a token may
     take in what stands around it; so do all texts if the tokenizer is not one that allows a text to be cut.
@@ -44,72 +45,86 @@ class TextEncoder:
     def __init__(self, path: str, ends_with: int):
         from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(path)
-        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values() if t.content]
         try:
             self.pieces = ByteTokenizer(path)
+            self.whole = self.pieces.tokenizer
         except AnalysisError:
             self.pieces = None
+            self.whole = Tokenizer.from_file(path)
+        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values() if t.content]
         self.end = ends_with
-        self.known: dict[str, bytes] = {}  # ids of pieces behind a space
-        self.older: dict[str, bytes] = {}  # those of the half before this one: what is used again comes over
+        self.known = pa.array([], pa.large_string())  # pieces behind a space
+        self.older = self.known  # those of the half before this one: what is used again comes over
+        # the ids of the older and then the known ones, and how many each piece has
+        self.ids, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
-    def spaced(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """``encoded`` for pieces behind a space, of which this worker may know some."""
+    def spaced(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For pieces behind a space: which entry of a table each is, the ids of the table, and how many an entry has."""
         if 2 * len(self.known) > KNOWN_PIECES:
-            self.older, self.known = self.known, {}
-        get = self.known.get
-        found = [get(n) for n in names]
-        unknown = [i for i, f in enumerate(found) if f is None]
-        for i in unknown:
-            found[i] = self.older.get(names[i])
-        new = [i for i in unknown if found[i] is None]
-        ids, counts = encoded(self.pieces, [names[i] for i in new])
-        raw, ends = ids.astype("<i4").tobytes(), (4 * np.cumsum(counts)).tolist()
-        for i, end, size in zip(new, ends, (4 * counts).tolist(), strict=True):
-            found[i] = raw[end - size : end]
-        self.known.update((names[i], found[i]) for i in unknown)
-        return np.frombuffer(b"".join(found), "<i4"), np.array([len(f) for f in found], np.int64) // 4
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            gone = len(self.older)
+            self.ids, self.sizes = self.ids[self.sizes[:gone].sum() :], self.sizes[gone:]
+            self.older, self.known = self.known, self.known[:0]
+        # what is there already is distinct, and so keeps its place
+        coded = pa.concat_arrays([self.older, self.known, pieces]).dictionary_encode()
+        names, before = coded.dictionary, len(self.sizes)
+        entries = coded.indices.to_numpy()[before:]
+        ids, sizes = encoded(self.pieces, names[before:].to_pylist())
+        ids, sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+        stays = np.ones(len(self.older), bool)
+        stays[entries[entries < len(stays)]] = False
+        order = np.concatenate([np.flatnonzero(stays), np.flatnonzero(~stays), np.arange(len(stays), len(names))])
+        names = names.take(pa.array(order))
+        self.older, self.known = names[: stays.sum()], names[stays.sum() :]
+        self.ids, self.sizes = ids[ranges((np.cumsum(sizes) - sizes)[order], sizes[order])], sizes[order]
+        return entries, ids, sizes
+
+    def as_a_whole(self, text: str) -> list[int]:
+        """Ids of a text in which the strings of added tokens are these tokens."""
+        before, self.whole.encode_special_tokens = self.whole.encode_special_tokens, False
+        try:
+            return self.whole.encode(text, add_special_tokens=False).ids
+        finally:
+            self.whole.encode_special_tokens = before
+
+    def encode(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, with the end id behind each, and how many each text has."""
-        apart = [i for i, t in enumerate(texts) if self.pieces is None or any(a in t for a in self.added)]
-        plain = list(texts)
-        for i in apart:
-            plain[i] = ""
-        flat, counts, distinct = cut(plain)
+        column = texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        special = np.full(len(column), self.pieces is None)
+        for a in self.added:
+            special |= pc.match_substring(column, a).to_numpy(zero_copy_only=False)
+        apart = np.flatnonzero(special)
+        flat, counts = split(pc.if_else(pa.array(special), "", column) if len(apart) else column)
         ends = np.cumsum(counts + 1) - 1  # the place behind the pieces of a text
         first = ends - counts
         has = counts > 0
         # the first piece of a text has no space in front
-        starting, own = np.unique(flat[(first - np.arange(len(counts)))[has]], return_inverse=True)
         inner = np.ones(len(flat), bool)
         inner[(first - np.arange(len(counts)))[has]] = False
-        used = np.zeros(len(distinct), bool)
-        used[flat[inner]] = True
-        inside = np.flatnonzero(used)
-        tables = [self.spaced([distinct[i] for i in inside]), encoded(self.pieces, [distinct[i] for i in starting], spaced=False)] if len(flat) else []
-        for i in apart:
-            ids = self.whole.encode(texts[i], add_special_tokens=False).ids
+        starts = flat.filter(pa.array(~inner)).dictionary_encode()
+        inside, *table = self.spaced(flat.filter(pa.array(inner))) if inner.any() else (np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64))
+        tables = [table]
+        if len(starts):
+            tables.append(encoded(self.pieces, starts.dictionary.to_pylist(), spaced=False))
+        for i in apart.tolist():
+            ids = self.as_a_whole(column[i].as_py())
             tables.append((np.array(ids, np.int32), np.array([len(ids)])))
-        ids = np.concatenate([*(t[0] for t in tables), np.array([self.end])])
+        ids = np.concatenate([*(t[0] for t in tables), np.array([self.end], np.int32)])
         sizes = np.concatenate([*(t[1] for t in tables), np.array([1])]).astype(np.int64)
         begins = np.cumsum(sizes) - sizes
         # entries: pieces inside, pieces at the start, whole texts, the end
-        entry_of = np.zeros(len(distinct), np.int64)
-        entry_of[inside] = np.arange(len(inside))
         entries = np.full(len(flat) + len(counts), len(sizes) - 1, np.int64)
         body = np.ones(len(entries), bool)
         body[ends] = False
-        entries[body] = entry_of[flat]
-        entries[first[has]] = len(inside) + own
-        places = np.searchsorted(ends, np.arange(len(entries)))
-        if apart:
+        body[first[has]] = False
+        entries[body] = inside
+        entries[first[has]] = len(table[1]) + starts.indices.to_numpy()
+        places = np.repeat(np.arange(len(counts)), counts + 1)
+        if len(apart):
             base = len(sizes) - 1 - len(apart)
             entries = np.insert(entries, ends[apart], base + np.arange(len(apart)))
             places = np.insert(places, ends[apart], apart)
         taken = sizes[entries]
-        return ids[ranges(begins[entries], taken)], np.bincount(places, taken, len(texts)).astype(np.int64)
+        return ids[ranges(begins[entries], taken)], np.bincount(places, taken, len(counts)).astype(np.int64)
 
 
 def encoder(path: str, ends_with: int) -> TextEncoder:
@@ -142,15 +157,15 @@ def write_token_ids(
     def encode(batches):
         part, before, own = TaskContext.get().partitionId(), 0, encoder(tokenizer, ends_with)
         for batch in batches:
-            upto = np.cumsum(np.asarray(pa.compute.binary_length(batch.column(1)), np.int64))
+            upto = np.cumsum(np.asarray(pc.binary_length(batch.column(1)), np.int64))
             at = 0
             while at < batch.num_rows:
                 stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + BATCH_BYTES, "right")))
                 some = batch.slice(at, stop - at)
                 at = stop
-                ids, sizes = own.encode(some.column(1).to_pylist())
+                ids, sizes = own.encode(some.column(1))
                 ends = np.cumsum(sizes)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids.astype(np.int32)))
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids.astype(np.int32, copy=False)))
                 columns = [some.column(0).cast(pa.int64()), pa.array(np.full(len(sizes), part, np.int32)), pa.array(before + ends - sizes), pa.array(sizes.astype(np.int32)), lists]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "part", "before", "n_tokens", "ids"])
                 before += int(ends[-1])

@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from outcome_lens.llm import contamination, main_text, mixing, near_duplicates, perplexity, personal_data, queries, token_ids, toxicity, url_rules
@@ -420,3 +421,19 @@ def test_a_worker_keeps_few_pieces(spark):
     for k in range(5):
         own.encode([" ".join(f"a{i}" for i in range(60_000 * k, 60_000 * (k + 1)))])
         assert len(own.known) <= token_ids.KNOWN_PIECES // 2 + 60_000 and len(own.older) <= token_ids.KNOWN_PIECES // 2 + 60_000
+
+
+def test_a_known_piece_is_not_encoded_again(spark, monkeypatch):
+    """The ids are the library's while pieces come and go, and what an earlier batch had is looked up in arrays, not unpacked."""
+    from tokenizers import Tokenizer
+
+    asked = []
+    own, library, plain = token_ids.TextEncoder(byte_bpe(), 0), Tokenizer.from_file(byte_bpe()), token_ids.encoded
+    monkeypatch.setattr(token_ids, "encoded", lambda tokenizer, pieces, spaced=True: asked.append(list(pieces)) or plain(tokenizer, pieces, spaced))
+    monkeypatch.setattr(token_ids, "KNOWN_PIECES", 8)
+    batches = [["one two three four", "one two"], ["one two five"], ["six two seven eight nine <|endoftext|>"], ["one two nine ten", "", "a two\n three"], ["one two three"]]
+    for batch in batches:
+        ids, sizes = own.encode(pa.array(batch))
+        wanted = [library.encode(t, add_special_tokens=False).ids + [0] for t in batch]
+        assert ids.tolist() == sum(wanted, []) and sizes.tolist() == [len(w) for w in wanted]
+    assert isinstance(own.known, pa.Array) and sum("two" in a for a in asked) == 1
