@@ -32,6 +32,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 20, 6
 BATCH_BYTES = 1 << 20  # text that is hashed at once
 PAIRS_AT_ONCE = 256  # whose texts are unpacked from a batch
+OUTLINE_BITS = 2048  # of a text that is compared late
 CACHED_BYTES = 16 << 20  # of multisets that a verifying task keeps
 
 
@@ -231,13 +232,34 @@ def lonely_shingles(nodes: DataFrame, bodies: DataFrame, shingle: int) -> DataFr
     return sizes.join(alone, "node", "left").select("node", "size", F.coalesce("alone", F.lit(0)).alias("alone"))
 
 
+def outlines(nodes: DataFrame, bodies: DataFrame, shingle: int) -> DataFrame:
+    """``node, outline``: a bit is set where any shingle of the text falls by its hash, as ``OUTLINE_BITS`` bits in longs.
+
+    Shingles in a cell where another text has none are not in that text: two texts differ in as many shingles at least
+    as their outlines differ in bits. Long texts fill their outlines, and then the bound says less, but stays right.
+    """
+
+    def draw(batches):
+        for batch in batches:
+            keys, bodies = batch.columns
+            for a, b in column_parts(bodies):
+                hashes, _, owner = multisets(bodies.slice(a, b - a).to_pylist(), shingle)
+                cells = np.zeros((b - a, OUTLINE_BITS), bool)
+                cells[owner, (hashes >> U(20)) % U(OUTLINE_BITS)] = True
+                longs = np.packbits(cells, axis=1).view(np.int64)
+                lists = pa.FixedSizeListArray.from_arrays(pa.array(longs.reshape(-1)), longs.shape[1]).cast(pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([keys.slice(a, b - a), lists], names=["node", "outline"])
+
+    return bodies.join(nodes, "node").select("node", "text").mapInArrow(draw, "node binary, outline array<long>")
+
+
 def late_links(open_: DataFrame, linked: DataFrame, bodies: DataFrame, similarity: float, shingle: int) -> DataFrame:
     """Links ``a, b`` inside the buckets of ``open_`` (``bucket, node, root``) between texts of different classes.
 
     A shingle that one text alone has cannot be shared: two texts overlap in at most what each has besides. Texts that
     can reach no other by this bound are done. Of the rest, the text with the smallest share
     of such shingles, the most central one, is compared with all others of its bucket. What is still in another class
-    then meets those texts of the bucket that the bound and the triangle inequality leave in reach.
+    then meets those texts of the bucket that the bound, the triangle inequality and the outlines leave in reach.
     """
     facts = lonely_shingles(open_.select("node").distinct(), bodies, shingle)
     able = open_.join(facts.filter(F.col("size") - F.col("alone") >= similarity * F.col("size")), "node")
@@ -252,12 +274,18 @@ def late_links(open_: DataFrame, linked: DataFrame, bodies: DataFrame, similarit
     rooted = with_roots(led, classes(stars.union(links)))
     gaps = met.select("a", "b", (1 - F.col("similarity")).alias("gap"))
     known = led.select("bucket", "node", "size", "alone", *pair).join(gaps, ["a", "b"], "left").select("bucket", "node", "size", "alone", "gap")
-    known = stored(known.join(rooted, ["bucket", "node"]), "near-known")
-    x = known.filter("root <> head_root").select("bucket", *(F.col(c).alias(f"x_{c}") for c in ("node", "size", "alone", "gap", "root")))
+    known = known.join(rooted, ["bucket", "node"])
+    known = known.join(known.filter("root <> head_root").select("bucket").distinct(), "bucket")
+    drawn = stored(outlines(known.select("node").distinct(), bodies, shingle), "near-outlines")
+    known = stored(known.join(drawn, "node"), "near-known")
+    x = known.filter("root <> head_root").select("bucket", *(F.col(c).alias(f"x_{c}") for c in ("node", "size", "alone", "gap", "root", "outline")))
     most = F.least(F.col("size") - F.col("alone"), F.col("x_size") - F.col("x_alone"))
     in_reach = most >= similarity * (F.col("size") + F.col("x_size") - most)
     near = F.coalesce(F.abs(F.col("x_gap") - F.col("gap")) <= 1 - similarity + 1e-9, F.lit(True))
-    rest = x.join(known, "bucket").filter((F.col("x_root") != F.col("root")) & in_reach & near)
+    differ = sum((F.bit_count(F.col("outline")[k].bitwiseXOR(F.col("x_outline")[k])) for k in range(OUTLINE_BITS // 64)), F.lit(0))
+    both = F.col("size") + F.col("x_size")
+    alike = both - differ + 1e-6 >= similarity * (both + differ)
+    rest = x.join(known, "bucket").filter((F.col("x_root") != F.col("root")) & in_reach & near & alike)
     rest = rest.select(F.greatest("x_node", "node").alias("a"), F.least("x_node", "node").alias("b")).distinct()
     more = similarities(rest, bodies, shingle).filter(F.col("similarity") >= similarity).select("a", "b")
     return links.union(stored(more, "near-more"))

@@ -437,3 +437,29 @@ def test_a_known_piece_is_not_encoded_again(spark, monkeypatch):
         wanted = [library.encode(t, add_special_tokens=False).ids + [0] for t in batch]
         assert ids.tolist() == sum(wanted, []) and sizes.tolist() == [len(w) for w in wanted]
     assert isinstance(own.known, pa.Array) and sum("two" in a for a in asked) == 1
+
+
+def test_only_texts_that_can_be_linked_are_compared_late(spark, monkeypatch):
+    """All texts share a passage, and no shingle is in one text alone: sizes and distances rule nothing out, outlines do."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    common = [word() for _ in range(70)]
+    made = {}
+    for k in range(40):
+        own = [word() for _ in range(30)]
+        made[bytes([1, k])], made[bytes([2, k])] = " ".join(common + own), " ".join(common + own[:-1] + [word()])
+    made |= {bytes([3, k]): " ".join(common[k:] + common[:k]) for k in range(1, 4)}
+    bags = {n: Counter(tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)) for n, t in made.items()}
+    alike = lambda a, b: (bags[a] & bags[b]).total() / (bags[a] | bags[b]).total()
+    wanted = {(a, b) for a in made for b in made if a > b and alike(a, b) >= 0.8}
+    compared, plain = [], near_duplicates.similarities
+    monkeypatch.setattr(near_duplicates, "similarities", lambda pairs, *more: compared.append(pairs.count()) or plain(pairs, *more))
+    open_ = spark.createDataFrame([(7, n, n) for n in made], "bucket long, node binary, root binary")
+    bodies = spark.createDataFrame(list(made.items()), "node binary, text string")
+    linked = spark.createDataFrame([], "node binary, root binary")
+    found = {(bytes(r.a), bytes(r.b)) for r in near_duplicates.late_links(open_, linked, bodies, 0.8, 5).collect()}
+    assert {bytes([2, k, 1, k])[:2] for k in range(40)} <= {a for a, _ in wanted}
+    # links inside a class that the central text has made are not asked for again
+    roots = {bytes(r.node): bytes(r.root) for r in near_duplicates.classes(spark.createDataFrame(sorted(found), "a binary, b binary")).collect()}
+    assert found <= wanted and all(roots.get(a, a) == roots.get(b, b) for a, b in wanted)
+    assert compared[0] < len(made) and compared[-1] < 3 * len(made)
