@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outcome_lens.llm.common import whole_text
-from outcome_lens.llm.near_duplicates import in_parts
+from outcome_lens.llm.near_duplicates import column_parts
 from outcome_lens.llm.shingles import POSITIONS, U, mixed, word_hashes
 from outcome_lens.llm.warc import file_system
 from outcome_lens.session import new_path, stored
@@ -32,7 +32,9 @@ LEAST_WORDS = 50
 REPEAT_WINDOW = 3
 BATCH_CHARS = 4 << 20
 BACKED_OFF = 1 << 17  # n-grams backed off at a time
+SENT_ROWS = 1 << 17  # n-grams that leave a worker together
 PART_ROWS = 4_000_000  # n-grams in one sorted array
+READ_ROWS = 1 << 16  # of a part at a time
 HELD_PARTS = 4  # arrays a task keeps; more are read again for every batch
 # the band of a language's mean log-probabilities: so many distances from the median to the quartile on that side,
 # more where few documents tell the spread (two standard errors of the distance), and at least a share of the median
@@ -91,36 +93,54 @@ def language_hash(languages: list[str | None]) -> np.ndarray:
 
 
 def gram_counts(points: np.ndarray, sizes: np.ndarray):
-    """Lists of n-grams with the number of times each occurs, any n-gram being in one list at least.
+    """Arrow arrays of n-grams with the number of times each occurs, any n-gram being in one array at least.
 
     The characters of a list have small numbers, so that an n-gram is one integer and counting is sorting. Texts
     with more different characters than fit are counted in halves, one text alone by its rows of code points.
     """
-    starts, owner = window_starts(sizes)
-    if not len(starts):
+    total = int(sizes.sum())
+    if not total:
         return
     present = np.flatnonzero(np.bincount(points))
     if len(present) <= 1 << CHARACTER_BITS:
-        number = np.zeros(present[-1] + 1, np.uint64)
-        number[present] = np.arange(len(present), dtype=np.uint64)
-        numbers, code = number[points], np.zeros(len(starts), np.uint64)
+        number = np.zeros(present[-1] + 1, np.uint16)
+        number[present] = np.arange(len(present), dtype=np.uint16)
+        numbers = number[points]
+        code = np.zeros(len(points) - (ORDER - 1), np.uint64)
         for at in range(ORDER):
-            code = (code << U(CHARACTER_BITS)) | numbers[starts + at]
-        code = np.sort(code)
+            code <<= U(CHARACTER_BITS)
+            code |= numbers[at : at + len(code)]
+        del numbers
+        # windows that reach over the end of a text go
+        inside = np.ones(len(code), bool)
+        ends = np.cumsum(sizes + len(PAD))[:-1]
+        inside[(ends[:, None] - 1 - np.arange(ORDER - 1)).reshape(-1)] = False
+        code = code[inside]
+        code.sort()
         first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
-        shifts = U(CHARACTER_BITS) * np.arange(ORDER - 1, -1, -1, dtype=np.uint64)
-        grams = present[(code[first][:, None] >> shifts) & U((1 << CHARACTER_BITS) - 1)]
         counts = np.diff(np.concatenate([first, [len(code)]]))
+        code = code[first]
+        shifts = U(CHARACTER_BITS) * np.arange(ORDER - 1, -1, -1, dtype=np.uint64)
+        for at in range(0, len(code), SENT_ROWS):
+            yield gram_array(present[(code[at : at + SENT_ROWS, None] >> shifts) & U((1 << CHARACTER_BITS) - 1)]), counts[at : at + SENT_ROWS]
     elif len(sizes) > 1:
         half = len(sizes) // 2
         cut = int(sizes[:half].sum()) + half * len(PAD)
         yield from gram_counts(points[:cut], sizes[:half])
         yield from gram_counts(points[cut:], sizes[half:])
-        return
     else:
+        starts, _ = window_starts(sizes)
         grams, counts = np.unique(points[starts[:, None] + np.arange(ORDER)], axis=0, return_counts=True)
-    text = grams.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
-    yield [text[i : i + ORDER] for i in range(0, len(text), ORDER)], counts
+        for at in range(0, len(grams), SENT_ROWS):
+            yield gram_array(grams[at : at + SENT_ROWS]), counts[at : at + SENT_ROWS]
+
+
+def gram_array(grams: np.ndarray) -> pa.Array:
+    """One string a row of code points."""
+    raw = grams.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").encode()
+    widths = 1 + (grams > 0x7F).sum(1) + (grams > 0x7FF).sum(1) + (grams > 0xFFFF).sum(1) + len(grams[0]) - 1
+    offsets = np.concatenate([[0], np.cumsum(widths)]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(grams), pa.py_buffer(offsets), pa.py_buffer(raw))
 
 
 def counted(docs: DataFrame) -> DataFrame:
@@ -128,14 +148,13 @@ def counted(docs: DataFrame) -> DataFrame:
 
     def count(batches):
         for batch in batches:
-            langs, bodies = (c.to_pylist() for c in batch.columns)
-            for a, b in in_parts(bodies, BATCH_CHARS):
+            for a, b in column_parts(batch.column(1), BATCH_CHARS):
                 by_language: dict[str | None, list[str]] = {}
-                for lang, body in zip(langs[a:b], bodies[a:b], strict=True):
+                for lang, body in zip(*(c.slice(a, b - a).to_pylist() for c in batch.columns), strict=True):
                     by_language.setdefault(lang, []).append(body)
                 for lang, some in by_language.items():
                     for rows, c in gram_counts(*code_points(some)):
-                        yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(rows), pa.string()), "gram": rows, "c": c})
+                        yield pa.RecordBatch.from_pydict({"lang": pa.repeat(pa.scalar(lang, pa.string()), len(rows)), "gram": rows, "c": c})
 
     rows = docs.select(F.col("lang").cast("string").alias("lang"), whole_text().alias("text"))
     return rows.mapInArrow(count, "lang string, gram string, c long").groupBy("lang", "gram").agg(F.sum("c").alias("c"))
@@ -230,13 +249,20 @@ class SortedArrays:
         if name not in self.held:
             if len(self.held) >= HELD_PARTS:
                 self.held.pop(next(iter(self.held)))
-            rows = pq.read_table(f"{self.base}/{name}", filesystem=self.system)
-            keys = rows.column("hash").to_numpy()
-            bits = max(1, int(2 * len(keys)).bit_length())
-            tops = (keys.view(np.uint64) ^ SIGN) >> U(64 - bits)
+            with pq.ParquetFile(f"{self.base}/{name}", filesystem=self.system) as file:
+                number = file.metadata.num_rows
+                keys, values, at = np.full(number + 1, np.iinfo(np.int64).max), np.full(number + 1, np.float32("nan")), 0
+                for rows in file.iter_batches(READ_ROWS, columns=["hash", "log_p"]):
+                    keys[at : at + len(rows)], values[at : at + len(rows)] = rows.column("hash").to_numpy(), rows.column("log_p").to_numpy()
+                    at += len(rows)
+            bits = max(1, number.bit_length())
             # hashes are evenly spread: where keys with the same first bits start, about one key is to be looked at
-            starts = np.searchsorted(tops, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
-            self.held[name] = np.append(keys, np.iinfo(np.int64).max), np.append(rows.column("log_p").to_numpy(), np.float32("nan")), starts, bits
+            starts = np.empty((1 << bits) + 1, np.int32)
+            for at in range(0, len(starts), READ_ROWS):
+                firsts = (np.arange(at, min(at + READ_ROWS, 1 << bits), dtype=np.uint64) << U(64 - bits)) ^ SIGN
+                starts[at : at + len(firsts)] = np.searchsorted(keys[:number], firsts.view(np.int64))
+            starts[-1] = number
+            self.held[name] = keys, values, starts, bits
         return self.held[name]
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
@@ -324,11 +350,12 @@ def measured(folder: str, parts: list[str]) -> callable:
     def measure(texts: pa.Array, languages: pa.Array) -> pa.Array:
         if not built:
             built.append(SortedArrays(folder, parts))
-        bodies, langs = texts.to_pylist(), language_hash(languages.to_pylist())
+        langs = language_hash(languages.to_pylist())
         chunks = []
-        for a, b in in_parts(bodies, BATCH_CHARS // 4):
-            found = metrics(bodies[a:b])
-            points, sizes = code_points(bodies[a:b])
+        for a, b in column_parts(texts, BATCH_CHARS // 4):
+            bodies = texts.slice(a, b - a).to_pylist()
+            found = metrics(bodies)
+            points, sizes = code_points(bodies)
             starts, owner = window_starts(sizes)
             mean = -np.bincount(owner, log_chances(built[0], points, starts, langs[a:b][owner]), b - a) / np.maximum(sizes, 1)
             arrays = [pa.array(found[n].astype(np.int64)) for n, _ in fields] + [pa.array(mean, mask=sizes == 0)]

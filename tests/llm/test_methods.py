@@ -463,3 +463,37 @@ def test_only_texts_that_can_be_linked_are_compared_late(spark, monkeypatch):
     roots = {bytes(r.node): bytes(r.root) for r in near_duplicates.classes(spark.createDataFrame(sorted(found), "a binary, b binary")).collect()}
     assert found <= wanted and all(roots.get(a, a) == roots.get(b, b) for a, b in wanted)
     assert compared[0] < len(made) and compared[-1] < 3 * len(made)
+
+
+def test_counting_and_reading_take_little_memory(spark, tmp_path):
+    """A worker counts n-grams in less than 45 bytes a character, and opens a part of a model in little more than it keeps."""
+    import tracemalloc
+
+    import pyarrow.parquet as pq
+
+    rng = random.Random(4)
+    drawn = ["".join(rng.choice("abcdeéя漢😀 \n") for _ in range(n)) for n in (0, 1, 3, 200, 0)]
+    for texts in (drawn, drawn[:1], drawn + ["x" + "".join(map(chr, range(0x4E00, 0x4E00 + 5000)))], [""] + drawn[::-1]):
+        found = Counter()
+        for grams, counts in perplexity.gram_counts(*perplexity.code_points(texts)):
+            for gram, c in zip(grams.to_pylist(), counts.tolist(), strict=True):
+                found[gram] += c
+        padded = ["\n" * 4 + t for t in texts]
+        assert found == Counter(t[i : i + 5] for t in padded for i in range(len(t) - 4))
+    long = ["".join(rng.choices("abcdefgh ", k=1000)) for _ in range(1000)]
+    arrays = perplexity.code_points(long)
+    tracemalloc.start()
+    for _ in perplexity.gram_counts(*arrays):
+        pass
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    keys = np.sort(np.random.default_rng(5).integers(-(2**63), 2**63 - 1, 500_000))
+    pq.write_table(pa.table({"hash": keys, "log_p": pa.array(np.arange(len(keys)), pa.float32())}), tmp_path / "part.parquet")
+    model = perplexity.SortedArrays(str(tmp_path), ["part.parquet"])
+    before = tracemalloc.get_traced_memory()[0]
+    tracemalloc.reset_peak()
+    held = model.part("part.parquet")
+    taken = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert most < 45 * 1_000_000 and taken < 1.4 * sum(a.nbytes for a in held[:3])
+    assert model.find(keys[::1000]).tolist() == list(range(0, len(keys), 1000)) and np.isnan(model.find(keys[:9] + 1)).all()
