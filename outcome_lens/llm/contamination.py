@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from outcome_lens.llm.common import WORD, texts, whole_text, words_of
+from outcome_lens.llm.common import WORD, give_back, texts, whole_text, words_of
 
 WINDOW = 13  # words; a shorter item is one window
 COVERAGE = 20  # contaminated: at least one word in so many is hit
@@ -186,7 +186,10 @@ def _search(shared, window: int):
                 row["cuts"] = [{"first": places[a][0], "last": places[b - 1][1]} for a, b in spans]
                 row["items"] = sorted({*had["items"], *found} - {None})
             rows.append(row)
-        return pa.array(rows, pa.struct([("n_words", pa.int64()), ("longest", pa.int64()), ("spans", PAIRS), ("items", pa.list_(pa.string())), ("cuts", PAIRS)]))
+        out = pa.array(rows, pa.struct([("n_words", pa.int64()), ("longest", pa.int64()), ("spans", PAIRS), ("items", pa.list_(pa.string())), ("cuts", PAIRS)]))
+        del rows
+        give_back()
+        return out
 
     return F.arrow_udf(search, f"struct<{FOUND}>").asNondeterministic()
 

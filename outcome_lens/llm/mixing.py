@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from outcome_lens.contract import AnalysisError
-from outcome_lens.llm.common import whole_text
+from outcome_lens.llm.common import give_back, whole_text
 from outcome_lens.session import stored
 
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -200,6 +200,9 @@ def _words_between(text: Column, first: Column, last: Column) -> Column:
         for one, a, b in zip(text.to_pylist(), first.to_pylist(), last.to_pylist(), strict=True):
             places = [m.span() for m in pattern.finditer(one)][a:b] if one is not None else []
             out.append(one[places[0][0] : places[-1][1]] if places else None)
-        return pa.array(out, pa.string())
+        found = pa.array(out, pa.string())
+        del out
+        give_back()
+        return found
 
     return F.arrow_udf(between, "string")(text, first, last)

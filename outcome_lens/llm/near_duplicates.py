@@ -23,7 +23,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from outcome_lens.llm.common import texts
+from outcome_lens.llm.common import texts, thrifty
 from outcome_lens.llm.shingles import U, mixed, multisets
 from outcome_lens.session import durable, stored
 
@@ -120,7 +120,7 @@ def with_bands(rows: DataFrame, bands: int, rows_per_band: int, shingle: int) ->
                 lists = pa.array([v if h else None for v, h in zip(lists.to_pylist(), has, strict=True)], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), nodes.slice(a, b - a), lists], names=["doc_id", "node", "bands"])
 
-    return rows.mapInArrow(sign, "doc_id long, node binary, bands array<long>")
+    return rows.mapInArrow(thrifty(sign), "doc_id long, node binary, bands array<long>")
 
 
 def similarities(pairs: DataFrame, bodies: DataFrame, shingle: int) -> DataFrame:
@@ -154,7 +154,7 @@ def similarities(pairs: DataFrame, bodies: DataFrame, shingle: int) -> DataFrame
     left = bodies.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = bodies.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(compare, "a binary, b binary, similarity double")
+    return joined.mapInArrow(thrifty(compare), "a binary, b binary, similarity double")
 
 
 def classes(links: DataFrame) -> DataFrame:
@@ -224,7 +224,7 @@ def lonely_shingles(nodes: DataFrame, bodies: DataFrame, shingle: int) -> DataFr
                     names=["node", "hash", "weight"],
                 )
 
-    rows = bodies.join(nodes, "node").select("node", "text").mapInArrow(spread, "node binary, hash long, weight long")
+    rows = bodies.join(nodes, "node").select("node", "text").mapInArrow(thrifty(spread), "node binary, hash long, weight long")
     rows = stored(rows, "near-shingles")
     once = rows.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.min("weight").alias("weight")).filter("n = 1")
     alone = once.groupBy("node").agg(F.sum("weight").alias("alone"))
@@ -250,7 +250,7 @@ def outlines(nodes: DataFrame, bodies: DataFrame, shingle: int) -> DataFrame:
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(longs.reshape(-1)), longs.shape[1]).cast(pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([keys.slice(a, b - a), lists], names=["node", "outline"])
 
-    return bodies.join(nodes, "node").select("node", "text").mapInArrow(draw, "node binary, outline array<long>")
+    return bodies.join(nodes, "node").select("node", "text").mapInArrow(thrifty(draw), "node binary, outline array<long>")
 
 
 def late_links(open_: DataFrame, linked: DataFrame, bodies: DataFrame, similarity: float, shingle: int) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from outcome_lens.contract import AnalysisError
-from outcome_lens.llm.common import texts
+from outcome_lens.llm.common import texts, thrifty
 from outcome_lens.llm.pieces import ByteTokenizer, encoded, ranges, split
 
 ORC_OPTIONS = {
@@ -171,7 +171,7 @@ def write_token_ids(
                 before += int(ends[-1])
 
     sorted_docs = texts(docs).repartitionByRange(ranges, *key).sortWithinPartitions(*key, "text")
-    sorted_docs.mapInArrow(encode, FILE_SCHEMA).write.options(**ORC_OPTIONS).orc(folder)
+    sorted_docs.mapInArrow(thrifty(encode), FILE_SCHEMA).write.options(**ORC_OPTIONS).orc(folder)
 
 
 def read_token_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -201,7 +201,7 @@ def document_positions(spark: SparkSession, folder: str) -> DataFrame:
     totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     so_far = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("part", F.coalesce(F.sum("total").over(so_far), F.lit(0)).alias("offset"))
-    read = rows.mapInArrow(check, "doc_id long, part int, before long, n_tokens long, ids_crc32 long")
+    read = rows.mapInArrow(thrifty(check), "doc_id long, part int, before long, n_tokens long, ids_crc32 long")
     return read.join(offsets, "part").select(
         "doc_id", (F.col("offset") + F.col("before")).alias("start"), "n_tokens", "ids_crc32"
     )

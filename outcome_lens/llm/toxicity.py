@@ -23,7 +23,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from outcome_lens.llm.common import texts, whole_text
+from outcome_lens.llm.common import give_back, texts, whole_text
 
 # Insults that weigh from the start, phrases in which a hit does not count, look-alikes.
 START_TERMS = (
@@ -133,6 +133,7 @@ def scored(model: Model) -> callable:
             total, _, words = built[0].weigh(one)
             z = model.bias + float(np.dot(model.slopes, features(total, words))) if total else -8.0
             out.append(1 / (1 + math.exp(-min(max(z, -30), 30))))
+        give_back()
         return pa.array(out, pa.float64())
 
     return F.arrow_udf(score, "double").asNondeterministic()

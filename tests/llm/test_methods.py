@@ -497,3 +497,23 @@ def test_counting_and_reading_take_little_memory(spark, tmp_path):
     tracemalloc.stop()
     assert most < 45 * 1_000_000 and taken < 1.4 * sum(a.nbytes for a in held[:3])
     assert model.find(keys[::1000]).tolist() == list(range(0, len(keys), 1000)) and np.isnan(model.find(keys[:9] + 1)).all()
+
+
+def test_idle_workers_give_memory_back(spark):
+    """A worker that has signed and encoded 8 MB keeps little of what it needed while it did."""
+
+    def held(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            line = next(x for x in open("/proc/self/smaps_rollup") if x.startswith("Pss_Anon"))
+            yield pa.RecordBatch.from_pydict({"mb": pa.array([int(line.split()[1]) / 1024] * batch.num_rows)})
+
+    measured = lambda: max(r.mb for r in spark.range(8).repartition(8).mapInArrow(held, "mb double").collect())
+    rng = random.Random(6)
+    rows = [(i, " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(300))) for i in range(4000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    for _ in range(2):
+        near_duplicates.with_bands(frame.selectExpr("doc_id", "unhex(md5(text)) as node", "text"), 20, 6, 5).count()
+        token_ids.write_token_ids(frame, new_path(spark, "held"), byte_bpe(), files=2)
+    assert measured() < 190
