@@ -32,7 +32,8 @@ ORC_OPTIONS = {
 }
 FILE_SCHEMA = "doc_id long, part int, before long, n_tokens int, ids array<int>"
 KNOWN_PIECES = 200_000  # pieces a worker keeps the ids of, about 50 bytes each
-BATCH_BYTES = 4 << 20  # of text that is encoded at a time; one longer text is a batch of its own
+BATCH_BYTES = 2 << 20  # of text that is encoded at a time; one longer text is a batch of its own
+SENT_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"  # that go to a worker together
 
 
 class TextEncoder:
@@ -171,7 +172,12 @@ def write_token_ids(
                 before += int(ends[-1])
 
     sorted_docs = texts(docs).repartitionByRange(ranges, *key).sortWithinPartitions(*key, "text")
-    sorted_docs.mapInArrow(thrifty(encode), FILE_SCHEMA).write.options(**ORC_OPTIONS).orc(folder)
+    before = spark.conf.get(SENT_BYTES)
+    spark.conf.set(SENT_BYTES, str(2 * BATCH_BYTES))
+    try:
+        sorted_docs.mapInArrow(thrifty(encode), FILE_SCHEMA).write.options(**ORC_OPTIONS).orc(folder)
+    finally:
+        spark.conf.set(SENT_BYTES, before)
 
 
 def read_token_ids(spark: SparkSession, folder: str) -> DataFrame:

@@ -517,3 +517,13 @@ def test_idle_workers_give_memory_back(spark):
         near_duplicates.with_bands(frame.selectExpr("doc_id", "unhex(md5(text)) as node", "text"), 20, 6, 5).count()
         token_ids.write_token_ids(frame, new_path(spark, "held"), byte_bpe(), files=2)
     assert measured() < 190
+
+
+def test_texts_reach_the_encoder_in_small_batches(spark, monkeypatch):
+    """What goes to a worker at once is bounded by bytes, and the session's own bound is back afterwards."""
+    at = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    seen = []
+    monkeypatch.setattr(token_ids, "thrifty", lambda work: seen.append(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) or work)
+    token_ids.write_token_ids(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), new_path(spark, "small"), byte_bpe(), files=1)
+    assert seen == [str(2 * token_ids.BATCH_BYTES)] and token_ids.BATCH_BYTES <= 2 << 20
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == at
