@@ -143,6 +143,16 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % HELD_OUT == 0
 
 
+def folded_words(sample: DataFrame) -> DataFrame:
+    """``toxic, words`` of the texts that have words.
+
+    Functions before a filter are marked as not deterministic: else the filter calls them a second time, in Python workers of its own.
+    """
+    folded = F.arrow_udf(lambda t: pa.array([fold(x) for x in t.to_pylist()], pa.string()), "string").asNondeterministic()
+    words = F.regexp_extract_all(F.col("folded"), F.lit("[\\p{L}]+"), 0)
+    return sample.select("toxic", folded(F.col("text")).alias("folded")).select("toxic", words.alias("words")).filter(F.size("words") > 0)
+
+
 def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Terms and calibration from at most ``sample_rows`` labelled rows, none of them held out.
 
@@ -153,9 +163,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     known = known.filter(~held_out(F.col("doc_id")) & F.col("toxic").isin(0, 1)).dropDuplicates(["doc_id"])
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     sample = texts(docs).join(F.broadcast(known), "doc_id").select("toxic", "text").checkpoint()
-    folded = F.arrow_udf(lambda t: pa.array([fold(x) for x in t.to_pylist()], pa.string()), "string")(F.col("text"))
-    words = F.regexp_extract_all(F.col("folded"), F.lit("[\\p{L}]+"), 0)
-    rows = sample.select("toxic", folded.alias("folded")).select("toxic", words.alias("words")).filter(F.size("words") > 0)
+    rows = folded_words(sample)
     sizes = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.sum(F.size("words")).alias("n")).collect()}
     if len(sizes) < 2:
         return START
@@ -205,8 +213,8 @@ def telling(terms: dict[str, tuple[float, int]], gain: float = 0.4, nearly: floa
     return kept
 
 
-def calibrated(sample: DataFrame, terms: dict[str, float]) -> Model:
-    """Slopes of the three features by logistic regression over the sample."""
+def weighed(sample: DataFrame, terms: dict[str, float]) -> DataFrame:
+    """``toxic`` and the features ``f`` of the texts with hits."""
     plain = Model(terms, 0.0, (0.0, 0.0, 0.0))
     built: list[Lexicon] = []
 
@@ -216,7 +224,13 @@ def calibrated(sample: DataFrame, terms: dict[str, float]) -> Model:
         found = [built[0].weigh(x) for x in text.to_pylist()]
         return pa.array([list(features(t, w)) if t else None for t, _, w in found], pa.list_(pa.float64()))
 
-    rows = sample.select("toxic", F.arrow_udf(weigh, "array<double>")(F.col("text")).alias("f")).filter("f is not null")
+    found = F.arrow_udf(weigh, "array<double>").asNondeterministic()
+    return sample.select("toxic", found(F.col("text")).alias("f")).filter("f is not null")
+
+
+def calibrated(sample: DataFrame, terms: dict[str, float]) -> Model:
+    """Slopes of the three features by logistic regression over the sample."""
+    rows = weighed(sample, terms)
     rows = rows.select(F.col("toxic").cast("double").alias("toxic"), *(F.col("f")[i].alias(f"f{i}") for i in range(3))).checkpoint()
     if rows.select("toxic").distinct().count() < 2:
         return START._replace(terms=terms)

@@ -527,3 +527,13 @@ def test_texts_reach_the_encoder_in_small_batches(spark, monkeypatch):
     token_ids.write_token_ids(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), new_path(spark, "small"), byte_bpe(), files=1)
     assert seen == [str(2 * token_ids.BATCH_BYTES)] and token_ids.BATCH_BYTES <= 2 << 20
     assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == at
+
+
+def test_lexicon_functions_run_once_a_text(spark):
+    """A filter behind a Python function does not call it again: a task needs one Python worker, not two."""
+    sample = spark.createDataFrame([(1, "you utter idiot"), (0, "a fine day"), (0, "... 1 2")], "toxic int, text string")
+    words, hits = toxicity.folded_words(sample), toxicity.weighed(sample, {"idiot": 3.0})
+    assert [(r.toxic, r.words) for r in words.orderBy("words").collect()] == [(0, ["a", "fine", "day"]), (1, ["you", "utter", "idiot"])]
+    assert [r.toxic for r in hits.collect()] == [1]
+    for rows in (words.groupBy("toxic").count(), hits.select("toxic", "f")):
+        assert rows._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
