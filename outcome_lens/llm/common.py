@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Callable
-from contextlib import suppress
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outcome_lens.session import stored
@@ -56,6 +56,20 @@ def thrifty(work: Callable) -> Callable:
     return run
 
 
+SENT_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"  # that go to a worker together
+
+
+@contextmanager
+def small_batches(spark: SparkSession, most: int) -> Iterator[None]:
+    """What runs inside sends Python workers about ``most`` bytes at a time."""
+    before = spark.conf.get(SENT_BYTES)
+    spark.conf.set(SENT_BYTES, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(SENT_BYTES, before)
+
+
 CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 

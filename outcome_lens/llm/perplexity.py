@@ -21,7 +21,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outcome_lens.llm.common import whole_text
+from outcome_lens.llm.common import give_back, small_batches, thrifty, whole_text
 from outcome_lens.llm.near_duplicates import column_parts
 from outcome_lens.llm.shingles import POSITIONS, U, mixed, word_hashes
 from outcome_lens.llm.warc import file_system
@@ -35,6 +35,7 @@ BACKED_OFF = 1 << 17  # n-grams backed off at a time
 SENT_ROWS = 1 << 17  # n-grams that leave a worker together
 PART_ROWS = 4_000_000  # n-grams in one sorted array
 READ_ROWS = 1 << 16  # of a part at a time
+LOOKED_UP = 1 << 16  # n-grams that are hashed, or looked up in a part, at a time
 HELD_PARTS = 4  # arrays a task keeps; more are read again for every batch
 # the band of a language's mean log-probabilities: so many distances from the median to the quartile on that side,
 # more where few documents tell the spread (two standard errors of the distance), and at least a share of the median
@@ -64,8 +65,10 @@ def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def window_starts(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where the n-gram of every character starts, and the index of its text."""
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    return np.arange(len(owner)) + owner * len(PAD), owner
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    starts = owner * np.int32(len(PAD))
+    starts += np.arange(len(owner), dtype=np.int32)
+    return starts, owner
 
 
 def gram_hashes(points: np.ndarray, starts: np.ndarray, language: np.ndarray, order: int = ORDER, weight: bool = False) -> np.ndarray:
@@ -157,7 +160,7 @@ def counted(docs: DataFrame) -> DataFrame:
                         yield pa.RecordBatch.from_pydict({"lang": pa.repeat(pa.scalar(lang, pa.string()), len(rows)), "gram": rows, "c": c})
 
     rows = docs.select(F.col("lang").cast("string").alias("lang"), whole_text().alias("text"))
-    return rows.mapInArrow(count, "lang string, gram string, c long").groupBy("lang", "gram").agg(F.sum("c").alias("c"))
+    return rows.mapInArrow(thrifty(count), "lang string, gram string, c long").groupBy("lang", "gram").agg(F.sum("c").alias("c"))
 
 
 def interpolated_orders(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
@@ -218,13 +221,14 @@ def hashed(rows: DataFrame, order: int, weight: bool) -> DataFrame:
             found = gram_hashes(points, np.arange(len(grams)) * ORDER, language_hash(langs.to_pylist()), order, weight) if len(grams) else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(found), log_p.cast(pa.float32())], names=["hash", "log_p"])
 
-    return rows.mapInArrow(look, "hash long, log_p float")
+    return rows.mapInArrow(thrifty(look), "hash long, log_p float")
 
 
 def fit(docs: DataFrame) -> str:
     """Fit a model on all of ``docs`` (``text``, ``lang``); the folder of its sorted arrays."""
     spark = docs.sparkSession
-    counts = stored(counted(docs), f"grams-{ORDER}")
+    with small_batches(spark, 2 * BATCH_CHARS):
+        counts = stored(counted(docs), f"grams-{ORDER}")
     arrays, size = None, counts.count()
     for n, (chances, contexts) in enumerate(interpolated_orders(counts), 1):
         size += contexts.count() + (chances.count() if n < ORDER else 0)
@@ -270,27 +274,36 @@ class SortedArrays:
         out = np.full(len(hashes), np.nan)
         for name in self.parts:
             keys, values, starts, bits = self.part(name)
-            at = starts[(hashes.view(np.uint64) ^ SIGN) >> U(64 - bits)]
-            todo = np.arange(len(hashes))
-            while len(todo):
-                found = keys[at]
-                hit = found == hashes[todo]
-                out[todo[hit]] = values[at[hit]]
-                later = found < hashes[todo]
-                todo, at = todo[later], at[later] + 1
+            for first in range(0, len(hashes), LOOKED_UP):
+                some, own = hashes[first : first + LOOKED_UP], out[first : first + LOOKED_UP]
+                at = starts[(some.view(np.uint64) ^ SIGN) >> U(64 - bits)]
+                todo = np.arange(len(some))
+                while len(todo):
+                    found = keys[at]
+                    hit = found == some[todo]
+                    own[todo[hit]] = values[at[hit]]
+                    later = found < some[todo]
+                    todo, at = todo[later], at[later] + 1
         return out
 
 
 def log_chances(model: SortedArrays, points: np.ndarray, starts: np.ndarray, language: np.ndarray) -> np.ndarray:
     """The log-probability of each n-gram's last character after the others, backed off as far as needed."""
-    out = model.find(gram_hashes(points, starts, language))
+    hashes = np.empty(len(starts), np.int64)
+    for at in range(0, len(starts), LOOKED_UP):
+        some = slice(at, at + LOOKED_UP)
+        hashes[some] = gram_hashes(points, starts[some], language[some])
+    out = model.find(hashes)
+    del hashes
     unknown = np.flatnonzero(np.isnan(out))
     for at in range(0, len(unknown), BACKED_OFF):
         lost = unknown[at : at + BACKED_OFF]
         lower = [(n, weight) for n in range(1, ORDER) for weight in (False, True)] + [(ORDER, True)]
         # one look-up for all orders, since parts may have to be read again for each
-        found = model.find(np.concatenate([gram_hashes(points, starts[lost], language[lost], *x) for x in lower]))
-        known = dict(zip(lower, found.reshape(len(lower), -1), strict=True))
+        hashes = np.empty((len(lower), len(lost)), np.int64)
+        for row, x in zip(hashes, lower, strict=True):
+            row[:] = gram_hashes(points, starts[lost], language[lost], *x)
+        known = dict(zip(lower, model.find(hashes.reshape(-1)).reshape(len(lower), -1), strict=True))
         chance = np.where(np.isnan(known[1, True]), FLOOR, known[1, True])
         for n in range(1, ORDER + 1):
             if n > 1:  # a context that the model does not have leaves everything
@@ -354,12 +367,15 @@ def measured(folder: str, parts: list[str]) -> callable:
         chunks = []
         for a, b in column_parts(texts, BATCH_CHARS // 4):
             bodies = texts.slice(a, b - a).to_pylist()
-            found = metrics(bodies)
+            counts = [metrics(bodies[c:d]) for c, d in column_parts(texts.slice(a, b - a), BATCH_CHARS // 16)]
+            found = {n: np.concatenate([c[n] for c in counts]) for n, _ in fields}
             points, sizes = code_points(bodies)
             starts, owner = window_starts(sizes)
             mean = -np.bincount(owner, log_chances(built[0], points, starts, langs[a:b][owner]), b - a) / np.maximum(sizes, 1)
             arrays = [pa.array(found[n].astype(np.int64)) for n, _ in fields] + [pa.array(mean, mask=sizes == 0)]
             chunks.append(pa.StructArray.from_arrays(arrays, names=[n for n, _ in fields] + ["nats"]))
+            del bodies, counts, found, points, sizes, starts, owner, mean, arrays
+        give_back()
         return pa.concat_arrays(chunks) if chunks else pa.array([], pa.struct([*fields, ("nats", pa.float64())]))
 
     return F.arrow_udf(measure, f"struct<{METRICS.replace(' long', ':long')}, nats:double>").asNondeterministic()
@@ -385,7 +401,8 @@ def quality(docs: DataFrame, folder: str | None = None, lower: float = LOWER, up
         folder, name = fit(docs.select("text", model_of(half).alias("lang"))), model_of((half + 1) % HALVES)
     found = measured(folder, part_names(spark, folder))(whole_text(), name)
     rows = docs.select(F.col("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text"), found.alias("f"))
-    rows = stored(rows.select("doc_id", "lang", "f.*"), "quality-measures")
+    with small_batches(spark, 2 * BATCH_CHARS):
+        rows = stored(rows.select("doc_id", "lang", "f.*"), "quality-measures")
     failed: Column = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     band = band_of(rows.filter(~failed), lower, upper)
     inside = F.coalesce(F.col("nats").between(F.col("least"), F.col("most")), F.lit(False))

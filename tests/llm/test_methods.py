@@ -537,3 +537,29 @@ def test_lexicon_functions_run_once_a_text(spark):
     assert [r.toxic for r in hits.collect()] == [1]
     for rows in (words.groupBy("toxic").count(), hits.select("toxic", "f")):
         assert rows._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_texts_are_measured_in_little_memory(spark, tmp_path, monkeypatch):
+    """A worker gets few texts at a time, and looking their n-grams up takes little more than the answers."""
+    import tracemalloc
+
+    import pyarrow.parquet as pq
+
+    rng = np.random.default_rng(7)
+    keys = np.sort(rng.integers(-(2**63), 2**63 - 1, 300_000))
+    pq.write_table(pa.table({"hash": keys, "log_p": pa.array(np.arange(len(keys)), pa.float32())}), tmp_path / "part.parquet")
+    model = perplexity.SortedArrays(str(tmp_path), ["part.parquet"])
+    model.part("part.parquet")
+    asked = np.concatenate([keys, keys + 1, rng.integers(-(2**63), 2**63 - 1, 300_000)])
+    tracemalloc.start()
+    found = model.find(asked)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found[: len(keys)].tolist() == list(range(len(keys))) and np.isnan(found[len(keys) :]).all()
+    assert most < 16 * len(asked)
+    setting, sent, write = "spark.sql.execution.arrow.maxBytesPerBatch", {}, perplexity.stored
+    before = spark.conf.get(setting)
+    monkeypatch.setattr(perplexity, "stored", lambda rows, name: sent.update({name: spark.conf.get(setting)}) or write(rows, name))
+    perplexity.quality(spark.createDataFrame([(1, "a b", "x")], "doc_id long, text string, lang string")).collect()
+    assert sent["grams-5"] == sent["quality-measures"] == str(2 * perplexity.BATCH_CHARS)
+    assert spark.conf.get(setting) == before
