@@ -23,9 +23,9 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from outcome_lens.llm.common import texts, thrifty
+from outcome_lens.llm.common import stored_alone, texts, thrifty
 from outcome_lens.llm.shingles import U, mixed, multisets
-from outcome_lens.session import durable, stored
+from outcome_lens.session import stored
 
 SHINGLE = 5  # words
 SIMILARITY = 0.8
@@ -161,9 +161,10 @@ def classes(links: DataFrame) -> DataFrame:
     """``node, root`` for every linked node, the root being the smallest node of its class.
 
     Alternates two steps until nothing changes: larger neighbours go to the smallest neighbour, then
-    smaller ones do. Each step is a minimum by node and a join; no class is gathered anywhere.
+    smaller ones do. Each step is a minimum by node and a join; no class is gathered anywhere. What a round has shuffled
+    goes when its edges are written, and its few rows are read by few tasks.
     """
-    edges = durable(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
+    edges = stored_alone(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "near-edges")
     state = None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -171,7 +172,7 @@ def classes(links: DataFrame) -> DataFrame:
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
-        edges = durable(small.union(least.select("u", F.col("m").alias("v"))).distinct())
+        edges = stored_alone(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "near-edges")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == now:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
@@ -200,7 +201,9 @@ def node_classes(docs: DataFrame, similarity: float, bands: int, rows_per_band:
     open_ = rooted.filter("root <> head_root").select("bucket").distinct()
     open_ = stored(rooted.join(open_, "bucket").select("bucket", "node", "root"), "near-open")
     if not open_.isEmpty():
-        linked = classes(links.union(late_links(open_, linked, bodies, similarity, shingle)))
+        # classes that are known already go in as stars
+        stars = linked.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        linked = classes(stars.union(late_links(open_, linked, bodies, similarity, shingle)))
     return signed.select("doc_id", "node"), linked
 
 

@@ -563,3 +563,15 @@ def test_texts_are_measured_in_little_memory(spark, tmp_path, monkeypatch):
     perplexity.quality(spark.createDataFrame([(1, "a b", "x")], "doc_id long, text string, lang string")).collect()
     assert sent["grams-5"] == sent["quality-measures"] == str(2 * perplexity.BATCH_CHARS)
     assert spark.conf.get(setting) == before
+
+
+def test_rounds_of_classes_leave_no_shuffle_files(spark):
+    """Edges of a round are a table of few files, and what was shuffled for them is gone when they are written."""
+    links = spark.createDataFrame([(bytes([k + 1]), bytes([k])) for k in range(40)], "a binary, b binary")
+    folder = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    kept = lambda: sum(f.getName().startswith("shuffle_") for f in (folder.getAllFiles().apply(i) for i in range(folder.getAllFiles().size())))
+    before = kept()
+    found = near_duplicates.classes(links)
+    assert {bytes(r.node): bytes(r.root) for r in found.collect()} == {bytes([k]): bytes([0]) for k in range(1, 41)}
+    assert "Scan parquet" in found._jdf.queryExecution().executedPlan().toString()
+    assert kept() - before < 60
