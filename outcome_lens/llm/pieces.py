@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,13 @@ CUT = re.compile(f"(?<=[^{SPACES}]) (?=[^{SPACES}])")
 WHITE = frozenset(chr(c) for c in range(0x3001) if re.match(f"[{SPACES}]", chr(c)))
 JOINED = 500  # pieces that are encoded as one text
 
+# Characters that every version of Unicode counts to the letters, and how a byte-level pre-tokenizer cuts texts of
+# these, of ASCII digits and signs, and of line breaks.
+LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u02af\u0400-\u0481\u048a-\u0523\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3"
+SIMPLE = f"\\A[!-~{LETTERS}]([!-~{LETTERS}\n]*[!-~{LETTERS}])?\\z"
+WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^ \n0-9{LETTERS}]+|[ \n]+(?![^ \n])|[ \n]+")
+ONE_WORD = re.compile(f"[{LETTERS}]+|[0-9]+|[!-/:-@[-`{{-~]+")
+
 
 def shown_bytes() -> dict[str, int]:
     """The byte that each character of a byte-level vocabulary shows: visible Latin-1 characters show
@@ -47,6 +55,8 @@ class ByteTokenizer:
         if not all(t["special"] for t in parts["added_tokens"]):
             raise AnalysisError(f"{path} adds tokens that are not special")
         byte_of = shown_bytes()
+        self.shown = np.zeros(256, "<u4")
+        self.shown[list(byte_of.values())] = [ord(c) for c in byte_of]
         names = {**self.tokenizer.get_vocab(with_added_tokens=True)}
         self.bytes = [b""] * (max(names.values()) + 1)
         for name, i in names.items():
@@ -57,6 +67,16 @@ class ByteTokenizer:
         # without offsets, which nobody here asks for
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
+    def ids_of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words that the pre-tokenizer would not cut, and how many each has; none may hold the character 0."""
+        flat, ends = array("i"), []
+        raw = np.frombuffer("\0".join(words).encode(), np.uint8)
+        tokenize = self.tokenizer.model.tokenize
+        for word in self.shown[raw].tobytes().decode("utf-32-le").split(chr(self.shown[0])) if words else []:
+            flat.extend([t.id for t in tokenize(word)])
+            ends.append(len(flat))
+        return np.array(flat, np.int32), np.diff(np.array(ends, np.int64), prepend=0)
+
 
 class PieceTokenizer:
     """A sentencepiece model, which puts a space in front of every text."""
@@ -80,13 +100,20 @@ class PieceTokenizer:
 def encoded(tokenizer: ByteTokenizer | PieceTokenizer, pieces: list[str], spaced: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all pieces, each behind a space, and the number of ids of each piece.
 
-    Pieces without white space at an edge are encoded together, and cut apart by the bytes of their tokens. With ``spaced=False``
+    A byte-level tokenizer's model is asked at once for a piece that is one word.
+    Other pieces without white space at an edge are encoded together, and cut apart by the bytes of their tokens. With ``spaced=False``
     pieces are encoded as they are, as a byte-level tokenizer can: joined by line breaks, each of which is one token before a word.
     """
     glue = " " if spaced else "\n"
-    plain = [i for i, p in enumerate(pieces) if p and p[0] not in WHITE and p[-1] not in WHITE]
-    apart = [i for i, p in enumerate(pieces) if not p or p[0] in WHITE or p[-1] in WHITE]
-    found, sizes, order = [], [], []
+    found, sizes, order, others = [], [], [], range(len(pieces))
+    if isinstance(tokenizer, ByteTokenizer):
+        one = [ONE_WORD.fullmatch(p) is not None for p in pieces]
+        order, others = [i for i, w in enumerate(one) if w], [i for i, w in enumerate(one) if not w]
+        ids, held = tokenizer.ids_of_words([" " + pieces[i] if spaced else pieces[i] for i in order])
+        found.append(ids)
+        sizes.append(held)
+    plain = [i for i in others if (p := pieces[i]) and p[0] not in WHITE and p[-1] not in WHITE]
+    apart = [i for i in others if not (p := pieces[i]) or p[0] in WHITE or p[-1] in WHITE]
     for at in range(0, len(plain), JOINED):
         some = plain[at : at + JOINED]
         names = [pieces[i] for i in some]
@@ -148,6 +175,16 @@ def cut(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
     return coded.indices.to_numpy(), counts, coded.dictionary.to_pylist()
 
 
+def joined(strings: pa.Array, glue: str) -> str:
+    return pc.binary_join(pa.LargeListArray.from_arrays([0, len(strings)], strings), pa.scalar(glue, strings.type))[0].as_py()
+
+
+def unpacked(strings: pa.Array) -> list[str]:
+    """``to_pylist``, in a tenth of its time."""
+    out = joined(strings, "\0").split("\0")
+    return out if len(out) == len(strings) else strings.to_pylist()
+
+
 def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The numbers ``start .. start + size - 1`` of every range, one range after the other."""
     ends = np.cumsum(sizes)

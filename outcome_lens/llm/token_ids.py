@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from outcome_lens.contract import AnalysisError
 from outcome_lens.llm.common import texts, thrifty
-from outcome_lens.llm.pieces import ByteTokenizer, encoded, ranges, split
+from outcome_lens.llm.pieces import SIMPLE, WORDS, ByteTokenizer, encoded, joined, ranges, split, unpacked
 
 ORC_OPTIONS = {
     "compression": "zstd",
@@ -31,14 +31,16 @@ ORC_OPTIONS = {
     "orc.bloom.filter.fpp": "0.01",
 }
 FILE_SCHEMA = "doc_id long, part int, before long, n_tokens int, ids array<int>"
-KNOWN_PIECES = 200_000  # pieces a worker keeps the ids of, about 50 bytes each
+KNOWN_PIECES = 200_000  # words, and pieces that are not cut into words, a worker keeps the ids of, about 50 bytes each
 BATCH_BYTES = 2 << 20  # of text that is encoded at a time; one longer text is a batch of its own
 SENT_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"  # that go to a worker together
 
 
 class TextEncoder:
-    """Ids of texts through the tokenizers library, which sees every distinct piece of a batch once, and none that is still known.
+    """Ids of texts through the tokenizers library, which sees every distinct word of a batch once, and none that is still known.
 
+    Distinct pieces are cut into words as the library's pre-tokenizer does it; a piece with other characters than those
+    that are surely cut alike is taken for one word.
     A text with the string of an added token, such as ``<|endoftext|>``, goes to the library as a whole, since such a token may
     take in what stands around it; so do all texts if the tokenizer is not one that allows a text to be cut.
     """
@@ -54,23 +56,47 @@ class TextEncoder:
             self.whole = Tokenizer.from_file(path)
         self.added = [t.content for t in self.whole.get_added_tokens_decoder().values() if t.content]
         self.end = ends_with
-        self.known = pa.array([], pa.large_string())  # pieces behind a space
+        self.known = pa.array([], pa.large_string())  # words, with the space in front if there is one
         self.older = self.known  # those of the half before this one: what is used again comes over
-        # the ids of the older and then the known ones, and how many each piece has
+        # the ids of the older and then the known ones, and how many each word has
         self.ids, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
     def spaced(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For pieces behind a space: which entry of a table each is, the ids of the table, and how many an entry has."""
+        coded = pieces.dictionary_encode()
+        simple = pc.match_substring_regex(coded.dictionary, SIMPLE)
+        whole = coded.dictionary.filter(pc.invert(simple))
+        inside = WORDS.findall(" " + joined(coded.dictionary.filter(simple), " ")) if len(whole) < len(simple) else []
+        words = pa.array(inside + [" " + p for p in unpacked(whole)], pa.large_string())
+        # a word with a space in front starts a piece
+        starts = np.flatnonzero(pc.starts_with(words, " ").to_numpy(zero_copy_only=False))
+        which, ids, sizes = self.looked_up(words)
+        begins = np.cumsum(sizes) - sizes
+        own = ids[ranges(begins[which], sizes[which])]
+        entries = np.argsort(np.argsort(~simple.to_numpy(zero_copy_only=False), kind="stable"))
+        return entries[coded.indices.to_numpy()], own, np.add.reduceat(sizes[which], starts)
+
+    def looked_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which entry of a table each word is, the ids of the table, and how many an entry has."""
         if 2 * len(self.known) > KNOWN_PIECES:
             gone = len(self.older)
             self.ids, self.sizes = self.ids[self.sizes[:gone].sum() :], self.sizes[gone:]
             self.older, self.known = self.known, self.known[:0]
         # what is there already is distinct, and so keeps its place
-        coded = pa.concat_arrays([self.older, self.known, pieces]).dictionary_encode()
+        coded = pa.concat_arrays([self.older, self.known, words]).dictionary_encode()
         names, before = coded.dictionary, len(self.sizes)
         entries = coded.indices.to_numpy()[before:]
-        ids, sizes = encoded(self.pieces, names[before:].to_pylist())
-        ids, sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+        new = names[before:]
+        behind = pc.starts_with(new, " ")
+        ids, sizes = encoded(self.pieces, unpacked(pc.utf8_slice_codeunits(new.filter(behind), 1)))
+        more, counts = encoded(self.pieces, unpacked(new.filter(pc.invert(behind))), spaced=False)
+        ids, sizes = np.concatenate([self.ids, ids, more]), np.concatenate([self.sizes, sizes, counts])
+        # new words stand in the table with those behind a space in front
+        place = np.argsort(~behind.to_numpy(zero_copy_only=False), kind="stable")
+        names = names.take(pa.array(np.concatenate([np.arange(before), before + place])))
+        moved = np.arange(len(names))
+        moved[before + place] = np.arange(before, len(names))
+        entries = moved[entries]
         stays = np.ones(len(self.older), bool)
         stays[entries[entries < len(stays)]] = False
         order = np.concatenate([np.flatnonzero(stays), np.flatnonzero(~stays), np.arange(len(stays), len(names))])

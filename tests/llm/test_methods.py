@@ -439,6 +439,28 @@ def test_a_known_piece_is_not_encoded_again(spark, monkeypatch):
     assert isinstance(own.known, pa.Array) and sum("two" in a for a in asked) == 1
 
 
+def test_a_word_is_encoded_once_whatever_stands_behind_it(monkeypatch):
+    """Pieces are cut into words, and the model sees a word once a batch; the ids are the library's, for all letters that are cut here."""
+    from tokenizers import Tokenizer
+
+    from outcome_lens.llm import pieces
+
+    asked = []
+    own, library, plain = token_ids.TextEncoder(byte_bpe(), 0), Tokenizer.from_file(byte_bpe()), token_ids.encoded
+    monkeypatch.setattr(token_ids, "encoded", lambda tokenizer, pieces, spaced=True: asked.extend(pieces) or plain(tokenizer, pieces, spaced))
+    text = "A tree, tree. tree! tree### tree.\ntree tree's 'tree' 12tree tree12, x_tree tree"
+    assert own.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids + [0]
+    assert asked.count("tree") == 2 and not any("tree" in p for p in asked if p != "tree")  # with and without a space in front
+    rng = random.Random(8)
+    letters = [chr(c) for c in range(0x10000) if re.match(f"[{pieces.LETTERS}]", chr(c))]
+    signs = [chr(c) for c in range(33, 127)] + ["'s", "'ll", "'S", "\n", "\n\n", " ", " ", " ", "\t", "  ", "\0", "٣", "²", "̈", "…"]
+    texts = ["".join(rng.choice(rng.choice([letters, letters, signs, "aeiou tnr'"])) for _ in range(rng.randint(1, 30))) for _ in range(4000)]
+    texts += [" ".join(letters), "".join(letters), ".".join(letters), "\n".join(letters), "x" * 3000, " " + "é" * 300]
+    for _ in range(2):  # the second time words are known
+        ids, sizes = own.encode(texts)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [library.encode(t, add_special_tokens=False).ids + [0] for t in texts]
+
+
 def test_only_texts_that_can_be_linked_are_compared_late(spark, monkeypatch):
     """All texts share a passage, and no shingle is in one text alone: sizes and distances rule nothing out, outlines do."""
     rng = random.Random(3)
