@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outcome_lens.llm.collocations import FrequentFilter, probes
-from outcome_lens.llm.common import stored_alone, whole_text
+from outcome_lens.llm.common import small_batches, stored_alone, thrifty, whole_text
 from outcome_lens.llm.pieces import sums
 from outcome_lens.llm.shingles import U
 
@@ -42,7 +42,8 @@ MOST_LISTED = 1000  # occurrences of a word whose neighbours go into a list
 FILTER_BITS = 1 << 24  # of the Bloom filter of words with more
 CHUNK_BYTES = 6 << 20  # of text; one longer text is a chunk of its own
 TEXTS_AT_ONCE = 256  # that are unpacked from a batch
-CELLS = 1 << 21  # gains that are worked out at a time
+SENT_BYTES = 4 << 20  # that go to a worker together; a chunk is one row
+CELLS = 1 << 18  # gains that are worked out at a time
 LEAST_DISCOUNT, MOST_DISCOUNT = 0.1, 0.9
 
 # Fixed value: white space between words becomes spaces, which leaves a line break to mark ends.
@@ -65,7 +66,7 @@ def packed(numbers: np.ndarray) -> bytes:
 
 def unpacked(raw: pa.Scalar, number: int) -> np.ndarray:
     planes = np.frombuffer(pa.decompress(raw.as_buffer(), decompressed_size=4 * number, codec="zstd"), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").ravel()
 
 
 def chunk(ids: list, held: list[bool], bodies: list[bytes]) -> dict[str, list]:
@@ -79,7 +80,7 @@ def chunk(ids: list, held: list[bool], bodies: list[bytes]) -> dict[str, list]:
     often = np.bincount(tokens, minlength=len(coded.dictionary))
     often[0] = len(tokens) + 1
     order = np.argsort(-often, kind="stable")
-    place = np.empty(len(order), np.int64)
+    place = np.empty(len(order), np.int32)
     place[order] = np.arange(len(order))
     tokens = place[tokens]
     sizes = np.diff(np.flatnonzero(tokens == 0) + 1, prepend=0)
@@ -130,7 +131,7 @@ def chunked(docs: DataFrame) -> DataFrame:
 
     documents = docs.select("doc_id", held_out().alias("held"), whole_text().alias("text"))
     schema = f"chunk long, doc_ids array<{kind}>, held array<boolean>, sizes array<int>, words array<string>, counts array<int>, tokens binary"
-    return stored_alone(documents.mapInArrow(make, schema), "class-model-chunks")
+    return stored_alone(documents.mapInArrow(thrifty(make), schema), "class-model-chunks")
 
 
 def vocabulary(chunks: DataFrame) -> DataFrame:
@@ -146,15 +147,15 @@ class Known:
         ids = table.column("id").to_numpy()
         order = np.argsort(ids)
         self.ids = ids[order]
-        self.classes = table.column("class").to_numpy()[order].astype(np.int64) if "class" in table.column_names else np.zeros(len(ids), np.int64)
+        self.classes = table.column("class").to_numpy()[order].astype(np.int32) if "class" in table.column_names else np.zeros(len(ids), np.int32)
 
     def of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The hash of each word, and its class; -1 for a word that is not frequent."""
         hashes = word_hashes(words).view(np.int64)
         if not len(self.ids):
-            return hashes, np.full(len(hashes), -1)
+            return hashes, np.full(len(hashes), -1, np.int32)
         at = np.minimum(np.searchsorted(self.ids, hashes), len(self.ids) - 1)
-        return hashes, np.where(self.ids[at] == hashes, self.classes[at], -1)
+        return hashes, np.where(self.ids[at] == hashes, self.classes[at], np.int32(-1))
 
 
 def word_filter(words: DataFrame) -> FrequentFilter:
@@ -168,7 +169,7 @@ def word_filter(words: DataFrame) -> FrequentFilter:
         some = np.flatnonzero(blocks)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(blocks[some].view(np.int64))], names=["block", "bits"])
 
-    found = words.select("id").mapInArrow(mark, "block long, bits long").groupBy("block").agg(F.bit_or("bits").alias("bits")).toArrow()
+    found = words.select("id").mapInArrow(thrifty(mark), "block long, bits long").groupBy("block").agg(F.bit_or("bits").alias("bits")).toArrow()
     blocks = np.zeros(FILTER_BITS // 64, np.uint64)
     blocks[found.column("block").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
     return FrequentFilter(blocks)
@@ -197,7 +198,7 @@ def arrays_of(found: pa.ListScalar, number: int, *names: str) -> list[np.ndarray
 
 def taught_pairs(held: np.ndarray, sizes: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Neighbouring tokens of training texts; the end token stands in front of each text."""
-    before = np.concatenate([[0], tokens[:-1]])
+    before = np.concatenate([np.zeros(1, np.int32), tokens[:-1]])
     taught = np.repeat(~held, sizes)
     return before[taught], tokens[taught]
 
@@ -222,10 +223,10 @@ def neighbours(chunks: DataFrame, frequent: DataFrame) -> DataFrame:
                 ids, own = shared.value.of(batch.column("words")[row].values)
                 a, b = taught_pairs(*texts_of(batch, row))
                 both = (own[a] >= 0) & (own[b] >= 0)
-                codes, n = np.unique(a[both] * len(ids) + b[both], return_counts=True)
+                codes, n = np.unique(a[both].astype(np.int64) * len(ids) + b[both], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[codes // len(ids)]), pa.array(ids[codes % len(ids)]), pa.array(n)], names=["w1", "w2", "n"])
 
-    rows = chunks.select("held", "sizes", "tokens", "words").mapInArrow(count, "w1 long, w2 long, n long")
+    rows = chunks.select("held", "sizes", "tokens", "words").mapInArrow(thrifty(count), "w1 long, w2 long, n long")
     return stored_alone(rows.groupBy("w1", "w2").agg(F.sum("n").alias("n")), "class-model-neighbours")
 
 
@@ -322,7 +323,7 @@ def moved(vectors: DataFrame, between: np.ndarray, kind: str) -> DataFrame:
             stay = batch.column("stay").fill_null(-1).to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.where(stay >= 0, stay, best).astype(np.int32))], names=["id", "class"])
 
-    return vectors.select("id", "current", "stay", "codes", "counts").mapInArrow(move, f"id {kind}, class int")
+    return vectors.select("id", "current", "stay", "codes", "counts").mapInArrow(thrifty(move), f"id {kind}, class int")
 
 
 def late_classes(chunks: DataFrame, known: DataFrame, often: FrequentFilter, between: np.ndarray) -> DataFrame:
@@ -345,7 +346,7 @@ def late_classes(chunks: DataFrame, known: DataFrame, often: FrequentFilter, bet
                 word = np.concatenate([a[behind], b[ahead]])
                 code = np.concatenate([own[b[behind]], own[a[ahead]] + classes])
                 counted = often.has(hashes.view(np.uint64))[word]
-                cells, n = np.unique(word[counted] * 2 * classes + code[counted], return_counts=True)
+                cells, n = np.unique(word[counted].astype(np.int64) * 2 * classes + code[counted], return_counts=True)
                 word, code = word[~counted], code[~counted]
                 order = np.argsort(word, kind="stable")
                 word, code = word[order], code[order]
@@ -357,7 +358,7 @@ def late_classes(chunks: DataFrame, known: DataFrame, often: FrequentFilter, bet
                 which, code = cells // (2 * classes), cells % (2 * classes)
                 yield pa.RecordBatch.from_arrays([pa.array(hashes[which]), pa.array(code.astype(np.int16)), pa.array(n.astype(np.int64)), empty], names=LATE)
 
-    rows = chunks.select("held", "sizes", "tokens", "words").mapInArrow(collect, "id long, code short, n long, codes array<short>")
+    rows = chunks.select("held", "sizes", "tokens", "words").mapInArrow(thrifty(collect), "id long, code short, n long, codes array<short>")
     summed = rows.groupBy("id", "code").agg(F.flatten(F.collect_list("codes")).alias("codes"), F.sum("n").alias("n"))
     is_sum = F.col("code") >= 0
     lists = summed.groupBy("id").agg(
@@ -408,7 +409,13 @@ def class_scores(docs: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS,
 
     ``score`` is the base-10 logarithm of the text's probability, ``base_score`` the same under add-one counts of words.
     """
-    spark = docs.sparkSession
+    with small_batches(docs.sparkSession, SENT_BYTES):
+        classed, model = learned(docs, classes, rounds, frequent)
+    return scored(classed, model, docs.schema["doc_id"].dataType.simpleString())
+
+
+def learned(docs: DataFrame, classes: int, rounds: int, frequent: float) -> tuple[DataFrame, ClassModel]:
+    """The texts of ``docs`` as classes of their tokens, and the model they are scored by."""
     chunks = chunked(docs)
     counts = stored_alone(vocabulary(chunks), "class-model-words")
     whole = counts.agg(F.sum("c").alias("tokens"), F.count("*").alias("types"), *[F.sum((F.col("c") == k).cast("long")).alias(f"n{k}") for k in (1, 2)]).first()
@@ -435,7 +442,7 @@ def class_scores(docs: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS,
         coded = chunks.drop("words", "counts").withColumn("found", F.lit(None).cast("array<struct<at:int,c:long,class:int>>"))
         model = ClassModel(0, 0, 0.5, np.zeros(classes), np.zeros(classes), np.zeros((classes, classes)), 0)
         classed = classed_texts(coded, model, docs.schema["doc_id"].dataType.simpleString())
-    return scored(classed, model, docs.schema["doc_id"].dataType.simpleString())
+    return classed, model
 
 
 def classed_texts(coded: DataFrame, model: ClassModel, kind: str) -> DataFrame:
@@ -465,7 +472,7 @@ def classed_texts(coded: DataFrame, model: ClassModel, kind: str) -> DataFrame:
                 )
 
     schema = f"doc_ids array<{kind}>, held array<boolean>, sizes array<int>, known array<long>, base array<double>, shares array<double>, tokens binary"
-    return coded.select("doc_ids", "held", "sizes", "tokens", "found").mapInArrow(sum_up, schema)
+    return coded.select("doc_ids", "held", "sizes", "tokens", "found").mapInArrow(thrifty(sum_up), schema)
 
 
 def scored(classed: DataFrame, model: ClassModel, kind: str) -> DataFrame:
@@ -487,7 +494,7 @@ def scored(classed: DataFrame, model: ClassModel, kind: str) -> DataFrame:
                 )
 
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return classed.mapInArrow(score, schema)
+    return classed.mapInArrow(thrifty(score), schema)
 
 
 def transitions(classed: DataFrame, model: ClassModel) -> np.ndarray:
@@ -507,5 +514,5 @@ def transitions(classed: DataFrame, model: ClassModel) -> np.ndarray:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array((some // classes).astype(np.int32)), pa.array((some % classes).astype(np.int32)), pa.array(total[some])], names=["c1", "c2", "n"])
 
-    rows = classed.select("held", "sizes", "tokens").mapInArrow(count, "c1 int, c2 int, n long")
+    rows = classed.select("held", "sizes", "tokens").mapInArrow(thrifty(count), "c1 int, c2 int, n long")
     return matrix(rows.groupBy("c1", "c2").agg(F.sum("n").alias("n")), classes)

@@ -314,3 +314,37 @@ def test_batches_of_tokenizers_are_small(monkeypatch):
     batch = pa.RecordBatch.from_pydict({"doc_id": list(range(60)), "text": ["word " * 20_000] * 60})
     assert sum(len(ids) for ids, _ in alignment.aligned_batches([batch], "", "")) == 60
     assert max(seen) <= 1.5 * 2**20 and sum(seen) == 60 * 100_000
+
+
+# ---- memory of the class model
+
+
+def test_workers_of_the_class_model_hold_little(spark, monkeypatch):
+    """They get about a chunk at a time, give memory back when a task ends, and work out gains and tokens in narrow arrays."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    setting, sent, ended = "spark.sql.execution.arrow.maxBytesPerBatch", {}, []
+    before, write, thrifty = spark.conf.get(setting), class_model.stored_alone, class_model.thrifty
+    monkeypatch.setattr(class_model, "stored_alone", lambda rows, name: sent.update({name: spark.conf.get(setting)}) or write(rows, name))
+    monkeypatch.setattr(class_model, "thrifty", lambda work: ended.append(work.__name__) or thrifty(work))
+    rows = [(k, f"the tree {k % 7} grows by the house") for k in range(40)]
+    assert class_model.class_scores(spark.createDataFrame(rows, "doc_id long, text string"), classes=4).count() == 40
+    assert set(sent.values()) == {str(class_model.SENT_BYTES)} and class_model.SENT_BYTES <= 4 << 20
+    assert spark.conf.get(setting) == before
+    assert set(ended) == {"make", "mark", "count", "move", "collect", "sum_up", "score"}
+    rng = np.random.default_rng(1)
+    owner = np.repeat(np.arange(2000), 30)
+    code, n = rng.integers(0, 128, len(owner)), rng.integers(1, 9, len(owner))
+    current, between = rng.integers(-1, 64, 2000), rng.integers(0, 50, (64, 64)).astype(float)
+    tracemalloc.start()
+    found = class_model.best_classes(owner, code, n, current, between)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 32 << 20
+    one = [class_model.best_classes(np.zeros(30, np.int64), code[owner == k], n[owner == k], current[k : k + 1], between)[0] for k in range(0, 2000, 50)]
+    assert found[::50].tolist() == one
+    numbers = rng.integers(0, 2**31 - 1, 1000)
+    tokens = class_model.unpacked(pa.scalar(class_model.packed(numbers)), 1000)
+    assert tokens.tolist() == numbers.tolist() and tokens.itemsize == 4
